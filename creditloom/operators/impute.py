@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom import session
-from creditloom.functions.ranks import column_quantiles, exact_quantiles
+from creditloom.functions.ranks import SLICES, column_quantiles
 
 SKETCH_SIZE = 1000  # rank error of about 0.3 %
 
@@ -80,19 +80,54 @@ def medians_so_far(history: DataFrame, months: DataFrame, columns: Sequence[str]
 
 
 def _exact_medians_so_far(history, wanted, columns):
-    """Distinct values per month, counted towards every later month, then ranked exactly."""
-    counts = (history.select("snapshot_date", *[F.col(c).cast("double").alias(c) for c in columns])
-              .unpivot(["snapshot_date"], columns, "column", "value")
-              .where(F.col("value").isNotNull())
-              .groupBy("snapshot_date", "column", "value").agg(F.count(F.lit(1)).alias("n")))
-    last = wanted.agg(F.max("snapshot_date")).first()[0]
-    later = counts.where(F.col("snapshot_date") <= F.lit(last)).select(
-        F.explode(F.expr(f"sequence(snapshot_date, date'{last}', interval 1 month)"))
-        .alias("snapshot_date"), "column", "value", "n")
-    summed = later.groupBy("snapshot_date", "column", "value").agg(F.sum("n").alias("n"))
-    needed = summed.join(wanted, "snapshot_date", "left_semi")
-    return (exact_quantiles(needed, ["snapshot_date", "column"], "value", [0.5], weight="n")
-            .select("snapshot_date", "column", F.col("quantiles")[0].alias("median")))
+    """Exact medians of growing prefixes.
+
+    Each column's values are cut into slices. Slice totals, summed over the months so far, tell
+    which slice holds a month's median; only the values of that slice are then looked at.
+    """
+    c = F.col
+    counts, _ = session.stage(
+        history.select("snapshot_date", *[c(f).cast("double").alias(f) for f in columns])
+        .unpivot(["snapshot_date"], columns, "column", "value").where(c("value").isNotNull())
+        .groupBy("snapshot_date", "column", "value").agg(F.count(F.lit(1)).alias("n")), "counts")
+    fractions = [i / SLICES for i in range(1, SLICES)]
+    cuts, _ = session.stage(counts.groupBy("column").agg(
+        F.percentile_approx("value", fractions, 2000).alias("cuts")), "cuts")
+    sliced = counts.join(cuts, "column").withColumn(
+        "slice", F.size(F.filter("cuts", lambda x: x < c("value")))).drop("cuts")
+    per_slice, rows = session.stage(
+        sliced.groupBy("column", "slice", "snapshot_date").agg(F.sum("n").alias("n")), "slices")
+    none = counts.select("snapshot_date", "column", F.lit(None).cast("double").alias("median"))
+    span = wanted.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
+    if not rows or span[0] is None:
+        return none.limit(0)
+
+    calendar = F.expr(f"sequence(date'{span[0]}', date'{span[1]}', interval 1 month)")
+    ticks = per_slice.select("column", "slice").distinct().select(
+        "column", "slice", F.explode(calendar).alias("snapshot_date"), F.lit(0).alias("n"),
+        F.lit(True).alias("tick"))
+    months_so_far = (Window.partitionBy("column", "slice").orderBy("snapshot_date")
+                     .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    so_far = (per_slice.withColumn("tick", F.lit(False)).unionByName(ticks)
+              .withColumn("n", F.sum("n").over(months_so_far)).where("tick"))
+    month = Window.partitionBy("column", "snapshot_date")
+    below = month.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    located = so_far.select(
+        "column", "slice", "snapshot_date", "n",
+        F.coalesce(F.sum("n").over(below), F.lit(0)).alias("below"),
+        F.ceil(F.sum("n").over(month) * 0.5).alias("rank"))
+    inside = (c("rank") > c("below")) & (c("rank") <= c("below") + c("n"))
+    targets, _ = session.stage(
+        located.where(inside).join(wanted, "snapshot_date", "left_semi").select(
+            "column", "slice", c("snapshot_date").alias("month"),
+            (c("rank") - c("below")).alias("rank")), "targets")
+    near = (sliced.join(targets, ["column", "slice"]).where(c("snapshot_date") <= c("month"))
+            .groupBy("column", "month", "value", "rank").agg(F.sum("n").alias("n")))
+    upto = (Window.partitionBy("column", "month").orderBy("value")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (near.withColumn("upto", F.sum("n").over(upto)).where(c("upto") >= c("rank"))
+            .groupBy(c("month").alias("snapshot_date"), "column")
+            .agg(F.min("value").alias("median")))
 
 
 def fill_history_medians(df: DataFrame, medians: DataFrame, columns: Sequence[str]) -> DataFrame:

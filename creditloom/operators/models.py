@@ -13,7 +13,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from creditloom.operators.metrics import score_counts
@@ -182,6 +182,16 @@ def linear_score(columns: Sequence[str], coefficients: Sequence[float], intercep
     return sigmoid(z)
 
 
+def linear_model(columns: Sequence[str], coefficients: Sequence[float], intercept: float,
+                 scaler: Mapping[str, tuple[float, float]]) -> PipelineModel:
+    """The same as a storable pipeline that adds `raw_score`."""
+    terms = "".join(f" + ({float(w)!r}D) * (`{c}` - ({scaler[c][0]!r}D)) / ({scaler[c][1]!r}D)"
+                    for c, w in zip(columns, coefficients, strict=True))
+    z = f"({float(intercept)!r}D){terms}"
+    return PipelineModel([SQLTransformer(
+        statement=f"SELECT *, 1.0D / (1.0D + exp(-({z}))) AS raw_score FROM __THIS__")])
+
+
 # --- stored models -------------------------------------------------------------------------------
 
 @dataclass
@@ -192,14 +202,17 @@ class Artefact:
     model_type: str
     feature_columns: list[str]
     model: PipelineModel
+    importances: list[float]
     calibration: tuple[float, float] | None = None
     results: dict[str, float] = field(default_factory=dict)
     params: dict = field(default_factory=dict)
     dates: dict[str, str] = field(default_factory=dict)
 
     def raw_scores(self, df: DataFrame) -> DataFrame:
-        return (self.model.transform(df)
-                .withColumn("raw_score", vector_to_array("probability")[1])
+        out = self.model.transform(df)
+        if "raw_score" in out.columns:
+            return out
+        return (out.withColumn("raw_score", vector_to_array("probability")[1])
                 .drop("features", "rawPrediction", "probability", "prediction"))
 
     def scores(self, df: DataFrame) -> DataFrame:
@@ -214,7 +227,7 @@ class Artefact:
     def save(self, spark: SparkSession, root: str) -> None:
         self.model.write().overwrite().save(f"{root}/model_bank/{self.model_version}")
         row = spark.createDataFrame([(
-            self.model_version, self.model_type, self.feature_columns,
+            self.model_version, self.model_type, self.feature_columns, self.importances,
             list(self.calibration) if self.calibration else None,
             {k: float(v) for k, v in self.results.items()}, json.dumps(self.params), self.dates)],
             REGISTRY)
@@ -223,7 +236,7 @@ class Artefact:
 
 
 REGISTRY = ("model_version string, model_type string, feature_columns array<string>, "
-            "calibration array<double>, results map<string,double>, params string, "
+            "importances array<double>, calibration array<double>, results map<string,double>, params string, "
             "dates map<string,string>")
 
 
@@ -238,7 +251,7 @@ def load(spark: SparkSession, root: str, model_version: str) -> Artefact:
     r = rows[0]
     return Artefact(
         r["model_version"], r["model_type"], list(r["feature_columns"]),
-        PipelineModel.load(f"{root}/model_bank/{model_version}"),
+        PipelineModel.load(f"{root}/model_bank/{model_version}"), list(r["importances"]),
         tuple(r["calibration"]) if r["calibration"] else None,
         dict(r["results"]), json.loads(r["params"]), dict(r["dates"]))
 
@@ -294,3 +307,9 @@ def importance_share(importance: DataFrame, n: int) -> DataFrame:
         F.count(F.lit(1)).alias("n_features"),
         F.try_divide(F.sum(F.when(F.col("top"), F.col("importance"))), F.sum("importance"))
         .alias("top_share"))
+
+
+def ranks(importance: DataFrame) -> DataFrame:
+    """Adds `rank` from 1; a table has one row per model input, so one sort is enough."""
+    order = Window.partitionBy("model_name").orderBy(F.desc("importance"), "position")
+    return importance.withColumn("rank", F.row_number().over(order))

@@ -162,3 +162,41 @@ def alert(spark: SparkSession, root: str, brier_baseline: str = "stored") -> Dat
             F.col("model_version").alias("model_name"),
             F.col("results")["brier_oot_calibrated"].alias("baseline_brier"))
     return drift.breach(rows, baseline)
+
+
+def drift_report(predictions: DataFrame, features: DataFrame, csi_features: Sequence[str],
+                 current: str, csi_baseline: str) -> DataFrame:
+    """The tables of a drift report for one month: score drift of every model against its first
+    scored month, and every watched feature against the baseline month, with bands."""
+    at = lambda df: df.where(F.col("snapshot_date") == F.lit(current).cast("date"))
+    start = drift.first_month_rows(predictions)
+    scores = drift.stability(at(predictions), start, ["model_name"], ["snapshot_date"],
+                             "model_predictions")
+    baseline = F.col("snapshot_date") == F.lit(csi_baseline).cast("date")
+    long = drift.feature_long(features, csi_features)
+    csi = drift.stability(at(long), long.where(baseline), ["feature"], ["snapshot_date"], "value")
+    rows = lambda df, section, name: df.select(
+        F.lit(section).alias("section"), F.col(name).alias("name"), "snapshot_date",
+        F.round("psi", 6).alias("psi"), drift.drift_band(F.col("psi")).alias("band"))
+    return rows(scores, "score", "model_name").unionAll(rows(csi, "feature", "feature"))
+
+
+def data_summary(features: DataFrame, columns: Sequence[str], baseline: str,
+                 current: str) -> DataFrame:
+    """Profile of every feature on both sides: volume, nulls, distinct values, range, moments."""
+    side = (F.when(F.col("snapshot_date") == F.lit(baseline).cast("date"), "baseline")
+            .when(F.col("snapshot_date") == F.lit(current).cast("date"), "current"))
+    long = (features.withColumn("side", side).where(F.col("side").isNotNull())
+            .select("side", *[F.col(c).cast("double").alias(c) for c in columns])
+            .unpivot(["side"], list(columns), "feature", "value"))
+    per_value = long.groupBy("side", "feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    # Distinct values are combined first, so no group's value set is held by one task.
+    distinct = per_value.groupBy("side", "feature").agg(
+        F.sum("n").alias("n_rows"), F.count("value").alias("n_distinct"))
+    moments = long.groupBy("side", "feature").agg(
+        F.count("value").alias("n_known"), F.min("value").alias("smallest"),
+        F.max("value").alias("largest"), F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("std"))
+    return distinct.join(moments, ["side", "feature"]).withColumn(
+        "null_share", 1 - F.col("n_known") / F.col("n_rows")).withColumn(
+        "is_constant", F.col("n_distinct") <= 1)

@@ -44,6 +44,8 @@ def fit(frame: DataFrame, kind: str, train_date: str, tt_months: int = 12, draws
     prepare = models.Pipeline(stages=models.input_stages(scaler)).fit(train)
     if kind == "logreg":
         model = models.fit_logreg(prepare.transform(train))
+        pipeline = models.linear_model(columns, model.coefficients.toArray(), model.intercept,
+                                       scaler)
         params = {"max_iter": 1000, "class_weight": "balanced"}
     else:
         vectors, _ = session.stage(
@@ -53,9 +55,10 @@ def fit(frame: DataFrame, kind: str, train_date: str, tt_months: int = 12, draws
         params = points[0] if len(points) == 1 else models.temporal_search(
             vectors, points, folds, parallelism=parallelism)[0][0]
         model = models.gbt(params).fit(vectors)
+        pipeline = PipelineModel([*prepare.stages, model])
     artefact = models.Artefact(
         models.version(kind, train_date, tt_months), kind, columns,
-        PipelineModel([*prepare.stages, model]), params=dict(params),
+        pipeline, models.importance_values(model), params=dict(params),
         dates={"train_date": train_date, "tt_months": str(tt_months)})
 
     raw, _ = session.stage(
@@ -91,8 +94,8 @@ def write_predictions(predictions: DataFrame, root: str):
 
 def write_importance(spark: SparkSession, root: str, artefact: models.Artefact) -> DataFrame:
     """The ranked importance table of a model, read later to scope feature drift."""
-    values = models.importance_values(artefact.model.stages[-1])
-    ranked = models.importance_table(spark, artefact.feature_columns, values).withColumn(
+    ranked = models.importance_table(
+        spark, artefact.feature_columns, artefact.importances).withColumn(
         "model_name", F.lit(artefact.model_version))
     tables.overwrite_partitions(
         ranked, tables.table_path(root, "gold", "feature_importance"), ("model_name",))

@@ -168,9 +168,15 @@ shared("t_edges", f"""
     select p.model_name, quantile_cont(model_predictions, [{_INNER}]) as edges
     from t_predictions p join t_first_month f
       on f.model_name = p.model_name and f.baseline_date = p.snapshot_date group by 1""")
-shared("t_bins", """
-    select p.model_name, p.snapshot_date, len(list_filter(e.edges, x -> model_predictions >= x)) as bin,
-           count(*) as n
+
+
+def bin_number(value: str, edges: str = "e.edges", test: str = ">=") -> str:
+    return " + ".join(
+        f"(case when {value} {test} {edges}[{i}] then 1 else 0 end)" for i in range(1, 10))
+
+
+shared("t_bins", f"""
+    select p.model_name, p.snapshot_date, {bin_number('model_predictions')} as bin, count(*) as n
     from t_predictions p join t_edges e on e.model_name = p.model_name group by 1, 2, 3""")
 
 

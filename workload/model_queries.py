@@ -1 +1,444 @@
-"""placeholder"""
+"""Feature transforms, training and scoring (M), evaluation metrics (E)."""
+
+from __future__ import annotations
+
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from creditloom import schemas, session
+from creditloom.functions.loans import credit_ratios
+from creditloom.operators import align, drift, encode, impute, metrics, models, scoring
+from creditloom.operators import point_in_time as pit
+from creditloom.plans import gold, train
+from workload.inputs import LOAN_COLUMNS, Inputs
+from workload.join_queries import bin_number, candidates
+from workload.registry import query, shared
+from workload.tables import FE
+
+KEYS = ["Customer_ID", "snapshot_date"]
+TRAIN_DATE = "1998-09-01"
+
+# Category labels of the derived tables, as the reference SQL must name its columns.
+LABELS = {
+    "Occupation": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "unknown"],
+    "Credit_Mix": ["Good", "Standard", "Bad", "unknown"],
+    "Payment_of_Min_Amount": ["Yes", "No", "NM"],
+    "payment_behaviour_spent": ["Low", "High", "unknown"],
+    "payment_behaviour_value": ["Small", "Medium", "Large", "unknown"],
+}
+
+
+def one_hot_sql(columns, labels=LABELS) -> str:
+    return ", ".join(
+        f"case when coalesce({c}, 'unknown') = '{v}' then 1 else 0 end"
+        f" as {encode.column_name(c, v)}" for c in columns for v in labels[c])
+
+
+FINANCIAL_CATEGORIES = schemas.CATEGORIES[1:]
+
+
+@query("m1_one_hot", f"""
+    select Customer_ID, snapshot_date, {one_hot_sql(FINANCIAL_CATEGORIES)}
+    from t_financial_values""")
+def m1(spark, sf):
+    rows = Inputs(spark, sf).financial_values.select(*KEYS, *FINANCIAL_CATEGORIES)
+    return encode.one_hot(rows, encode.fit_vocabulary(rows, FINANCIAL_CATEGORIES))
+
+
+@query("m1_category_frequencies", " union all ".join(
+    f"select '{c}' as \"column\", coalesce({c}, 'unknown') as label, count(*) as n"
+    " from t_financial_values group by 2" for c in FINANCIAL_CATEGORIES))
+def m1_frequencies(spark, sf):
+    return encode.label_frequencies(Inputs(spark, sf).financial_values, FINANCIAL_CATEGORIES)
+
+
+@query("u2_one_hot_array", """
+    select Customer_ID, snapshot_date,
+           cast(Payment_of_Min_Amount = 'NM' as integer) as nm,
+           cast(Payment_of_Min_Amount = 'No' as integer) as no,
+           cast(Payment_of_Min_Amount = 'Yes' as integer) as yes
+    from t_financial_values""")
+def u2(spark, sf):
+    """Vectors of a fitted indexer and encoder as plain columns, without a Python function."""
+    rows = Inputs(spark, sf).financial_values.select(*KEYS, "Payment_of_Min_Amount")
+    indexer = StringIndexer(inputCol="Payment_of_Min_Amount", outputCol="i",
+                            stringOrderType="alphabetAsc").fit(rows)
+    encoded = OneHotEncoder(inputCol="i", outputCol="v", dropLast=False).fit(
+        indexer.transform(rows)).transform(indexer.transform(rows))
+    values = vector_to_array("v")
+    return encoded.select(*KEYS, *[values[i].cast("int").alias(label.lower())
+                                   for i, label in enumerate(indexer.labels)])
+
+
+NUMBERS = [*schemas.FINANCIAL_NUMBERS, "Credit_History_Age"]
+_KINDS = {**{c: ("integer" if t == "int" else "double")
+             for c, t in schemas.FINANCIAL_NUMBERS.items()}, "Credit_History_Age": "integer"}
+
+
+@query("m2_median_impute", "select v.Customer_ID, v.snapshot_date, " + ", ".join(
+    f"coalesce(v.{c}, cast(m.{c} as {_KINDS[c]}), 0) as {c}" for c in NUMBERS)
+    + " from t_financial_values v join (select snapshot_date, " + ", ".join(
+        f"quantile_disc({c}, 0.5e0) as {c}" for c in NUMBERS)
+    + " from t_financial_values group by 1) m on m.snapshot_date = v.snapshot_date")
+def m2(spark, sf):
+    rows = Inputs(spark, sf).financial_values.select(*KEYS, *NUMBERS)
+    return impute.median_impute(rows, NUMBERS, exact=True)
+
+
+# --- the feature store as one SQL text -----------------------------------------------------------
+
+# Applications without any known finances have every category unknown.
+_JOINED_LABELS = {**LABELS, "Payment_of_Min_Amount": ["Yes", "No", "NM", "unknown"]}
+_RATIOS = list(credit_ratios())
+_HOT = [encode.column_name(c, v) for c in schemas.CATEGORIES for v in _JOINED_LABELS[c]]
+_ALL = ["loan_amt", "tenure", *NUMBERS, "Age", *LOAN_COLUMNS, *FE, *_RATIOS, *_HOT]
+_q = lambda c: f'"{c}"'
+shared("t_joined", f"""
+    select a.Customer_ID, a.snapshot_date, a.loan_amt, a.tenure,
+           {', '.join('f.' + c for c in [*NUMBERS, *FINANCIAL_CATEGORIES])}, t.Age, t.Occupation,
+           {', '.join('l.' + _q(c) for c in LOAN_COLUMNS)}, {', '.join('h.' + c for c in FE)}
+    from t_applications a
+    join t_history_filled h on h.Customer_ID = a.Customer_ID and h.snapshot_date = a.snapshot_date
+    asof left join t_financials f
+      on f.Customer_ID = a.Customer_ID and f.snapshot_date <= a.snapshot_date
+    asof left join t_attributes t
+      on t.Customer_ID = a.Customer_ID and t.snapshot_date <= a.snapshot_date
+    asof left join t_loan_type l
+      on l.Customer_ID = a.Customer_ID and l.snapshot_date <= a.snapshot_date""")
+shared("t_encoded", f"""
+    select *, Outstanding_Debt / nullif(Annual_Income + 1.0e0, 0) as debt_to_income,
+           Total_EMI_per_month / nullif(Monthly_Inhand_Salary + 1.0e0, 0) as emi_to_salary,
+           Amount_invested_monthly / nullif(Monthly_Inhand_Salary + 1.0e0, 0) as savings_rate,
+           Num_of_Delayed_Payment / nullif(Num_of_Loan + 1.0e0, 0) as payment_stress,
+           Num_of_Loan / nullif(Num_Credit_Card + 1.0e0, 0) as loans_per_credit_card,
+           Monthly_Inhand_Salary - Total_EMI_per_month as monthly_surplus,
+           {one_hot_sql(schemas.CATEGORIES, _JOINED_LABELS)}
+    from t_joined""")
+shared("t_feature_medians", "select snapshot_date, " + ", ".join(
+    f"quantile_disc({_q(c)}, 0.5e0) as {_q(c)}" for c in _ALL) + " from t_encoded group by 1")
+_INTS = {"tenure", "Age", *LOAN_COLUMNS, *_HOT, *[c for c, k in _KINDS.items() if k == "integer"]}
+shared("t_features", "select e.Customer_ID, e.snapshot_date, " + ", ".join(
+    f"coalesce(e.{_q(c)}, m.{_q(c)}, 0) as {_q(c)}" for c in _ALL)
+    + " from t_encoded e join t_feature_medians m on m.snapshot_date = e.snapshot_date")
+
+
+@query("m3_build_feature_store", "select Customer_ID, snapshot_date, " + ", ".join(
+    f"{_q(c)}" if c in _INTS else f"round({_q(c)}, 6) as {_q(c)}" for c in _ALL)
+    + " from t_features")
+def m3(spark, sf):
+    x = Inputs(spark, sf)
+    features = gold.build_feature_store(x.lms, x.financials, x.attributes, x.loan_type,
+                                        x.clickstream, exact=True)
+    kinds = dict(features.dtypes)
+    return features.select(*[F.round(f"`{c}`", 6).alias(c) if kinds[c] == "double"
+                             else F.col(f"`{c}`") for c in features.columns])
+
+
+# --- splits, scaling -----------------------------------------------------------------------------
+
+def frame(x: Inputs):
+    """Applications with outcomes and history means, split by time around one training date."""
+    aligned = align.align_offset(x.applications, x.labels)
+    return align.temporal_split(aligned, align.Windows.before(TRAIN_DATE))
+
+
+@query("m4_temporal_split", """
+    select Customer_ID, snapshot_date, loan_amt, label, split from t_split
+    where split is not null""")
+def m4(spark, sf):
+    return frame(Inputs(spark, sf)).drop("tenure")
+
+
+@query("m5_stratified_split", """
+    select label, unnest(['train', 'test']) as split,
+           cast(unnest([round(count(*) * 0.8e0), count(*) - round(count(*) * 0.8e0)]) as bigint) as n
+    from t_labels group by label""")
+def m5(spark, sf):
+    return align.stratified_split(Inputs(spark, sf).labels).groupBy("label", "split").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+shared("t_train_scale", """
+    select avg(loan_amt) as mean, stddev_pop(loan_amt) as std, avg(tenure) as tenure_mean
+    from t_split where split = 'train'""")
+
+
+@query("m6_standard_scale", """
+    select f.Customer_ID, f.snapshot_date, f.split, round((loan_amt - mean) / std, 6) as loan_amt,
+           round((tenure - tenure_mean) / 1e0, 6) as tenure
+    from t_split f, t_train_scale s where f.split is not null""")
+def m6(spark, sf):
+    rows = frame(Inputs(spark, sf))
+    scaler = models.fit_scaler(rows.where(F.col("split") == "train"), ["loan_amt", "tenure"])
+    return models.scale_columns(rows, scaler).select(
+        *KEYS, "split", F.round("loan_amt", 6).alias("loan_amt"),
+        F.round("tenure", 6).alias("tenure"))
+
+
+# --- fitted models -------------------------------------------------------------------------------
+
+SMALL_FEATURES = ["loan_amt", "tenure", "Outstanding_Debt", "Num_of_Loan", "Annual_Income", *FE[:5]]
+SMALL_TREES = {"n_estimators": [10], "max_depth": [2, 3], "learning_rate": [0.1],
+               "subsample": [0.8, 1.0], "colsample_bytree": [0.8, 1.0]}
+
+
+def training_rows(x: Inputs):
+    """A training frame over all customers: application, history and finances known by then."""
+    known = pit.as_of(x.applications, {"financials": x.financial_values.select(
+        *KEYS, "Outstanding_Debt", "Num_of_Loan", "Annual_Income")}, x.clickstream, FE[:5])
+    filled = impute.median_impute(known, SMALL_FEATURES)
+    return train.training_frame(filled, x.labels, align.Windows.before(TRAIN_DATE, tt_months=24))
+
+
+def fitted(x: Inputs, kind: str, draws: int = 1):
+    rows = training_rows(x)
+    return rows, train.fit(rows, kind, TRAIN_DATE, 24, draws=draws, space=SMALL_TREES,
+                           columns=SMALL_FEATURES)
+
+
+def result_rows(spark, artefact):
+    return spark.createDataFrame(
+        [(artefact.model_version, k, float(v)) for k, v in sorted(artefact.results.items())],
+        "model_version string, metric string, value double")
+
+
+@query("m7_logreg_balanced")
+def m7(spark, sf):
+    rows = training_rows(Inputs(spark, sf)).where(F.col("split") == "train")
+    model = models.fit_logreg(models.inputs(rows, models.fit_scaler(rows, SMALL_FEATURES)))
+    values = [*zip(SMALL_FEATURES, map(float, model.coefficients)), ("intercept", model.intercept)]
+    return spark.createDataFrame(values, "term string, coefficient double")
+
+
+@query("m8_boosted_trees")
+def m8(spark, sf):
+    rows = training_rows(Inputs(spark, sf)).where(F.col("split") == "train")
+    vectors = models.inputs(rows, models.fit_scaler(rows, SMALL_FEATURES))
+    model = models.gbt({"n_estimators": 10, "max_depth": 3, "subsample": 0.8}).fit(vectors)
+    scored = model.transform(vectors).select(
+        *KEYS, vector_to_array("probability")[1].alias("model_predictions"))
+    return scored
+
+
+@query("m9_random_search_temporal_cv")
+def m9(spark, sf):
+    rows = training_rows(Inputs(spark, sf)).where(F.col("split") == "train")
+    vectors = models.inputs(rows, models.fit_scaler(rows, SMALL_FEATURES)).select(
+        *KEYS, "label", "features")
+    folded, _ = session.stage(align.expanding_folds(vectors), "vectors")
+    ranked = models.temporal_search(folded, models.draw_parameters(2, space=SMALL_TREES))
+    return spark.createDataFrame(
+        [(i, str(sorted(p.items())), float(auc)) for i, (p, auc) in enumerate(ranked)],
+        "rank int, params string, mean_auc double")
+
+
+@query("m9_expanding_folds", """
+    select cast(0 as integer) as block, count(*) - 3 * (count(*) // 4) as n from t_split
+    where split = 'train'
+    union all select b, n from (select unnest([1, 2, 3]) as b, count(*) // 4 as n
+                                from t_split where split = 'train')""")
+def m9_folds(spark, sf):
+    rows = frame(Inputs(spark, sf)).where(F.col("split") == "train")
+    # A customer's loans of a month stay together, so the last cut may move by such a group.
+    numbered = rows.withColumn("row_key", F.concat_ws("/", *KEYS, F.col("label"),
+                                                      F.monotonically_increasing_id()))
+    return align.expanding_folds(numbered, key="row_key").groupBy("block").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query("m10_platt_calibrate")
+def m10(spark, sf):
+    x = Inputs(spark, sf)
+    matched = scoring.with_outcomes(x.predictions, x.labels)
+    gbt = matched.where(F.col("model_name").contains("gbt"))
+    slope, intercept = models.fit_platt(gbt, "model_predictions")
+    return gbt.select(*KEYS, "label", "model_predictions", models.sigmoid(
+        F.col("model_predictions") * slope + intercept).alias("calibrated"))
+
+
+@query("m10_platt_targets", """
+    select score, label, round(case when label = 1 then w else pos + neg - w end, 6) as weight
+    from (select c.*, l.label,
+                 pos * (t.p + 1e0) / (t.p + 2e0) + neg * 1e0 / (t.n + 2e0) as w
+          from (select model_predictions as score, sum(label) as pos, sum(1 - label) as neg
+                from t_matched where model_name = 'credit_gbt_1996_01_01' group by 1) c,
+               (select sum(label) as p, sum(1 - label) as n from t_matched
+                where model_name = 'credit_gbt_1996_01_01') t,
+               (select unnest([0, 1]) as label) l) x""")
+def m10_targets(spark, sf):
+    x = Inputs(spark, sf)
+    matched = scoring.with_outcomes(
+        x.predictions.where(F.col("model_name") == "credit_gbt_1996_01_01"), x.labels)
+    counts = metrics.score_counts(matched, [])
+    return models.platt_targets(counts).select("score", "label",
+                                               F.round("weight", 6).alias("weight"))
+
+
+@query("m11_batch_score", """
+    select Customer_ID, cast(a.snapshot_date + to_months(6) as date) as snapshot_date,
+           'credit_logreg_1998_09_01' as model_name, round(score, 6) as model_predictions,
+           case when score >= 0.5 then 1 else 0 end as prediction_label
+    from (select a.*, 1e0 / (1e0 + exp(-(-0.4e0 + 0.8e0 * (loan_amt - mean) / std
+                                         + 0.3e0 * (tenure - tenure_mean)))) as score
+          from t_applications a, t_train_scale s) a""")
+def m11(spark, sf):
+    """Scores every application with given coefficients and a scaler fitted on the train split."""
+    x = Inputs(spark, sf)
+    columns = ["loan_amt", "tenure"]
+    scaler = models.fit_scaler(frame(x).where(F.col("split") == "train"), columns)
+    rows = scoring.align_to_model(x.applications, columns)
+    score = models.linear_score(columns, [0.8, 0.3], -0.4, scaler)
+    out = scoring.prediction_rows(rows, "credit_logreg_1998_09_01", score, label_months=6)
+    return out.withColumn("model_predictions", F.round("model_predictions", 6))
+
+
+@query("m12_save_oot_scores")
+def m12(spark, sf):
+    rows, artefact = fitted(Inputs(spark, sf), "logreg")
+    root = session.scratch_path(spark, "oot")
+    train.write_predictions(train.oot_predictions(artefact, rows), root)
+    return spark.read.parquet(f"{root}/gold/model_predictions")
+
+
+@query("m13_champion_select", """
+    select max(case when r = 1 then model_version end) as champion,
+           max(case when r = 2 then model_version end) as runner_up,
+           round(max(auc_oot), 6) as auc_oot, round(max(auc_oot) - min(auc_oot), 6) as margin
+    from (select *, row_number() over (order by auc_oot desc, position) as r
+          from t_candidates) x""")
+def m13(spark, sf):
+    return models.champion(candidates(Inputs(spark, sf))).select(
+        "champion", "runner_up", F.round("auc_oot", 6).alias("auc_oot"),
+        F.round("margin", 6).alias("margin"))
+
+
+@query("m14_model_persist")
+def m14(spark, sf):
+    """Stores a fitted model, loads it again and scores the out-of-time rows with it."""
+    rows, artefact = fitted(Inputs(spark, sf), "gbt")
+    root = session.scratch_path(spark, "bank")
+    artefact.save(spark, root)
+    loaded = models.load(spark, root, artefact.model_version)
+    return train.oot_predictions(loaded, rows)
+
+
+@query("m15_feature_importance")
+def m15(spark, sf):
+    _, artefact = fitted(Inputs(spark, sf), "gbt")
+    table = models.importance_table(spark, artefact.feature_columns, artefact.importances)
+    return models.top_features(table, drift.TOP_FEATURES)
+
+
+@query("m16_clickstream_only_model")
+def m16(spark, sf):
+    """The early variant: same-month clickstream only, random split, trees on fe_ columns."""
+    x = Inputs(spark, sf)
+    joined = align.align_same_month(x.labels, x.clickstream)
+    columns = [c for c in joined.columns if c.startswith("fe_")]
+    filled, _ = session.stage(align.stratified_split(impute.fill_constant(joined, 0, columns)),
+                              "same_month")
+    learn = filled.where(F.col("split") == "train")
+    prepare = models.Pipeline(stages=models.input_stages(models.fit_scaler(learn, columns))).fit(
+        learn)
+    model = models.gbt({"n_estimators": 10, "max_depth": 2}).fit(prepare.transform(learn))
+    scored = model.transform(prepare.transform(filled)).select(
+        "split", "label", vector_to_array("probability")[1].alias("score"))
+    return metrics.classification_metrics(scored, ["split"], "score")
+
+
+# --- metrics -------------------------------------------------------------------------------------
+
+def quality(x: Inputs):
+    return scoring.prefer_direct(metrics.classification_metrics(
+        scoring.with_candidate_outcomes(x.predictions, x.labels),
+        ["model_name", "snapshot_date", "offset"]))
+
+
+def _metric_query(name: str, columns: list[str], derived: str | None = None):
+    sql = "select model_name, snapshot_date, " + ", ".join(
+        f"round({derived or c}, 6) as {c}" for c in columns) + " from t_quality"
+
+    @query(name, sql)
+    def run(spark, sf):
+        return quality(Inputs(spark, sf)).select(
+            "model_name", "snapshot_date", *[F.round(c, 6).alias(c) for c in columns])
+
+
+_metric_query("e1_roc_auc", ["auc"])
+_metric_query("e2_gini", ["gini"], "2 * auc - 1")
+_metric_query("e3_precision_recall_f1", ["precision", "recall", "f1"])
+_metric_query("e4_brier", ["brier"])
+
+_INNER = ", ".join(repr(i * 0.1) + "e0" for i in range(1, 10))
+shared("t_reliability_edges", f"""
+    select model_name, quantile_cont(model_predictions, [{_INNER}]) as edges
+    from t_matched group by 1""")
+
+
+@query("e5_reliability_curve", f"""
+    select model_name, bin, count(*) as n, round(avg(model_predictions), 6) as mean_predicted,
+           round(avg(label), 6) as observed_rate
+    from (select m.*, {bin_number('m.model_predictions', test='>')} as bin
+          from t_matched m join t_reliability_edges e on e.model_name = m.model_name) x
+    group by 1, 2""")
+def e5(spark, sf):
+    x = Inputs(spark, sf)
+    matched = scoring.matched_rows(scoring.with_candidate_outcomes(x.predictions, x.labels))
+    return metrics.reliability(matched, ["model_name"]).select(
+        "model_name", "bin", "n", F.round("mean_predicted", 6).alias("mean_predicted"),
+        F.round("observed_rate", 6).alias("observed_rate"))
+
+
+shared("t_scored_split", """
+    select p.model_predictions as score, l.label,
+           case when l.snapshot_date between date '1998-07-01' and date '1998-08-31' then 'oot'
+                when l.snapshot_date between date '1997-07-01' and date '1998-04-30' then 'train'
+                when l.snapshot_date between date '1998-05-01' and date '1998-06-30' then 'test'
+           end as split, p.model_name
+    from t_predictions p join t_labels l
+      on l.Customer_ID = p.Customer_ID and l.snapshot_date = p.snapshot_date""")
+shared("t_split_ranked", """
+    select *, sum(neg) over (partition by model_name, split order by score
+                             rows between unbounded preceding and 1 preceding) as below
+    from (select model_name, split, score, sum(label) as pos, sum(1 - label) as neg
+          from t_scored_split where split is not null group by 1, 2, 3) c""")
+
+
+@query("e6_metrics_by_split", """
+    select model_name, split, cast(sum(pos) + sum(neg) as bigint) as n,
+           round(sum(cast(pos as double) * (coalesce(below, 0) + neg / 2e0))
+                 / (cast(sum(pos) as double) * cast(sum(neg) as double)), 6) as auc,
+           round(coalesce(sum(case when score >= 0.5 then pos end) * 1e0
+                 / nullif(sum(case when score >= 0.5 then pos + neg end), 0), 0), 6) as precision,
+           round(coalesce(sum(case when score >= 0.5 then pos end) * 1e0 / sum(pos), 0), 6)
+             as recall
+    from t_split_ranked group by 1, 2""")
+def e6(spark, sf):
+    x = Inputs(spark, sf)
+    rows = align.temporal_split(scoring.with_outcomes(x.predictions, x.labels),
+                                align.Windows.before(TRAIN_DATE))
+    return metrics.classification_metrics(rows, ["model_name", "split"]).select(
+        "model_name", "split", "n", *[F.round(c, 6).alias(c)
+                                      for c in ("auc", "precision", "recall")])
+
+
+@query("e7_confusion_free_guard", """
+    select split, one_class, count(*) as n, cast(sum(label) as bigint) as n_pos,
+           case when count(distinct label) = 2 then 1 else 0 end as has_metrics
+    from (select *, case when one_class = 1 then 0 else label0 end as label
+          from (select split, label as label0, unnest([0, 1]) as one_class from t_split
+                where split is not null) a) b
+    group by 1, 2""")
+def e7(spark, sf):
+    """Every split once as it is and once with all outcomes good: the latter must have none."""
+    rows = frame(Inputs(spark, sf)).select(
+        "split", "loan_amt", "label", F.explode(F.array(F.lit(0), F.lit(1))).alias("one_class"))
+    guarded = rows.withColumn("label", F.when(F.col("one_class") == 1, 0).otherwise(
+        F.col("label"))).withColumn("score", F.col("loan_amt") / (F.col("loan_amt") + 250000.0))
+    found = metrics.classification_metrics(guarded, ["split", "one_class"], "score")
+    known = [F.col(c).isNotNull() for c in ("auc", "precision", "recall", "f1", "brier")]
+    every = known[0]
+    for k in known[1:]:
+        every = every & k
+    return found.select("split", "one_class", "n", "n_pos", every.cast("int").alias("has_metrics"))

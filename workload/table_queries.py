@@ -1 +1,340 @@
-"""placeholder"""
+"""Sources and sinks (S), and whole jobs (B): written to a scratch folder and read back."""
+
+from __future__ import annotations
+
+from functools import cache
+
+from pyspark.sql import functions as F
+
+from creditloom import session
+from creditloom.operators import metrics, models
+from creditloom.plans import gold, ingest, operate, train
+from creditloom.sources import calendar, tables
+from creditloom.sources.registry import SOURCES, read_raw_csv, source
+from workload.inputs import Inputs
+from workload.model_queries import SMALL_TREES, TRAIN_DATE
+from workload.registry import query
+
+KEYS = ["Customer_ID", "snapshot_date"]
+
+
+def land_raw(x: Inputs, name: str, folder: str) -> None:
+    """The raw table as the CSV files the source system would deliver."""
+    src = source(name)
+    x.raw(name).select(*src.schema.names).write.option("header", True).csv(
+        f"{folder}/{src.file_name}")
+
+
+@query("s1_csv_scan", "select * from t_financials_raw")
+def s1(spark, sf):
+    folder = session.scratch_path(spark, "raw")
+    land_raw(Inputs(spark, sf), "financials", folder)
+    src = source("financials")
+    return read_raw_csv(spark, f"{folder}/{src.file_name}", src.schema)
+
+
+@query("s2_source_registry", """
+    select 'lms' as source, 'lms_loan_daily.csv' as file_name, 11 as n_columns, count(*) as n
+    from t_lms_raw
+    union all select 'clickstream', 'feature_clickstream.csv', 22, count(*) from t_clickstream_raw
+    union all select 'attributes', 'features_attributes.csv', 6, count(*) from t_attributes_raw
+    union all select 'financials', 'features_financials.csv', 22, count(*)
+    from t_financials_raw""")
+def s2(spark, sf):
+    x = Inputs(spark, sf)
+    parts = [x.raw(name).agg(
+        F.lit(name).alias("source"), F.lit(src.file_name).alias("file_name"),
+        F.lit(len(src.schema)).alias("n_columns"), F.count(F.lit(1)).alias("n"))
+        for name, src in SOURCES.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionAll(p)
+    return out
+
+
+@query("s3_parquet_multi_scan", "select * from t_clickstream")
+def s3(spark, sf):
+    path = session.scratch_path(spark, "clickstream")
+    tables.overwrite_partitions(Inputs(spark, sf).clickstream, path)
+    return tables.read_table(spark, path)
+
+
+@query("s4_parquet_partition_scan", """
+    select Customer_ID, snapshot_date, fe_1, fe_2 from t_clickstream
+    where snapshot_date = date '1998-06-01'""")
+def s4(spark, sf):
+    path = session.scratch_path(spark, "clickstream")
+    tables.overwrite_partitions(Inputs(spark, sf).clickstream, path)
+    return tables.read_month(spark, path, "1998-06-01").select(*KEYS, "fe_1", "fe_2")
+
+
+@query("s5_label_concat", "select Customer_ID, snapshot_date, label from t_labels")
+def s5(spark, sf):
+    path = session.scratch_path(spark, "labels")
+    schema = "Customer_ID string, snapshot_date date, label int"
+    nothing = tables.read_or_empty(spark, path, schema)
+    tables.overwrite_partitions(Inputs(spark, sf).labels, path)
+    return nothing.unionAll(tables.read_or_empty(spark, path, schema))
+
+
+@query("s6_bronze_sink", "select * from t_clickstream_raw")
+def s6(spark, sf):
+    raw, root = session.scratch_path(spark, "raw"), session.scratch_path(spark, "mart")
+    land_raw(Inputs(spark, sf), "clickstream", raw)
+    ingest.bronze(spark, raw, root, "clickstream")
+    return ingest.read_bronze(spark, root, "clickstream")
+
+
+@query("s7_partition_overwrite_sink", """
+    select loan_id, Customer_ID, label_def, snapshot_date,
+           case when snapshot_date = date '1998-06-01' then 1 - label else label end as label
+    from t_labels""")
+def s7(spark, sf):
+    """Writes all months, then one month again with changed rows, twice."""
+    labels, path = Inputs(spark, sf).labels, session.scratch_path(spark, "labels")
+    tables.overwrite_partitions(labels, path)
+    changed = labels.where(F.col("snapshot_date") == F.lit("1998-06-01").cast("date")).withColumn(
+        "label", 1 - F.col("label"))
+    tables.overwrite_partitions(changed, path)
+    tables.overwrite_partitions(changed, path)
+    return tables.read_table(spark, path)
+
+
+@query("s8_grouped_partition_sink", "select * from t_predictions")
+def s8(spark, sf):
+    root = session.scratch_path(spark, "mart")
+    train.write_predictions(Inputs(spark, sf).predictions, root)
+    return tables.read_table(spark, tables.table_path(root, "gold", "model_predictions"))
+
+
+@query("s9_predictions_sink", """
+    select * from t_predictions where model_name = 'credit_gbt_1996_01_01'
+       and snapshot_date = date '1998-06-01'""")
+def s9(spark, sf):
+    root = session.scratch_path(spark, "mart")
+    train.write_predictions(Inputs(spark, sf).predictions, root)
+    month = tables.read_month(
+        spark, tables.table_path(root, "gold", "model_predictions"), "1998-06-01")
+    return month.where(F.col("model_name") == "credit_gbt_1996_01_01")
+
+
+@query("s10_monitoring_sink", """
+    select model_name, snapshot_date, n_scored, mean_score from t_summary""")
+def s10(spark, sf):
+    path = session.scratch_path(spark, "monitoring")
+    summary = metrics.score_summary(Inputs(spark, sf).predictions).select(
+        "model_name", "snapshot_date", "n_scored", F.round("mean_score", 6).alias("mean_score"))
+    for _ in range(2):
+        tables.overwrite_partitions(summary, path, ("model_name",))
+    return tables.read_table(spark, path)
+
+
+@query("s11_ranking_sink_source", """
+    select feature, importance, 'credit_history_1996_01_01' as model_name,
+           cast(row_number() over (order by importance desc, position) as integer) as rank
+    from t_importance""")
+def s11(spark, sf):
+    path = session.scratch_path(spark, "importance")
+    ranked = Inputs(spark, sf).importance.withColumn(
+        "model_name", F.lit("credit_history_1996_01_01"))
+    tables.overwrite_partitions(ranked, path, ("model_name",))
+    return models.ranks(tables.read_table(spark, path)).select(
+        "feature", "importance", "model_name", "rank")
+
+
+@query("s14_stage_row_audit", """
+    select 'bronze' as layer, 'attributes' as table_name, count(*) as n from t_attributes_raw
+    union all select 'silver', 'attributes', count(*) from t_attributes
+    union all select 'gold', 'label_store', count(*) from t_labels""")
+def s14(spark, sf):
+    x = Inputs(spark, sf)
+    raw, root = session.scratch_path(spark, "raw"), session.scratch_path(spark, "mart")
+    land_raw(x, "attributes", raw)
+    written = [
+        ("bronze", "attributes", ingest.bronze(spark, raw, root, "attributes")),
+        ("silver", "attributes", ingest.silver(spark, root, "attributes")),
+        ("gold", "label_store", tables.overwrite_partitions(
+            x.labels, tables.table_path(root, "gold", "label_store"))),
+    ]
+    return spark.createDataFrame([(layer, name, o.get["rows"]) for layer, name, o in written],
+                                 "layer string, table_name string, n long")
+
+
+# --- whole jobs ----------------------------------------------------------------------------------
+
+@query("b3_label_rates", """
+    select snapshot_date, count(*) as n_loans, cast(sum(case when dpd >= 30 then 1 else 0 end)
+             as bigint) as n_default,
+           round(avg(case when dpd >= 30 then 1e0 else 0e0 end), 6) as default_rate,
+           max(dpd) as max_dpd
+    from t_lms where mob = 6 group by 1""")
+def b3_rates(spark, sf):
+    """Default rate and worst days past due per label month, for loans at month on book 6."""
+    at_six = Inputs(spark, sf).lms.where(F.col("mob") == 6)
+    bad = F.when(F.col("dpd") >= 30, 1).otherwise(0)
+    return at_six.groupBy("snapshot_date").agg(
+        F.count(F.lit(1)).alias("n_loans"), F.sum(bad).alias("n_default"),
+        F.round(F.avg(bad), 6).alias("default_rate"), F.max("dpd").alias("max_dpd"))
+
+
+class Warehouse:
+    """One run of the jobs from raw files to monitoring, each done when first asked for."""
+
+    def __init__(self, spark, sf: str):
+        self.spark, self.inputs = spark, Inputs(spark, sf)
+        self.raw = session.scratch_path(spark, "raw")
+        self.root = session.scratch_path(spark, "mart")
+        for name in SOURCES:
+            land_raw(self.inputs, name, self.raw)
+        self.audit = ingest.ingest(spark, self.raw, self.root)
+        self.done = set()
+
+    def table(self, layer: str, name: str):
+        return tables.read_table(self.spark, tables.table_path(self.root, layer, name))
+
+    def need(self, *steps: str) -> Warehouse:
+        for step in steps:
+            if step not in self.done:
+                getattr(self, f"_{step}")()
+                self.done.add(step)
+        return self
+
+    def _labels(self):
+        gold.label_store(self.spark, self.root)
+
+    def _features(self):
+        gold.feature_store(self.spark, self.root)
+
+    def _models(self):
+        self.need("labels", "features")
+        train.train(self.spark, self.root, TRAIN_DATE, draws=1, space=SMALL_TREES)
+        train.select_champion(self.spark, self.root, TRAIN_DATE)
+
+    def _scores(self):
+        self.need("models")
+        months = ["1998-09-01", "1998-10-01", "1998-11-01", "1998-12-01"]
+        for kind in train.MODEL_KINDS:
+            operate.score_months(self.spark, self.root, models.version(kind, TRAIN_DATE), months)
+
+    def _monitoring(self):
+        self.need("scores")
+        operate.monitor(self.spark, self.root, train.current_champion(self.spark, self.root))
+
+
+@cache
+def _warehouse(application_id: str, spark, sf: str) -> Warehouse:
+    return Warehouse(spark, sf)
+
+
+def warehouse(spark, sf: str, *steps: str) -> Warehouse:
+    return _warehouse(spark.sparkContext.applicationId, spark, sf).need(*steps)
+
+
+_RAW = " union all ".join(
+    f"select '{n}' as table_name, snapshot_date, count(*) as n from t_{n}_raw group by 2"
+    for n in SOURCES)
+
+
+@query("b1_bronze_ingest", _RAW)
+def b1(spark, sf):
+    w = warehouse(spark, sf)
+    out = None
+    for name in SOURCES:
+        part = ingest.read_bronze(spark, w.root, name).groupBy("snapshot_date").agg(
+            F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "snapshot_date",
+                                                 "n")
+        out = part if out is None else out.unionAll(part)
+    return out
+
+
+@query("b2_silver_clean", """
+    select table_name, snapshot_date, n, checksum from (
+      select 'lms' as table_name, snapshot_date, count(*) as n,
+             cast(sum(dpd) as bigint) as checksum from t_lms group by 2
+      union all select 'clickstream', snapshot_date, count(*), cast(sum(fe_1 + fe_20) as bigint)
+      from t_clickstream group by 2
+      union all select 'attributes', snapshot_date, count(*), cast(sum(Age) as bigint)
+      from t_attributes group by 2
+      union all select 'financials', snapshot_date, count(*),
+             cast(sum(Credit_History_Age) as bigint) from t_financials group by 2
+      union all select 'loan_type', snapshot_date, count(*),
+             cast(sum(loan_auto_loan + loan_payday_loan) as bigint) from t_loan_type group by 2
+    ) x""")
+def b2(spark, sf):
+    w = warehouse(spark, sf)
+    sums = {"lms": F.col("dpd"), "clickstream": F.col("fe_1") + F.col("fe_20"),
+            "attributes": F.col("Age"), "financials": F.col("Credit_History_Age"),
+            "loan_type": F.col("loan_auto_loan") + F.col("loan_payday_loan")}
+    out = None
+    for name, value in sums.items():
+        part = w.table("silver", name).groupBy("snapshot_date").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(value).alias("checksum")).select(
+            F.lit(name).alias("table_name"), "snapshot_date", "n", "checksum")
+        out = part if out is None else out.unionAll(part)
+    return out
+
+
+@query("b3_label_store", "select * from t_labels")
+def b3(spark, sf):
+    return warehouse(spark, sf, "labels").table("gold", "label_store")
+
+
+@query("b4_feature_store", """
+    select snapshot_date, count(*) as n, count(Outstanding_Debt) as n_known,
+           cast(sum(loan_auto_loan) as bigint) as n_auto
+    from t_features group by 1""")
+def b4(spark, sf):
+    """The stored feature store per month; its medians are sketched, so columns that are often
+    missing are not compared here (see m3_build_feature_store)."""
+    return warehouse(spark, sf, "features").table("gold", "feature_store").groupBy(
+        "snapshot_date").agg(
+        F.count(F.lit(1)).alias("n"), F.count("Outstanding_Debt").alias("n_known"),
+        F.sum("loan_auto_loan").alias("n_auto"))
+
+
+@query("b5_train")
+def b5(spark, sf):
+    warehouse_ = warehouse(spark, sf, "models")
+    return models.registry(spark, warehouse_.root).select(
+        "model_version", "model_type", F.size("feature_columns").alias("n_features"),
+        F.explode("results").alias("metric", "value"))
+
+
+@query("b6_score")
+def b6(spark, sf):
+    return warehouse(spark, sf, "scores").table("gold", "model_predictions")
+
+
+@query("b7_monitor")
+def b7(spark, sf):
+    return warehouse(spark, sf, "monitoring").table("gold", "model_monitoring")
+
+
+@query("b7_alert")
+def b7_alert(spark, sf):
+    w = warehouse(spark, sf, "monitoring")
+    return operate.alert(spark, w.root)
+
+
+@query("b8_backfill", """
+    select c.snapshot_date, coalesce(l.n, 0) as n_loan_rows, coalesce(b.n, 0) as n_labels,
+           coalesce(f.n, 0) as n_features, c.snapshot_date = date '1998-09-01' as should_train
+    from t_calendar c
+    left join (select snapshot_date, count(*) as n from t_lms group by 1) l
+      on l.snapshot_date = c.snapshot_date
+    left join (select snapshot_date, count(*) as n from t_labels group by 1) b
+      on b.snapshot_date = c.snapshot_date
+    left join (select snapshot_date, count(*) as n from t_applications group by 1) f
+      on f.snapshot_date = c.snapshot_date""")
+def b8(spark, sf):
+    """What the backfill holds for every month of the order calendar."""
+    from workload.drift_queries import order_months
+    w = warehouse(spark, sf, "labels", "features")
+    months = calendar.training_gate(order_months(spark, sf), TRAIN_DATE)
+    for layer, name, n in (("silver", "lms", "n_loan_rows"), ("gold", "label_store", "n_labels"),
+                           ("gold", "feature_store", "n_features")):
+        counts = w.table(layer, name).groupBy("snapshot_date").agg(F.count(F.lit(1)).alias(n))
+        months = months.join(counts, "snapshot_date", "left").fillna(0, subset=[n])
+    return months
+
+
