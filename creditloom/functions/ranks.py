@@ -69,31 +69,36 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilitie
               .groupBy(*keys, value)
               .agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("n")))
     ranked = running_totals(counts, keys, value, "n", single_task_rows)
-    n = F.col("n_total")
+    hits = ranked.select(
+        *keys, value, F.explode(F.expr(_ranks_inside(probabilities, interpolate))).alias("w"))
+    per_point = (hits.groupBy(*keys, F.col("w.i").alias("i")).agg(
+        F.expr(f"max(case when w.low then double(`{value}`) end)").alias("a"),
+        F.expr(f"max(case when not w.low then double(`{value}`) end)").alias("b"),
+        F.max("w.part").alias("part"))
+        .select(*keys, "i", F.expr("a + (b - a) * part").alias("q")))
+    return (per_point.groupBy(*keys)
+            .agg(F.expr("sort_array(collect_list(struct(i, q)))").alias("points"))
+            .select(*keys, F.col("points.q").alias("quantiles")))
+
+
+def _ranks_inside(probabilities: Sequence[float], interpolate: bool) -> str:
+    """The wanted positions (0-based, out of n_total) that this distinct value covers: an array
+    of (i: which probability, low: lower or upper neighbour, position, part: weight of upper)."""
     wanted = []
     for i, p in enumerate(probabilities):
+        p = f"{float(p)!r}D"
         if interpolate:
-            h = (n - 1) * F.lit(float(p))
-            low = F.floor(h)
-            part = h - low
-            high = F.least(low + 1, n - 1)
+            low = f"bigint(floor((n_total - 1) * {p}))"
+            high = f"least({low} + 1, n_total - 1)"
+            part = f"(n_total - 1) * {p} - {low}"
         else:
-            low = high = F.greatest(F.ceil(n * F.lit(float(p))) - 1, F.lit(0))
-            part = F.lit(0.0)
-        for end, position in ((0, low), (1, high)):
-            wanted.append(F.struct(F.lit(i).alias("i"), F.lit(end).alias("end"),
-                                   position.cast("long").alias("position"), part.alias("part")))
-    inside = lambda w: (w["position"] >= F.col("n_below")) & (
-        w["position"] < F.col("n_below") + F.col("n"))
-    hits = ranked.select(*keys, value, F.explode(F.filter(F.array(*wanted), inside)).alias("w"))
-    end = lambda e: F.max(F.when(F.col("w.end") == e, F.col(value).cast("double")))
-    per_point = (hits.groupBy(*keys, F.col("w.i").alias("i"))
-                 .agg(end(0).alias("a"), end(1).alias("b"), F.max("w.part").alias("part"))
-                 .select(*keys, "i", (F.col("a") + (F.col("b") - F.col("a")) * F.col("part"))
-                         .alias("q")))
-    return (per_point.groupBy(*keys)
-            .agg(F.sort_array(F.collect_list(F.struct("i", "q"))).alias("points"))
-            .select(*keys, F.col("points.q").alias("quantiles")))
+            low = high = f"greatest(bigint(ceil(n_total * {p})) - 1, 0)"
+            part = "0D"
+        for side, position in (("true", low), ("false", high)):
+            wanted.append(f"named_struct('i', {i}, 'low', {side}, 'position', {position}, "
+                          f"'part', double({part}))")
+    return (f"filter(array({', '.join(wanted)}), "
+            "w -> w.position >= n_below and w.position < n_below + n)")
 
 
 def column_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
@@ -107,11 +112,12 @@ def column_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
     keys, columns = list(keys), list(columns)
     probabilities = [float(p) for p in probabilities]
     if not exact:
+        points = ", ".join(f"{p!r}D" for p in probabilities)
         return df.groupBy(*keys).agg(*[
-            F.percentile_approx(F.col(c).cast("double"), probabilities, accuracy).alias(c)
+            F.expr(f"percentile_approx(double(`{c}`), array({points}), {accuracy})").alias(c)
             for c in columns])
-    long = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        keys, columns, "column", "value")
+    long = df.selectExpr(*[f"`{k}`" for k in keys], *[f"double(`{c}`) as `{c}`" for c in columns]
+                         ).unpivot(keys, [F.col(f"`{c}`") for c in columns], "column", "value")
     found = exact_quantiles(long, [*keys, "column"], "value", probabilities)
     groups = df.select(*keys).distinct() if keys else df.sparkSession.range(1).select()
     wide = (found.groupBy(*keys).pivot("column", columns)

@@ -33,22 +33,18 @@ def first_months(predictions: DataFrame) -> DataFrame:
 def _bin_counts(df: DataFrame, keys: Sequence[str], value: str, bins: int) -> DataFrame:
     """Rows per bin as columns; `df` carries the inner edges in `edges`. Equal edges only make
     bins that stay empty on both sides, which contribute nothing."""
-    number = sum(((F.col(value) >= F.col("edges")[i]).cast("int") for i in range(bins - 1)),
-                 F.lit(0))
-    binned = df.select(*keys, number.alias("_bin"))
-    return binned.groupBy(*keys).agg(
-        F.count("_bin").alias("n"),
-        *[F.count_if(F.col("_bin") == b).alias(f"bin_{b}") for b in range(bins)])
+    number = " + ".join(f"int(`{value}` >= edges[{i}])" for i in range(bins - 1))
+    counted = ", ".join(f"'bin_{b}', count_if(_bin = {b})" for b in range(bins))
+    return (df.select(*keys, F.expr(number).alias("_bin")).groupBy(*keys)
+            .agg(F.expr(f"named_struct('n', count(_bin), {counted})").alias("counts")))
 
 
 def _index(bins: int) -> Column:
     """Sum over bins of (actual - expected) * ln(actual / expected) with floored shares."""
-    def share(side: str, b: int) -> Column:
-        return F.greatest(F.col(f"{side}.bin_{b}") / F.col(f"{side}.n"), F.lit(MIN_SHARE))
-
-    terms = [(share("a", b) - share("e", b)) * F.ln(share("a", b) / share("e", b))
-             for b in range(bins)]
-    return sum(terms[1:], terms[0])
+    share = lambda side, b: f"greatest({side}.bin_{b} / {side}.n, {MIN_SHARE}D)"
+    return F.expr(" + ".join(
+        f"({share('a', b)} - {share('e', b)}) * ln({share('a', b)} / {share('e', b)})"
+        for b in range(bins)))
 
 
 def binned_pairs(values: DataFrame, baseline: DataFrame, by: Sequence[str], over: Sequence[str],
@@ -59,17 +55,16 @@ def binned_pairs(values: DataFrame, baseline: DataFrame, by: Sequence[str], over
     baseline. Nulls are not counted.
     """
     by, over = list(by), list(over)
-    names = ["n", *[f"bin_{b}" for b in range(bins)]]
     known = lambda df: df.where(F.col(value).isNotNull())
     inner = [i * (1.0 / bins) for i in range(1, bins)]
     edges, _ = session.stage(
         exact_quantiles(baseline, by, value, inner, interpolate=True)
         .withColumnRenamed("quantiles", "edges"), "edges")
-    expected, _ = session.stage(
-        _bin_counts(known(baseline).join(edges, by), by, value, bins)
-        .select(*by, F.struct(*names).alias("e")), "expected")
+    expected = _bin_counts(known(baseline).join(edges, by), by, value, bins)
     actual = _bin_counts(known(values).join(edges, by, "left"), [*by, *over], value, bins)
-    return actual.select(*by, *over, F.struct(*names).alias("a")).join(expected, by, "left")
+    # Both sides are one row per group by now.
+    return actual.withColumnRenamed("counts", "a").join(
+        expected.withColumnRenamed("counts", "e"), by, "left")
 
 
 def stability(values: DataFrame, baseline: DataFrame, by: Sequence[str], over: Sequence[str],
@@ -87,16 +82,19 @@ def stability(values: DataFrame, baseline: DataFrame, by: Sequence[str], over: S
         *by, *over, "a.n", F.when(F.col("e.n") > 0, _index(bins)).alias("psi"))
 
 
-def first_month_rows(predictions: DataFrame) -> DataFrame:
-    """The predictions of every model's first scored month."""
-    start, _ = session.stage(first_months(predictions), "first_months")
+def first_month_rows(predictions: DataFrame, scored_months: DataFrame | None = None) -> DataFrame:
+    """The predictions of every model's first scored month. `scored_months` (model_name,
+    snapshot_date) saves a pass when the months are already known."""
+    start, _ = session.stage(
+        first_months(predictions if scored_months is None else scored_months), "first_months")
     return predictions.join(start, "model_name").where(
         F.col("snapshot_date") == F.col("baseline_date")).drop("baseline_date")
 
 
-def score_psi(predictions: DataFrame, bins: int = BINS) -> DataFrame:
+def score_psi(predictions: DataFrame, bins: int = BINS,
+              scored_months: DataFrame | None = None) -> DataFrame:
     """model_name, snapshot_date, n, psi of every scored month against the model's first."""
-    baseline = first_month_rows(predictions)
+    baseline = first_month_rows(predictions, scored_months)
     return stability(predictions, baseline, ["model_name"], ["snapshot_date"],
                      "model_predictions", bins)
 
@@ -104,9 +102,9 @@ def score_psi(predictions: DataFrame, bins: int = BINS) -> DataFrame:
 def feature_long(features: DataFrame, columns: Sequence[str]) -> DataFrame:
     """snapshot_date, feature, value for the named features that exist."""
     present = [c for c in columns if c in features.columns]
-    return features.select(
-        "snapshot_date", *[F.col(c).cast("double").alias(c) for c in present]
-    ).unpivot(["snapshot_date"], present, "feature", "value")
+    return features.selectExpr(
+        "snapshot_date", *[f"double(`{c}`) as `{c}`" for c in present]
+    ).unpivot(["snapshot_date"], [F.col(f"`{c}`") for c in present], "feature", "value")
 
 
 def feature_csi(features: DataFrame, columns: Sequence[str], baseline_date,

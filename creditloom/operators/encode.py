@@ -60,8 +60,8 @@ def one_hot(df: DataFrame, vocabulary: Mapping[str, Sequence[str]]) -> DataFrame
     """Replaces each category column by one int column per label. Null counts as 'unknown'; a
     label outside the vocabulary gives zeros everywhere."""
     kept = [c for c in df.columns if c not in vocabulary]
-    flags = [
-        (F.coalesce(F.col(c), F.lit(UNKNOWN)) == F.lit(label)).cast("int")
-        .alias(column_name(c, label))
-        for c, labels in vocabulary.items() for label in labels]
-    return df.select(*kept, *flags)
+    known = df.select(*[F.col(f"`{c}`") for c in kept],
+                      *[F.coalesce(c, F.lit(UNKNOWN)).alias(c) for c in vocabulary])
+    flags = [(F.col(c) == label).cast("int").alias(column_name(c, label))
+             for c, labels in vocabulary.items() for label in labels]
+    return known.select(*[F.col(f"`{c}`") for c in kept], *flags)

@@ -61,9 +61,9 @@ def classification_metrics(df: DataFrame, keys: Sequence[str], score: str = "mod
 
 def round_metrics(df: DataFrame, columns: Sequence[str], digits: int = 4) -> DataFrame:
     """Rounded values; unknown ones (null or NaN) stay null."""
-    return df.select(*[
-        F.round(F.nullif(F.col(c), F.lit(float("nan"))), digits).alias(c) if c in columns
-        else F.col(c) for c in df.columns])
+    return df.selectExpr(*[
+        f"round(nullif(`{c}`, double('NaN')), {digits}) as `{c}`" if c in columns else f"`{c}`"
+        for c in df.columns])
 
 
 def reliability(df: DataFrame, keys: Sequence[str], score: str = "model_predictions",
@@ -74,8 +74,7 @@ def reliability(df: DataFrame, keys: Sequence[str], score: str = "model_predicti
     counts = score_counts(df, keys, score, label).withColumn("n", F.col("pos") + F.col("neg"))
     inner = [i * (1.0 / bins) for i in range(1, bins)]
     edges = exact_quantiles(counts, keys, "score", inner, interpolate=True, weight="n")
-    number = sum(((F.col("score") > F.col("quantiles")[i]).cast("int") for i in range(bins - 1)),
-                 F.lit(0))
+    number = F.expr(" + ".join(f"int(score > quantiles[{i}])" for i in range(bins - 1)))
     binned = counts.join(edges, keys)
     return (binned.withColumn("bin", number).groupBy(*keys, "bin")
             .agg(F.sum("n").alias("n"),

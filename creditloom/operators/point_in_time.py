@@ -35,8 +35,8 @@ def applications(lms: DataFrame, mob: int = 0) -> DataFrame:
 def monthly_sums(history: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Sum and non-null count of each column per customer and date: enough for any later mean."""
     return history.groupBy(*KEYS).agg(
-        *[F.sum(F.col(c).cast("double")).alias(f"{c}_sum") for c in columns],
-        *[F.count(c).alias(f"{c}_n") for c in columns])
+        *[F.expr(f"sum(double(`{c}`))").alias(f"{c}_sum") for c in columns],
+        *[F.expr(f"count(`{c}`)").alias(f"{c}_n") for c in columns])
 
 
 def as_of(anchors: DataFrame, sources: Mapping[str, DataFrame],

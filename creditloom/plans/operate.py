@@ -53,13 +53,13 @@ def monitoring_table(predictions: DataFrame, labels: DataFrame, features: DataFr
     """
     c = F.col
     keys = ["model_name", "snapshot_date"]
-    volume = predictions.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_scored"), F.avg("model_predictions").alias("mean_score"))
-    psi = drift.score_psi(predictions).select(*keys, "psi")
+    months, _ = session.stage(predictions.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_scored"), F.avg("model_predictions").alias("mean_score")),
+        "months")
+    psi = drift.score_psi(predictions, scored_months=months).select(*keys, "psi")
     quality = prefer_direct(classification_metrics(
         with_candidate_outcomes(predictions, labels), [*keys, "offset"])).select(
         *keys, "auc", "gini", "precision", "recall", "f1", "brier")
-    months = session.stage(volume, "volume")[0]
     csi, _ = session.stage(
         model_csi(months, features, csi_features, feature_offset_months), "csi")
     per_feature = csi.groupBy(*keys).pivot("feature", list(csi_features)).agg(F.first("psi"))

@@ -26,6 +26,9 @@ def get_spark(app_name: str = "creditloom", master: str | None = None, **conf) -
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
+        # Call sites of column expressions are only used in error messages, and cost time for
+        # every expression built.
+        "spark.sql.dataFrameQueryContext.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
