@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from creditloom import schemas, session
 from creditloom.functions.loans import credit_ratios
-from creditloom.operators import align, drift, encode, impute, metrics, models, scoring
+from creditloom.operators import align, clean, drift, encode, impute, metrics, models, scoring
 from creditloom.operators import point_in_time as pit
 from creditloom.plans import gold, train
 from workload.inputs import LOAN_COLUMNS, Inputs
@@ -135,6 +135,15 @@ def m3(spark, sf):
                              else F.col(f"`{c}`") for c in features.columns])
 
 
+@query("m3_feature_store_default")
+def m3_default(spark, sf):
+    """The same as it is run in production: sketched quantiles, two passes over the sources."""
+    x = Inputs(spark, sf)
+    return gold.build_feature_store(
+        x.lms, clean.clean_financials(x.raw("financials")), x.attributes, x.loan_type,
+        x.clickstream)
+
+
 # --- splits, scaling -----------------------------------------------------------------------------
 
 def frame(x: Inputs):
