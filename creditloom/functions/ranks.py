@@ -65,45 +65,56 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilitie
     the neighbours of rank (n-1)*p.
     """
     keys = list(keys)
-    counts = (df.where(F.col(value).isNotNull())
-              .groupBy(*keys, value)
-              .agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("n")))
-    ranked = running_totals(counts, keys, value, "n", single_task_rows)
-    hits = ranked.select(
-        *keys, value, F.explode(F.expr(_ranks_inside(probabilities, interpolate))).alias("w"))
-    per_point = (hits.groupBy(*keys, F.col("w.i").alias("i")).agg(
-        F.expr(f"max(case when w.low then double(`{value}`) end)").alias("a"),
-        F.expr(f"max(case when not w.low then double(`{value}`) end)").alias("b"),
-        F.max("w.part").alias("part"))
-        .select(*keys, "i", F.expr("a + (b - a) * part").alias("q")))
-    return (per_point.groupBy(*keys)
-            .agg(F.expr("sort_array(collect_list(struct(i, q)))").alias("points"))
-            .select(*keys, F.col("points.q").alias("quantiles")))
-
-
-def _ranks_inside(probabilities: Sequence[float], interpolate: bool) -> str:
-    """The wanted positions (0-based, out of n_total) that this distinct value covers: an array
-    of (i: which probability, low: lower or upper neighbour, position, part: weight of upper)."""
     wanted = []
     for i, p in enumerate(probabilities):
         p = f"{float(p)!r}D"
         if interpolate:
             low = f"bigint(floor((n_total - 1) * {p}))"
-            high = f"least({low} + 1, n_total - 1)"
-            part = f"(n_total - 1) * {p} - {low}"
+            high, part = f"least({low} + 1, n_total - 1)", f"(n_total - 1) * {p} - {low}"
         else:
             low = high = f"greatest(bigint(ceil(n_total * {p})) - 1, 0)"
             part = "0D"
         for side, position in (("true", low), ("false", high)):
             wanted.append(f"named_struct('i', {i}, 'low', {side}, 'position', {position}, "
                           f"'part', double({part}))")
-    return (f"filter(array({', '.join(wanted)}), "
-            "w -> w.position >= n_below and w.position < n_below + n)")
+    hits = _values_at(df, keys, value, wanted, weight, single_task_rows)
+    per_point = (hits.groupBy(*keys, F.col("w.i").alias("i")).agg(
+        F.expr(f"max(case when w.low then double(`{value}`) end)").alias("a"),
+        F.expr(f"max(case when not w.low then double(`{value}`) end)").alias("b"),
+        F.max("w.part").alias("part"))
+        .select(*keys, "i", F.expr("a + (b - a) * part").alias("q")))
+    return (per_point.groupBy(*keys)
+            .agg(F.expr("sort_array(collect_list(struct(i, q)))").alias("points"))
+            .select(*keys, F.col("points.q").alias("quantiles")))
+
+
+def _values_at(df: DataFrame, keys: list[str], value: str, wanted: Sequence[str],
+               weight: str | None, single_task_rows: int | None) -> DataFrame:
+    """The values at the wanted positions of each group's order: keys, value, w. A position is a
+    SQL struct with a 0-based `position`, computed from `n_total`."""
+    counts = (df.where(F.col(value).isNotNull())
+              .groupBy(*keys, value)
+              .agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("n")))
+    ranked = running_totals(counts, keys, value, "n", single_task_rows)
+    covered = (f"filter(array({', '.join(wanted)}), "
+               "w -> w.position >= n_below and w.position < n_below + n)")
+    return ranked.select(*keys, value, F.explode(F.expr(covered)).alias("w"))
+
+
+def values_at_positions(df: DataFrame, value: str, positions: Sequence[str],
+                        single_task_rows: int | None = None) -> list[float]:
+    """The values at given 0-based positions of the whole order, as numbers for the driver.
+
+    A position is a SQL expression over `n_total`, the number of non-null rows.
+    """
+    wanted = [f"named_struct('i', {i}, 'position', bigint({p}))" for i, p in enumerate(positions)]
+    rows = _values_at(df, [], value, wanted, None, single_task_rows).select("w.i", value).collect()
+    return [v for _, v in sorted(tuple(r) for r in rows)]
 
 
 def column_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
                      probabilities: Sequence[float], exact: bool = False,
-                     accuracy: int = 10_000) -> DataFrame:
+                     accuracy: int = 1_000) -> DataFrame:
     """One row per group; each column holds the array of its quantiles (data elements).
 
     The default is one pass of mergeable sketches with rank error 1/accuracy; `exact` ranks the

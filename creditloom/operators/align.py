@@ -5,10 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.functions.ranks import running_totals
+from creditloom import session
+from creditloom.functions.ranks import exact_quantiles, values_at_positions
 
 OFFSET_MONTHS = 6
 
@@ -80,20 +81,25 @@ def temporal_split(df: DataFrame, windows: Windows) -> DataFrame:
     return df.withColumn("split", split).where(F.col("split").isNotNull())
 
 
-def stratified_split(df: DataFrame, ratio: float = 0.8, label: str = "label",
+def _hash_order(*columns) -> Column:
+    """A seeded pseudo-random whole number per row that a double holds exactly."""
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << 52)).cast("double")
+
+
+def stratified_split(df: DataFrame, test_share: float = 0.2, label: str = "label",
                      key: str = "loan_id", seed: int = 88) -> DataFrame:
-    """Adds `split` (train, test): the same share of every label, chosen by a seeded hash order.
+    """Adds `split` (train, test): ceil(test_share * n) rows of every label test, picked by a
+    seeded hash of the key.
 
-    The order is ranked per label with `running_totals`, so counts are exact and no label is
-    sorted in one task. Rows with equal hash stay together.
+    Only the hash value where each label is cut is ranked; rows are then compared with it, so
+    nothing but hash values is shuffled. Rows with equal keys stay together.
     """
-    hashed = df.withColumn("_order", F.xxhash64(F.col(key), F.lit(seed)))
-    counts = hashed.groupBy(label, "_order").agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_totals(counts, [label], "_order", "n").select(
-        label, "_order",
-        F.when(F.col("n_below") < F.round(F.col("n_total") * ratio), "train").otherwise("test")
-        .alias("split"))
-    return hashed.join(ranked, [label, "_order"]).drop("_order")
+    ordered = df.withColumn("_order", _hash_order(F.col(key), F.lit(seed)))
+    cuts, _ = session.stage(
+        exact_quantiles(ordered.select(label, "_order"), [label], "_order", [test_share])
+        .select(label, F.col("quantiles")[0].alias("_cut")), "cuts")
+    split = F.when(F.col("_order") <= F.col("_cut"), "test").otherwise("train")
+    return ordered.join(cuts, label).withColumn("split", split).drop("_order", "_cut")
 
 
 def split_stats(df: DataFrame) -> DataFrame:
@@ -103,16 +109,10 @@ def split_stats(df: DataFrame) -> DataFrame:
 def expanding_folds(df: DataFrame, folds: int = 3, key: str = "Customer_ID") -> DataFrame:
     """Adds `block` 0..folds: rows in date order cut into folds+1 blocks, the last `folds` of them
     of n // (folds+1) rows. Fold i trains on blocks < i and tests on block i, for i = 1..folds."""
-    # Date plus a hash fraction of the customer: an order over rows that spreads every month.
-    order = (F.unix_date("snapshot_date")
-             + F.pmod(F.xxhash64(key, F.col("snapshot_date")), F.lit(1 << 31)) / F.lit(2.0 ** 31))
+    # Date plus a hash fraction: an order that puts months one after another and cuts inside them.
+    order = F.unix_date("snapshot_date") + _hash_order(key, "snapshot_date") / F.lit(2.0 ** 52)
     ordered = df.withColumn("_order", order)
-    counts = ordered.groupBy("_order").agg(F.count(F.lit(1)).alias("n"))
-    size = F.floor(F.col("n_total") / (folds + 1))
-    first_test = F.col("n_total") - size * folds
-    block = F.when(F.col("n_below") < first_test, 0).otherwise(
-        F.least(F.floor((F.col("n_below") - first_test) / F.greatest(size, F.lit(1))) + 1,
-                F.lit(folds)))
-    ranked = running_totals(counts, [], "_order", "n").select(
-        "_order", block.cast("int").alias("block"))
-    return ordered.join(ranked, "_order").drop("_order")
+    starts = [f"n_total - {folds - i} * (n_total div {folds + 1})" for i in range(folds)]
+    cuts = values_at_positions(ordered.select("_order"), "_order", starts)
+    block = " + ".join(f"int(_order >= {c!r}D)" for c in cuts) or "0"
+    return ordered.withColumn("block", F.expr(block)).drop("_order")

@@ -18,13 +18,14 @@ from creditloom.sources import tables
 
 def joined_sources(lms: DataFrame, financials: DataFrame, attributes: DataFrame,
                    loan_type: DataFrame | None, clickstream: DataFrame,
-                   mode: str = "as_of") -> DataFrame:
-    """Applications with everything known about the customer; nulls where nothing is known.
+                   mode: str = "as_of", months: Sequence[str] | None = None) -> DataFrame:
+    """Applications (of the given months, or all) with everything known about the customer; nulls where nothing is known.
 
     `as_of` takes the latest rows up to the application; `as_coded` joins every snapshot of the
     customer, whatever its date.
     """
-    anchors = applications(lms)
+    anchors = applications(lms if months is None else lms.where(
+        F.col("snapshot_date").isin([F.lit(m).cast("date") for m in months])))
     sources = {"financials": financials, "attributes": attributes.select(
         "Customer_ID", "snapshot_date", "Age", "Occupation")}
     if loan_type is not None:
@@ -43,7 +44,7 @@ def build_feature_store(lms: DataFrame, financials: DataFrame, attributes: DataF
                         loan_type: DataFrame | None, clickstream: DataFrame,
                         vocabulary: Mapping[str, Sequence[str]] | None = None,
                         mode: str = "as_of", median_scope: str = "as_of",
-                        exact: bool = False) -> DataFrame:
+                        months: Sequence[str] | None = None, exact: bool = False) -> DataFrame:
     """The model-ready table, keyed by customer and application month, without nulls in numbers.
 
     The joined sources are staged once, because vocabularies and medians are fitted on them.
@@ -51,8 +52,8 @@ def build_feature_store(lms: DataFrame, financials: DataFrame, attributes: DataF
     application month (`as_of`) or all of it (`all`). `exact` replaces sketched quantiles by
     exact ones.
     """
-    base, _ = session.stage(
-        joined_sources(lms, financials, attributes, loan_type, clickstream, mode), "joined")
+    base, _ = session.stage(joined_sources(
+        lms, financials, attributes, loan_type, clickstream, mode, months), "joined")
     if median_scope == "as_of":
         medians = impute.medians_so_far(clickstream, base, schemas.FE_COLUMNS, exact)
         filled = impute.fill_history_medians(base, medians, schemas.FE_COLUMNS)
@@ -77,7 +78,7 @@ def label_store(spark: SparkSession, root: str, dpd: int = 30, mob: int = 6) ->
 
 
 def feature_store(spark: SparkSession, root: str, **options) -> Observation:
-    """Writes the feature store. The category vocabulary is fitted on the first run and reused
+    """Writes the feature store, all months or only the `months` asked for. The category vocabulary is fitted on the first run and reused
     afterwards, so that every month has the same columns."""
     lms, financials, attributes, loan_type, clickstream = (
         _silver(spark, root, n)

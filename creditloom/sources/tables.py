@@ -14,15 +14,25 @@ def table_path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
-    """All partitions as one table; None when the table was never written. Without a schema the
-    columns of all partitions are merged, so a column that only later months have is kept."""
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether the folder exists on whichever file system the path names."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(context._jsc.hadoopConfiguration()).exists(folder)
+
+
+def read_table(spark: SparkSession, path: str, merge_schemas: bool = False) -> DataFrame | None:
+    """All partitions as one table; None when the table was never written.
+
+    Column sets are fixed by stored vocabularies, so one footer tells the schema. Tables written
+    without them need `merge_schemas`, or columns that only some months have are lost.
+    """
+    if not _exists(spark, path):
+        return None
     try:
-        if schema is not None:
-            return spark.read.schema(schema).parquet(path)
-        return spark.read.option("mergeSchema", True).parquet(path)
+        return spark.read.option("mergeSchema", merge_schemas).parquet(path)
     except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder without files
             return None
         raise
 

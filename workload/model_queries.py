@@ -161,7 +161,7 @@ def m4(spark, sf):
 
 @query("m5_stratified_split", """
     select label, unnest(['train', 'test']) as split,
-           cast(unnest([round(count(*) * 0.8e0), count(*) - round(count(*) * 0.8e0)]) as bigint) as n
+           cast(unnest([count(*) - ceil(count(*) * 0.2e0), ceil(count(*) * 0.2e0)]) as bigint) as n
     from t_labels group by label""")
 def m5(spark, sf):
     return align.stratified_split(Inputs(spark, sf).labels).groupBy("label", "split").agg(
@@ -248,11 +248,13 @@ def m9(spark, sf):
     union all select b, n from (select unnest([1, 2, 3]) as b, count(*) // 4 as n
                                 from t_split where split = 'train')""")
 def m9_folds(spark, sf):
-    rows = frame(Inputs(spark, sf)).where(F.col("split") == "train")
-    # A customer's loans of a month stay together, so the last cut may move by such a group.
-    numbered = rows.withColumn("row_key", F.concat_ws("/", *KEYS, F.col("label"),
-                                                      F.monotonically_increasing_id()))
-    return align.expanding_folds(numbered, key="row_key").groupBy("block").agg(
+    x = Inputs(spark, sf)
+    loans = x.labels.select(*KEYS, "loan_id", "label")
+    applied = x.applications.withColumn("snapshot_date", F.add_months("snapshot_date", 6))
+    rows = align.temporal_split(applied.join(loans, KEYS), align.Windows.before(TRAIN_DATE)).where(
+        F.col("split") == "train")
+    # One key per row, so that the cuts fall exactly between rows.
+    return align.expanding_folds(rows, key="loan_id").groupBy("block").agg(
         F.count(F.lit(1)).alias("n"))
 
 
