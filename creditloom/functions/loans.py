@@ -31,15 +31,19 @@ def past_due_flag(dpd: Column, threshold: int) -> Column:
     return F.when(dpd >= threshold, 1).otherwise(0).cast("int")
 
 
+# Ratio features: numerator over (denominator + 1).
+RATIOS = {
+    "debt_to_income": ("Outstanding_Debt", "Annual_Income"),
+    "emi_to_salary": ("Total_EMI_per_month", "Monthly_Inhand_Salary"),
+    "savings_rate": ("Amount_invested_monthly", "Monthly_Inhand_Salary"),
+    "payment_stress": ("Num_of_Delayed_Payment", "Num_of_Loan"),
+    "loans_per_credit_card": ("Num_of_Loan", "Num_Credit_Card"),
+}
+ENGINEERED = [*RATIOS, "monthly_surplus"]
+
+
 def credit_ratios() -> dict[str, Column]:
     """The engineered features by name; null inputs give null."""
-    c = F.col
-    per = lambda a, b: F.try_divide(c(a), c(b) + F.lit(1.0))
-    return {
-        "debt_to_income": per("Outstanding_Debt", "Annual_Income"),
-        "emi_to_salary": per("Total_EMI_per_month", "Monthly_Inhand_Salary"),
-        "savings_rate": per("Amount_invested_monthly", "Monthly_Inhand_Salary"),
-        "payment_stress": per("Num_of_Delayed_Payment", "Num_of_Loan"),
-        "loans_per_credit_card": per("Num_of_Loan", "Num_Credit_Card"),
-        "monthly_surplus": c("Monthly_Inhand_Salary") - c("Total_EMI_per_month"),
-    }
+    out = {name: F.try_divide(F.col(a), F.col(b) + F.lit(1.0)) for name, (a, b) in RATIOS.items()}
+    out["monthly_surplus"] = F.col("Monthly_Inhand_Salary") - F.col("Total_EMI_per_month")
+    return out

@@ -82,7 +82,9 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilitie
         F.expr(f"max(case when w.low then double(`{value}`) end)").alias("a"),
         F.expr(f"max(case when not w.low then double(`{value}`) end)").alias("b"),
         F.max("w.part").alias("part"))
-        .select(*keys, "i", F.expr("a + (b - a) * part").alias("q")))
+        # From the nearer neighbour, as NumPy does it, so that edges equal to a value stay equal.
+        .select(*keys, "i", F.expr("if(part >= 0.5D, b - (b - a) * (1 - part), "
+                                   "a + (b - a) * part)").alias("q")))
     return (per_point.groupBy(*keys)
             .agg(F.expr("sort_array(collect_list(struct(i, q)))").alias("points"))
             .select(*keys, F.col("points.q").alias("quantiles")))

@@ -9,11 +9,10 @@ from creditloom.plans import operate
 from creditloom.sources import calendar
 from workload.inputs import Inputs
 from workload.join_queries import bin_number, candidates
-from workload.registry import query, shared
+from workload.registry import edges_sql, query, shared, steady, steady_sql
 from workload.tables import FE, given
 
 WATCHED = FE[:drift.TOP_FEATURES]
-INNER = ", ".join(repr(i * 0.1) + "e0" for i in range(1, 10))
 
 
 def psi_terms(actual: str, expected: str) -> str:
@@ -43,9 +42,8 @@ shared("t_feature_long", f"""
     select snapshot_date, feature, value
     from (unpivot (select snapshot_date, {', '.join(FE)} from t_clickstream)
           on {', '.join(FE)} into name feature value value)""")
-shared("t_feature_edges", f"""
-    select feature, quantile_cont(cast(value as double), [{INNER}]) as edges from t_feature_long
-    where snapshot_date = date '1995-01-01' group by 1""")
+shared("t_feature_edges", edges_sql("feature", "value", """
+    select feature, value from t_feature_long where snapshot_date = date '1995-01-01'"""))
 shared("t_feature_shares", f"""
     select snapshot_date, feature, {shares()} as shares, cast(sum(n) as bigint) as n
     from (select l.snapshot_date, l.feature, {bin_number('l.value')} as bin, count(*) as n
@@ -129,7 +127,8 @@ shared("t_monitoring", """
     select v.model_name, v.snapshot_date, v.n_scored, v.mean_score, p.psi, q.auc,
            2 * q.auc - 1 as gini, q.precision, q.recall, q.f1, q.brier,
            b.oot_auc - q.auc as auc_drop_from_oot1, w.csi_max, w.csi_max_feature
-    from t_summary v
+    from (select model_name, snapshot_date, count(*) as n_scored,
+                 avg(model_predictions) as mean_score from t_predictions group by 1, 2) v
     left join t_psi p on p.model_name = v.model_name and p.snapshot_date = v.snapshot_date
     left join t_quality q on q.model_name = v.model_name and q.snapshot_date = v.snapshot_date
     left join t_baselines b on b.model_name = v.model_name
@@ -160,14 +159,16 @@ def r5(spark, sf):
 
 
 @query("r6_monitoring_table", "select m.model_name, m.snapshot_date, m.n_scored, m.csi_max_feature, "
-       + ", ".join(f"round(m.{c}, 6) as {c}" for c in _R6) + ", "
-       + ", ".join(f"round(max(case when c.feature = '{f}' then c.psi end), 6) as csi_{f}"
+       + ", ".join(f"{steady_sql('m.' + c)} as {c}" for c in _R6) + ", "
+       + ", ".join(steady_sql(f"max(case when c.feature = '{f}' then c.psi end)") + f" as csi_{f}"
                    for f in WATCHED)
        + """ from t_monitoring m left join t_model_csi c
              on c.model_name = m.model_name and c.snapshot_date = m.snapshot_date
            group by all""")
 def r6(spark, sf):
-    return monitoring(Inputs(spark, sf), 6)
+    table = monitoring(Inputs(spark, sf), 15)
+    kinds = dict(table.dtypes)
+    return table.select(*[steady(c) if kinds[c] == "double" else c for c in table.columns])
 
 
 @query("r7_drift_band", """

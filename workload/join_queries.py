@@ -10,7 +10,7 @@ from creditloom.functions.ranks import column_quantiles
 from creditloom.operators import align, drift, impute, loan_types, metrics, models, scoring
 from creditloom.operators import point_in_time as pit
 from workload.inputs import LOAN_COLUMNS, Inputs
-from workload.registry import query, shared
+from workload.registry import edges_sql, query, shared, steady, steady_sql
 from workload.tables import FE
 
 KEYS = ["Customer_ID", "snapshot_date"]
@@ -161,13 +161,11 @@ def j11(spark, sf):
 
 
 # Baseline deciles of each model's first month, and rows per bin and month.
-_INNER = ", ".join(repr(i * 0.1) + "e0" for i in range(1, 10))
 shared("t_first_month", """
     select model_name, min(snapshot_date) as baseline_date from t_predictions group by 1""")
-shared("t_edges", f"""
-    select p.model_name, quantile_cont(model_predictions, [{_INNER}]) as edges
-    from t_predictions p join t_first_month f
-      on f.model_name = p.model_name and f.baseline_date = p.snapshot_date group by 1""")
+shared("t_edges", edges_sql("model_name", "model_predictions", """
+    select p.model_name, model_predictions from t_predictions p join t_first_month f
+      on f.model_name = p.model_name and f.baseline_date = p.snapshot_date"""))
 
 
 def bin_number(value: str, edges: str = "e.edges", test: str = ">=") -> str:
@@ -278,13 +276,13 @@ def a9(spark, sf):
     return flagged.groupBy("mob").agg(F.round(F.avg("f"), 6).alias("bad_rate")).orderBy("mob")
 
 
-@query("a10_score_summary", """
+@query("a10_score_summary", f"""
     select model_name, snapshot_date, count(*) as n_scored,
-           round(avg(model_predictions), 6) as mean_score
+           {steady_sql('avg(model_predictions)')} as mean_score
     from t_predictions group by 1, 2""")
 def a10(spark, sf):
     return metrics.score_summary(Inputs(spark, sf).predictions).select(
-        "model_name", "snapshot_date", "n_scored", F.round("mean_score", 6).alias("mean_score"))
+        "model_name", "snapshot_date", "n_scored", steady("mean_score"))
 
 
 @query("a11_predicted_default_rate", """
@@ -297,10 +295,10 @@ def a11(spark, sf):
         F.round("default_rate", 6).alias("default_rate"))
 
 
-@query("a12_class_count_guard", """
+@query("a12_class_count_guard", f"""
     select model_name, snapshot_date, count(*) as n, cast(sum(label) as bigint) as n_pos,
            case when count(distinct label) = 2
-                then round(avg((model_predictions - label) * (model_predictions - label)), 6) end
+                then {steady_sql('avg((model_predictions - label) * (model_predictions - label))')} end
              as brier
     from t_matched group by 1, 2""")
 def a12(spark, sf):
@@ -309,7 +307,7 @@ def a12(spark, sf):
         scoring.with_candidate_outcomes(x.predictions, x.labels),
         ["model_name", "snapshot_date", "offset"])
     return scoring.prefer_direct(per_offset).select(
-        "model_name", "snapshot_date", "n", "n_pos", F.round("brier", 6).alias("brier"))
+        "model_name", "snapshot_date", "n", "n_pos", steady("brier"))
 
 
 shared("t_split", """
@@ -342,15 +340,15 @@ def a14(spark, sf):
 
 # --- picks and order -----------------------------------------------------------------------------
 
-shared("t_summary", """
+shared("t_summary", f"""
     select model_name, snapshot_date, count(*) as n_scored,
-           round(avg(model_predictions), 6) as mean_score
+           {steady_sql('avg(model_predictions)')} as mean_score
     from t_predictions group by 1, 2""")
 
 
 def _summary(x: Inputs):
     return metrics.score_summary(x.predictions).select(
-        "model_name", "snapshot_date", "n_scored", F.round("mean_score", 6).alias("mean_score"))
+        "model_name", "snapshot_date", "n_scored", steady("mean_score"))
 
 
 @query("w1_first_scored_baseline", """

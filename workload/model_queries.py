@@ -7,13 +7,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from creditloom import schemas, session
-from creditloom.functions.loans import credit_ratios
+from creditloom.functions.loans import ENGINEERED
 from creditloom.operators import align, clean, drift, encode, impute, metrics, models, scoring
 from creditloom.operators import point_in_time as pit
 from creditloom.plans import gold, train
 from workload.inputs import LOAN_COLUMNS, Inputs
 from workload.join_queries import bin_number, candidates
-from workload.registry import query, shared
+from workload.registry import edges_sql, query, shared, steady, steady_sql
 from workload.tables import FE
 
 KEYS = ["Customer_ID", "snapshot_date"]
@@ -90,9 +90,8 @@ def m2(spark, sf):
 
 # Applications without any known finances have every category unknown.
 _JOINED_LABELS = {**LABELS, "Payment_of_Min_Amount": ["Yes", "No", "NM", "unknown"]}
-_RATIOS = list(credit_ratios())
 _HOT = [encode.column_name(c, v) for c in schemas.CATEGORIES for v in _JOINED_LABELS[c]]
-_ALL = ["loan_amt", "tenure", *NUMBERS, "Age", *LOAN_COLUMNS, *FE, *_RATIOS, *_HOT]
+_ALL = ["loan_amt", "tenure", *NUMBERS, "Age", *LOAN_COLUMNS, *FE, *ENGINEERED, *_HOT]
 _q = lambda c: f'"{c}"'
 shared("t_joined", f"""
     select a.Customer_ID, a.snapshot_date, a.loan_amt, a.tenure,
@@ -368,12 +367,12 @@ def quality(x: Inputs):
 
 def _metric_query(name: str, columns: list[str], derived: str | None = None):
     sql = "select model_name, snapshot_date, " + ", ".join(
-        f"round({derived or c}, 6) as {c}" for c in columns) + " from t_quality"
+        f"{steady_sql(derived or c)} as {c}" for c in columns) + " from t_quality"
 
     @query(name, sql)
     def run(spark, sf):
         return quality(Inputs(spark, sf)).select(
-            "model_name", "snapshot_date", *[F.round(c, 6).alias(c) for c in columns])
+            "model_name", "snapshot_date", *[steady(c) for c in columns])
 
 
 _metric_query("e1_roc_auc", ["auc"])
@@ -381,14 +380,12 @@ _metric_query("e2_gini", ["gini"], "2 * auc - 1")
 _metric_query("e3_precision_recall_f1", ["precision", "recall", "f1"])
 _metric_query("e4_brier", ["brier"])
 
-_INNER = ", ".join(repr(i * 0.1) + "e0" for i in range(1, 10))
-shared("t_reliability_edges", f"""
-    select model_name, quantile_cont(model_predictions, [{_INNER}]) as edges
-    from t_matched group by 1""")
+shared("t_reliability_edges", edges_sql("model_name", "model_predictions", "select * from t_matched"))
 
 
 @query("e5_reliability_curve", f"""
-    select model_name, bin, count(*) as n, round(avg(model_predictions), 6) as mean_predicted,
+    select model_name, bin, count(*) as n,
+           {steady_sql('avg(model_predictions)')} as mean_predicted,
            round(avg(label), 6) as observed_rate
     from (select m.*, {bin_number('m.model_predictions', test='>')} as bin
           from t_matched m join t_reliability_edges e on e.model_name = m.model_name) x
@@ -397,7 +394,7 @@ def e5(spark, sf):
     x = Inputs(spark, sf)
     matched = scoring.matched_rows(scoring.with_candidate_outcomes(x.predictions, x.labels))
     return metrics.reliability(matched, ["model_name"]).select(
-        "model_name", "bin", "n", F.round("mean_predicted", 6).alias("mean_predicted"),
+        "model_name", "bin", "n", steady("mean_predicted"),
         F.round("observed_rate", 6).alias("observed_rate"))
 
 

@@ -13,7 +13,7 @@ from creditloom.sources import calendar, tables
 from creditloom.sources.registry import SOURCES, read_raw_csv, source
 from workload.inputs import Inputs
 from workload.model_queries import SMALL_TREES, TRAIN_DATE
-from workload.registry import query
+from workload.registry import query, steady
 
 KEYS = ["Customer_ID", "snapshot_date"]
 
@@ -123,7 +123,7 @@ def s9(spark, sf):
 def s10(spark, sf):
     path = session.scratch_path(spark, "monitoring")
     summary = metrics.score_summary(Inputs(spark, sf).predictions).select(
-        "model_name", "snapshot_date", "n_scored", F.round("mean_score", 6).alias("mean_score"))
+        "model_name", "snapshot_date", "n_scored", steady("mean_score"))
     for _ in range(2):
         tables.overwrite_partitions(summary, path, ("model_name",))
     return tables.read_table(spark, path)
