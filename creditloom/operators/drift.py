@@ -87,10 +87,17 @@ def first_month_rows(predictions: DataFrame, scored_months: DataFrame | None = N
     snapshot_date) saves a pass when the months are already known."""
     start, _ = session.stage(
         first_months(predictions if scored_months is None else scored_months), "first_months")
-    return predictions.join(start, "model_name").where(
+    return only_dates(predictions, start.select("baseline_date")).join(start, "model_name").where(
         F.col("snapshot_date") == F.col("baseline_date")).drop("baseline_date")
 
 
+def only_dates(df: DataFrame, dates: DataFrame) -> DataFrame:
+    """Rows of the given snapshot dates, as literals, so that a scan lists only their partitions.
+    `dates` is one column of calendar months, a few hundred values at most."""
+    wanted = [r[0] for r in dates.distinct().collect()]
+    return df.where(F.col("snapshot_date").isin(wanted))
+
+
 def score_psi(predictions: DataFrame, bins: int = BINS,
               scored_months: DataFrame | None = None) -> DataFrame:
     """model_name, snapshot_date, n, psi of every scored month against the model's first."""

@@ -95,9 +95,9 @@ def model_csi(months: DataFrame, features: DataFrame, csi_features: Sequence[str
     reference = with_features.groupBy("model_name").agg(
         F.min("feature_date").alias("baseline_date"))
     long = drift.feature_long(features, csi_features)
-    baseline_dates = reference.select("baseline_date").distinct()
-    baseline = long.join(baseline_dates, c("snapshot_date") == c("baseline_date")).select(
-        "baseline_date", "feature", "value")
+    baseline = drift.feature_long(
+        drift.only_dates(features, reference.select("baseline_date")), csi_features).select(
+        c("snapshot_date").alias("baseline_date"), "feature", "value")
     pairs = (with_features.join(reference, "model_name")
              .select("baseline_date", "feature_date").distinct())
     values = long.withColumnRenamed("snapshot_date", "feature_date").join(pairs, "feature_date")
@@ -172,9 +172,10 @@ def drift_report(predictions: DataFrame, features: DataFrame, csi_features: Sequ
     start = drift.first_month_rows(predictions)
     scores = drift.stability(at(predictions), start, ["model_name"], ["snapshot_date"],
                              "model_predictions")
-    baseline = F.col("snapshot_date") == F.lit(csi_baseline).cast("date")
-    long = drift.feature_long(features, csi_features)
-    csi = drift.stability(at(long), long.where(baseline), ["feature"], ["snapshot_date"], "value")
+    baseline = features.where(F.col("snapshot_date") == F.lit(csi_baseline).cast("date"))
+    csi = drift.stability(
+        drift.feature_long(at(features), csi_features), drift.feature_long(baseline, csi_features),
+        ["feature"], ["snapshot_date"], "value")
     rows = lambda df, section, name: df.select(
         F.lit(section).alias("section"), F.col(name).alias("name"), "snapshot_date",
         F.round("psi", 6).alias("psi"), drift.drift_band(F.col("psi")).alias("band"))
