@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -69,3 +70,71 @@ def stage(df: DataFrame, name: str = "stage") -> tuple[DataFrame, int]:
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), seen.get["rows"]
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared file system through Hadoop, so any store works."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Scope:
+    """Intermediate tables of one job: gone when the `with` block ends, also when it fails.
+
+    `table` stages a frame inside the scope, `drop` deletes one early, `keep` stages a result that
+    outlives the scope; what was kept is deleted when the Python process ends. While a table is
+    written, Spark is asked to delete the shuffle files of that write as soon as it is done.
+    """
+
+    CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def __init__(self, spark: SparkSession, name: str = "scope"):
+        self.spark, self.name, self.paths = spark, name, {}
+
+    def __enter__(self) -> Scope:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths.values():
+            delete_path(self.spark, path)
+        self.paths = {}
+
+    def path(self, name: str) -> str:
+        """A new folder that belongs to this scope."""
+        path = scratch_path(self.spark, f"{self.name}-{name}")
+        self.paths[name + path[-8:]] = path
+        return path
+
+    def _write(self, df: DataFrame, path: str) -> DataFrame:
+        before = self.spark.conf.get(self.CLEANUP, "false")
+        self.spark.conf.set(self.CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(self.CLEANUP, before)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def table(self, df: DataFrame, name: str = "stage") -> DataFrame:
+        path = self.path(name)
+        table = self._write(df, path)
+        table.scope_path = path
+        return table
+
+    def drop(self, table: DataFrame) -> None:
+        """Delete a table of this scope before the scope ends."""
+        delete_path(self.spark, table.scope_path)
+        self.paths = {k: p for k, p in self.paths.items() if p != table.scope_path}
+
+    def keep(self, df: DataFrame, name: str = "result") -> DataFrame:
+        path = scratch_path(self.spark, f"{self.name}-{name}")
+        table = self._write(df, path)
+        atexit.register(_forget, self.spark, path)
+        return table
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    try:
+        delete_path(spark, path)
+    except Exception:  # the session is already gone; the folder is then the cluster's to clean
+        pass
