@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 1 << 20  # text handled by one round of numpy calls; a longer text is its own slice
+SLICE_BYTES = 2 << 20  # text handled by one round of numpy calls; a longer text is its own slice
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,8 +105,11 @@ def range_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix((sums[ends] - sums[starts]) * down[starts] + lengths)
 
 
-def word_spans(buf: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE):
-    """Starts, ends and rows of the words: maximal runs without `space` bytes inside one row."""
+def word_spans(buf: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE, cuts: np.ndarray | None = None):
+    """Starts, ends and rows of the words: maximal runs without `space` bytes inside one row.
+
+    `cuts` marks bytes at which a new word starts even inside a run.
+    """
     n = len(buf)
     if not n:
         none = np.zeros(0, np.int64)
@@ -114,6 +117,8 @@ def word_spans(buf: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE)
     inside = ~space[buf]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
+    if cuts is not None:
+        edge[:n] |= cuts
     first = inside.copy()
     first[1:] &= ~inside[:-1] | edge[1:n]
     last = inside.copy()
@@ -123,6 +128,12 @@ def word_spans(buf: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE)
     return starts, ends, rows
 
 
+def strings(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """The bytes of each range."""
+    data = buf.tobytes()
+    return [data[i:j] for i, j in zip(starts.tolist(), ends.tolist())]
+
+
 def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """Hash of each window of `size` consecutive word hashes, len(words) - size + 1 of them."""
     n = len(words) - size + 1

@@ -12,6 +12,7 @@ repeated rows are judged alike, each on its own; an empty table gives an empty r
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -65,21 +66,22 @@ class _Words:
         self.place: dict[int, int] = {}
         self.starts, self.tokens = np.zeros(1, np.int64), np.zeros(0, np.int32)
 
-    def rows(self, hashes: np.ndarray, text_of) -> np.ndarray:
-        """Row of each distinct hash; `text_of(i)` gives the word where it is new."""
+    def rows(self, hashes: np.ndarray, texts_of) -> np.ndarray:
+        """Row of each distinct hash; `texts_of(places)` gives the words that are new."""
         if len(self.place) > CACHE_WORDS:
             self.reset()
         place = self.place
         found = [place.get(h, -1) for h in hashes.tolist()]
         new = [i for i, row in enumerate(found) if row < 0]
         if new:
-            lists = self.model.encode([text_of(i) for i in new], num_threads=1)
+            lists = self.model.encode(texts_of(new), num_threads=1)
             sizes = np.fromiter(map(len, lists), np.int64, len(lists))
             first = len(self.starts) - 1
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
-            self.tokens = np.concatenate([self.tokens, np.concatenate([np.asarray(x, np.int32) for x in lists])])
-            for k, i in enumerate(new):
-                found[i] = place[int(hashes[i])] = first + k
+            self.tokens = np.concatenate([self.tokens, np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum()))])
+            place.update(zip(hashes[new].tolist(), range(first, first + len(new))))
+            found = np.asarray(found, np.int64)
+            found[new] = np.arange(first, first + len(new))
         return np.asarray(found, np.int64)
 
 
@@ -108,8 +110,8 @@ def measure(buf: np.ndarray, offsets: np.ndarray, words: _Words) -> dict[str, np
     out["n_repeat_words"] = _repeat_words(hashes, rows, n)
 
     distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-    data = buf.tobytes()
-    place = words.rows(distinct, lambda i: data[starts[first[i]]: ends[first[i]]].decode("utf-8", "replace"))
+    place = words.rows(distinct, lambda new: [
+        w.decode("utf-8", "replace") for w in common.strings(buf, starts[first[new]], ends[first[new]])])
     at, counts = gather(words.starts, place[inverse])
     tokens = words.tokens[at]
     doc = np.repeat(rows, counts)

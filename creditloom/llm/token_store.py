@@ -32,13 +32,18 @@ from .registry import query
 
 MODEL = "word_bpe_49k.json"
 END_ID = 2
-SHARD_BYTES = 16 << 20  # text per shard of ids
+SHARD_BYTES = 48 << 20  # text per shard of ids
 BUCKET_KEYS = 1 << 16
-CACHE_WORDS = 300_000
+CACHE_WORDS = 700_000
 GAMMA = 2.0
 NULL_ID = -1 << 63
 
 
+_STOP, _LETTER = np.zeros(256, bool), np.zeros(256, bool)
+_STOP[list(b".,")] = True
+_LETTER[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = True
+
+
 class Encoder:
     """Ids of whole texts. Tokens never span blanks or line breaks, so each distinct piece between
     them is encoded by the library once per task (and again after the cache was emptied)."""
@@ -61,21 +66,23 @@ class Encoder:
         self.rows, self.starts, self.flat = 0, np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
     def _add(self, hashes: list[int], words: list[bytes]) -> None:
-        # Words of ASCII letters only are one pre-token each: encode them as one text and cut behind
-        # the tokens that end a word. All others are encoded one by one.
-        plain = [i for i, w in enumerate(words) if w.isalpha() and w.isascii()]
-        other = sorted(set(range(len(words))) - set(plain))
+        # Words of letters only are one pre-token each: encode them as one text and cut behind the
+        # tokens that end a word. All others are encoded one by one, and so are all words if the
+        # number of cuts is not that of the words (a letter may become letter and mark in lower case).
+        texts = [w.decode("utf-8", "replace") for w in words]
+        plain = [i for i, w in enumerate(texts) if w.isalpha()]
+        other = [i for i, w in enumerate(texts) if not w.isalpha()]
         if plain:
             ids = np.asarray(self.tokenizer.encode(
-                b" ".join(words[i] for i in plain).decode(), add_special_tokens=False).ids, np.uint32)
+                " ".join([texts[i] for i in plain]), add_special_tokens=False).ids, np.uint32)
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(plain):
-                plain, other = [], list(range(len(words)))
+                other = list(range(len(words)))
             else:
                 self._store([hashes[i] for i in plain], np.diff(np.concatenate([[0], cuts])), ids)
         if other:
             lists = [e.ids for e in self.tokenizer.encode_batch(
-                [words[i].decode("utf-8", "replace") for i in other], add_special_tokens=False)]
+                [texts[i] for i in other], add_special_tokens=False)]
             self._store([hashes[i] for i in other], np.fromiter(map(len, lists), np.int64, len(lists)),
                         np.concatenate([np.asarray(x, np.uint32) for x in lists]))
         counts = np.concatenate(self.counts)
@@ -84,16 +91,19 @@ class Encoder:
         self.starts = np.concatenate([[0], np.cumsum(counts)])
 
     def _store(self, hashes, counts, ids) -> None:
-        for h in hashes:
-            self.place[h] = self.rows
-            self.rows += 1
+        self.place.update(zip(hashes, range(self.rows, self.rows + len(hashes))))
+        self.rows += len(hashes)
         self.counts.append(np.asarray(counts, np.int64))
         self.ids.append(ids)
 
     def encode(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts of a slice, and how many each text has; no end ids."""
         n = len(offsets) - 1
-        starts, ends, rows = common.word_spans(buf, offsets, self.split)
+        # A full stop or comma between an ASCII letter and a blank is a pre-token of its own.
+        cuts = np.zeros(len(buf), bool)
+        if len(buf) > 2:
+            cuts[1:-1] = _STOP[buf[1:-1]] & _LETTER[buf[:-2]] & self.split[buf[2:]]
+        starts, ends, rows = common.word_spans(buf, offsets, self.split, cuts)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(n, np.int64)
         hashes = common.range_hash(common.prefix_hash(buf), starts, ends)
@@ -103,9 +113,8 @@ class Encoder:
         keys = distinct.tolist()
         new = [i for i, h in enumerate(keys) if h not in self.place]
         if new:
-            data = buf.tobytes()
-            self._add([keys[i] for i in new], [data[starts[first[i]]: ends[first[i]]] for i in new])
-        place = np.fromiter((self.place[h] for h in keys), np.int64, len(keys))[inverse]
+            self._add([keys[i] for i in new], common.strings(buf, starts[first[new]], ends[first[new]]))
+        place = np.fromiter(map(self.place.__getitem__, keys), np.int64, len(keys))[inverse]
         counts = self.starts[place + 1] - self.starts[place]
         shift = np.repeat(self.starts[place] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts)
         ids = self.flat[np.arange(int(counts.sum())) + shift]
