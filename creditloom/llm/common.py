@@ -156,14 +156,31 @@ def open_fs(uri: str):
     return fs.LocalFileSystem(), uri
 
 
+class Output:
+    """A file written piece by piece and named at the end: a task that is repeated replaces the file
+    by the same bytes in one rename, one that dies leaves only an unnamed part. Without any piece no
+    file is made."""
+
+    def __init__(self, uri: str):
+        self.filesystem, self.path = open_fs(uri)
+        self.part, self.out = f"{self.path}.{uuid.uuid4().hex}.part", None
+
+    def write(self, data: bytes) -> None:
+        if self.out is None:
+            self.filesystem.create_dir(self.path.rpartition("/")[0], recursive=True)
+            self.out = self.filesystem.open_output_stream(self.part)
+        self.out.write(data)
+
+    def close(self) -> None:
+        if self.out is not None:
+            self.out.close()
+            self.filesystem.move(self.part, self.path)
+
+
 def write_file(uri: str, data: bytes) -> None:
-    """Write a whole file; a repeated task replaces it by the same bytes in one rename."""
-    filesystem, path = open_fs(uri)
-    filesystem.create_dir(path.rpartition("/")[0], recursive=True)
-    part = f"{path}.{uuid.uuid4().hex}.part"
-    with filesystem.open_output_stream(part) as out:
-        out.write(data)
-    filesystem.move(part, path)
+    out = Output(uri)
+    out.write(data)
+    out.close()
 
 
 def read_range(uri: str, start: int, length: int) -> bytes:

@@ -17,8 +17,10 @@ null. Null and empty texts have the end id only. An empty table gives a store wi
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,16 +34,30 @@ from .registry import query
 
 MODEL = "word_bpe_49k.json"
 END_ID = 2
-SHARD_BYTES = 48 << 20  # text per shard of ids
+SHARD_BYTES = 96 << 20  # text per shard of ids
 BUCKET_KEYS = 1 << 16
-CACHE_WORDS = 700_000
+CACHE_WORDS = 1_000_000
 GAMMA = 2.0
 NULL_ID = -1 << 63
 
 
-_STOP, _LETTER = np.zeros(256, bool), np.zeros(256, bool)
-_STOP[list(b".,")] = True
-_LETTER[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = True
+_KIND = np.zeros(256, np.uint8)  # 1 letter, 2 digit, 3 mark, 4 apostrophe; 0 anything else
+_KIND[list(b"abcdefghijklmnopqrstuvwxyz")] = 1
+_KIND[list(b"0123456789")] = 2
+_KIND[list(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")] = 3
+_KIND[ord("'")] = 4
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 32
+
+
+def _cuts(buf: np.ndarray) -> np.ndarray:
+    """Bytes at which a pre-token must start: between ASCII letters and marks, around digits, at an
+    apostrophe behind a letter. (What follows an apostrophe depends on it and is not cut.)"""
+    kind = _KIND[buf]
+    before, here = kind[:-1], kind[1:]
+    cuts = np.zeros(len(buf), bool)
+    cuts[1:] = ((before == 1) & (here >= 3)) | ((before == 3) & (here == 1)) | (here == 2) | (before == 2)
+    return cuts
 
 
 class Encoder:
@@ -49,12 +65,14 @@ class Encoder:
     them is encoded by the library once per task (and again after the cache was emptied)."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.ends = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
+        self.special = [t.encode() for t in (x.content for x in self.tokenizer.get_added_tokens_decoder().values())]
         self.split = np.zeros(256, bool)
         self.split[[10, 32]] = True
         self.reset()
@@ -73,15 +91,17 @@ class Encoder:
         plain = [i for i, w in enumerate(texts) if w.isalpha()]
         other = [i for i, w in enumerate(texts) if not w.isalpha()]
         if plain:
-            ids = np.asarray(self.tokenizer.encode(
-                " ".join([texts[i] for i in plain]), add_special_tokens=False).ids, np.uint32)
+            letters = [texts[i] for i in plain]
+            runs = self.tokenizer.encode_batch_fast(
+                [" ".join(letters[k: k + 200]) for k in range(0, len(letters), 200)], add_special_tokens=False)
+            ids = np.fromiter(chain.from_iterable(e.ids for e in runs), np.uint32)
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(plain):
                 other = list(range(len(words)))
             else:
                 self._store([hashes[i] for i in plain], np.diff(np.concatenate([[0], cuts])), ids)
         if other:
-            lists = [e.ids for e in self.tokenizer.encode_batch(
+            lists = [e.ids for e in self.tokenizer.encode_batch_fast(
                 [texts[i] for i in other], add_special_tokens=False)]
             self._store([hashes[i] for i in other], np.fromiter(map(len, lists), np.int64, len(lists)),
                         np.concatenate([np.asarray(x, np.uint32) for x in lists]))
@@ -99,10 +119,12 @@ class Encoder:
     def encode(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts of a slice, and how many each text has; no end ids."""
         n = len(offsets) - 1
-        # A full stop or comma between an ASCII letter and a blank is a pre-token of its own.
-        cuts = np.zeros(len(buf), bool)
-        if len(buf) > 2:
-            cuts[1:-1] = _STOP[buf[1:-1]] & _LETTER[buf[:-2]] & self.split[buf[2:]]
+        # The vocabulary has lower case only. Where a special token's text occurs, nothing is
+        # changed or cut, because the library looks for it first.
+        lower = _LOWER[buf]
+        data, cuts = lower.tobytes(), None
+        if not any(t in data for t in self.special):
+            buf, cuts = lower, _cuts(lower) if len(buf) else None
         starts, ends, rows = common.word_spans(buf, offsets, self.split, cuts)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(n, np.int64)
@@ -207,15 +229,15 @@ def write(scope: Scope, docs: DataFrame, folder: str, model: str | None = None)
 
     def run(batches):
         from pyspark import TaskContext
-        shard, encoder, offset, parts = TaskContext.get().partitionId(), Encoder(path), 0, []
-        last, repeat = None, 0
+        shard, encoder, offset = TaskContext.get().partitionId(), Encoder(path), 0
+        last, repeat, out = None, 0, common.Output(shard_file(folder, shard))
         for batch in batches:
             buf, offsets = common.text_buffer(batch.column(1))
             lengths = []
             for i, j in common.row_slices(offsets):
                 ids, counts = encoder.encode(buf[offsets[i]: offsets[j]], offsets[i: j + 1] - offsets[i])
                 after = np.cumsum(counts)
-                parts.append(np.insert(ids, after, END_ID).astype("<u4").tobytes())
+                out.write(np.insert(ids, after, END_ID).astype("<u4").tobytes())
                 lengths.append(counts + 1)
             length = np.concatenate(lengths) if lengths else np.zeros(0, np.int64)
             before = offset + np.cumsum(length) - length
@@ -228,8 +250,7 @@ def write(scope: Scope, docs: DataFrame, folder: str, model: str | None = None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(repeats, pa.int32()), pa.array(np.full(len(length), shard), pa.int32()),
                  pa.array(before), pa.array(length)], names=["key", "repeat", "shard", "at", "length"])
-        if parts:
-            common.write_file(shard_file(folder, shard), b"".join(parts))
+        out.close()
 
     key = F.coalesce("doc_id", F.lit(NULL_ID))
     # Range partitions keep all rows of an id together, so repeats are counted inside one task.
