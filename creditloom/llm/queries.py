@@ -1,4 +1,4 @@
 """Imports every operator, so that all queries of this subpackage are registered."""
 
-from . import licenses, quality, sharding, token_store, warc  # noqa: F401
+from . import decontaminate, licenses, quality, sharding, token_store, toxicity, warc  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
