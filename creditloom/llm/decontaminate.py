@@ -17,8 +17,6 @@ returned; repeated rows match each on its own; with an empty table on either sid
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,8 +42,7 @@ def budget(m: int, q: int = Q) -> int:
 FOLDED = 0x3100  # scripts and punctuation below are folded, code points from here on stay as they are
 
 
-@lru_cache(maxsize=1)
-def _folded() -> np.ndarray:
+def _make_folded() -> np.ndarray:
     """Per code point its lower-case letter or digit, or a blank."""
     table = np.full(FOLDED, 32, np.uint32)
     for c in range(FOLDED):
@@ -55,10 +52,13 @@ def _folded() -> np.ndarray:
     return table
 
 
+_FOLDED = _make_folded()
+
+
 def normal(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Folded characters and their positions in `text`."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    folded = np.where(points < FOLDED, _folded()[np.minimum(points, FOLDED - 1)], points)
+    folded = np.where(points < FOLDED, _FOLDED[np.minimum(points, FOLDED - 1)], points)
     keep = folded != 32
     keep[1:] |= folded[:-1] != 32
     if len(keep):
