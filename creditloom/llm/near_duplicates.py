@@ -369,20 +369,20 @@ def classify(docs: DataFrame, scope: Scope) -> DataFrame:
         "node")
 
 
-def keep_one(docs: DataFrame, scope: Scope) -> DataFrame:
+def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of `docs`, all columns unchanged, of which one per class stays: that of the smallest
     doc_id. Rows that share doc_id and text are one document; rows without words all stay."""
-    named = scope.table(classify(docs, scope).where("node is not null"), "named")
-    gone = named.where("key <> class_key").select("key", "text_hash").distinct()
-    # Different texts under the doc_id that names the class: the smallest text hash stays.
-    own = named.where("key = class_key").select("key", "text_hash")
-    least = own.groupBy("key").agg(F.min("text_hash").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    gone = scope.table(gone.unionByName(own.join(least, "key").where("text_hash <> least").select(
-        "key", "text_hash").distinct()), "gone")
+    with Scope(docs.sparkSession, "links") as scope:
+        named = scope.table(classify(docs, scope).where("node is not null"), "named")
+        own = named.where("key = class_key").select("key", "text_hash")
+        # Different texts under the doc_id that names the class: the smallest text hash stays.
+        least = own.groupBy("key").agg(F.min("text_hash").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        others = own.join(least, "key").where("text_hash <> least").select("key", "text_hash")
+        gone = scope.keep(named.where("key <> class_key").select("key", "text_hash").unionByName(others).distinct(), "gone")
+        again = scope.keep(own.groupBy("key", "text_hash").count().where("count > 1").select("key", "text_hash"), "again")
     key, text_hash = _identity()
     marked = docs.withColumn("key_", key).withColumn("hash_", text_hash)
     left = marked.join(gone.toDF("key_", "hash_"), ["key_", "hash_"], "left_anti")
-    again = scope.table(own.groupBy("key", "text_hash").count().where("count > 1").select("key", "text_hash"), "again")
     if not again.isEmpty():
         again = again.toDF("key_", "hash_")
         once = left.join(again, ["key_", "hash_"], "left_semi").dropDuplicates(["key_", "hash_"])

@@ -1,4 +1,4 @@
 """Imports every operator, so that all queries of this subpackage are registered."""
 
-from . import decontaminate, licenses, near_duplicates, quality, sentencepiece_dropout, sharding, token_store, toxicity, warc  # noqa: F401
+from . import decontaminate, licenses, near_duplicates, quality, sentencepiece_dropout, sharding, suffix_dedup, token_store, toxicity, warc  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
