@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from . import common
 from .registry import query
@@ -338,7 +339,7 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
     import public_tokenizers
     path = model or public_tokenizers.path(MODEL)
     at = encoded.columns.index("ids")
-    schema = encoded.schema.add("decoded", "string")
+    schema = StructType([*encoded.schema.fields, StructField("decoded", StringType())])
 
     def run(batches):
         v = Vocabulary.load(path)
