@@ -361,9 +361,11 @@ def classify(docs: DataFrame, scope: Scope) -> DataFrame:
     rows, links, classes = link(docs, scope)
     copies = rows.where("node is not null").groupBy("node").agg(
         F.count(F.lit(1)).alias("copies"), F.min("key").alias("least"))
-    node = copies.join(links, "node", "left").join(classes, "node", "left").select(
+    # Written, so that both sides of the last join have an exchange of their own and Spark can split
+    # the partition of a large group of copies.
+    node = scope.table(copies.join(links, "node", "left").join(classes, "node", "left").select(
         F.col("node").alias("node_"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-        F.coalesce("class_key", "least").alias("class_key"))
+        F.coalesce("class_key", "least").alias("class_key")), "by_node")
     return rows.join(node, rows.node == node.node_, "left").select(
         "key", "text_hash", F.coalesce("class_key", "key").alias("class_key"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         "node")
