@@ -278,19 +278,15 @@ class _Runs:
         self.subs = subs
         self.held, self.n = [], 0
 
-    def add(self, buf, offsets, keys, hashes, wanted: list, hot: list):
+    def add(self, buf, offsets, keys, hashes, wanted: tuple, hot: tuple):
+        """Take the wanted anchors of a slice; `wanted` and `hot` are (row, anchor) arrays."""
         row, at, first, last, gram = anchors(buf, offsets)
-        cut = np.searchsorted(row, np.arange(len(offsets)))
-        pick, is_hot = [], []
-        for k in range(len(offsets) - 1):
-            here = np.arange(cut[k], cut[k + 1])
-            found = np.isin(at[here], wanted[k])
-            pick.append(here[found])
-            is_hot.append(np.isin(at[here[found]], hot[k]))
-        pick = np.concatenate(pick) if pick else np.zeros(0, np.int64)
+        width = len(buf) + 1
+        place = row * width + at
+        pick = np.flatnonzero(np.isin(place, wanted[0] * width + wanted[1]))
         if not len(pick):
             return
-        is_hot = np.concatenate(is_hot)
+        is_hot = np.isin(place[pick], hot[0] * width + hot[1])
         matrix = lines(buf, offsets[row[pick]] + at[pick], at[pick] - first[pick], last[pick] + SPAN - at[pick])
         self.held.append((matrix, keys[row[pick]], hashes[row[pick]], at[pick], first[pick], last[pick], gram[pick], is_hot))
         self.n += len(pick)
@@ -408,6 +404,17 @@ def _combine(pdf: pd.DataFrame) -> pd.DataFrame:
 
 # The job.
 
+def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(row, value) of all items of a list column."""
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    return np.repeat(np.arange(len(lists)), np.diff(offsets)), lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _between(items: tuple[np.ndarray, np.ndarray], i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+    a, b = np.searchsorted(items[0], [i, j])
+    return items[0][a:b] - i, items[1][a:b]
+
+
 def _identity() -> list:
     return [F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("key"), F.xxhash64("text").alias("hash")]
 
@@ -458,8 +465,10 @@ def repeated(docs: DataFrame, scope: Scope, hot: int = HOT) -> DataFrame:
     splitters = _splitters(texts, min(parts, RANGES), rows)
     subs = -(-parts // (len(splitters) + 1))
     found = _anchor_rows(texts)
-    shared = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
-        F.col("gram").alias("gram_"), (F.col("n") > hot).alias("hot"))
+    # Written, so that both sides of the join have an exchange of their own and Spark can split the
+    # partition of a frequent gram.
+    shared = scope.table(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
+        F.col("gram").alias("gram_"), (F.col("n") > hot).alias("hot")), "shared")
     places = scope.table(found.join(shared, found.gram == shared.gram_).groupBy("key").agg(
         F.collect_list("at").alias("wanted"), F.collect_list(F.when(F.col("hot"), F.col("at"))).alias("burning")), "anchors")
 
@@ -468,11 +477,10 @@ def repeated(docs: DataFrame, scope: Scope, hot: int = HOT) -> DataFrame:
         for batch in batches:
             buf, offsets = common.text_buffer(batch.column(2))
             keys, hashes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            wanted = [np.array(x, np.int64) for x in batch.column(3).to_pylist()]
-            burning = [np.array(x, np.int64) for x in batch.column(4).to_pylist()]
+            wanted, burning = _flat(batch.column(3)), _flat(batch.column(4))
             for i, j in common.row_slices(offsets):
                 runs.add(buf[offsets[i]: offsets[j]], offsets[i: j + 1] - offsets[i], keys[i:j], hashes[i:j],
-                         wanted[i:j], burning[i:j])
+                         _between(wanted, i, j), _between(burning, i, j))
                 if runs.n > RUN_LINES:
                     yield from runs.flush()
         yield from runs.flush()
