@@ -35,7 +35,7 @@ from .registry import query
 MODEL = "piece_bpe_32k.model"
 DROPOUT, SEED, VARIANTS = 0.1, 7, 8
 LONG = 64
-SLICE_BYTES = 4 << 20  # text of which equal units are encoded once
+SLICE_BYTES = 2 << 20  # text of which equal units are encoded once
 BLANK = "▁"
 PAIR_BITS = 19
 _NONE = np.int32(1 << 30)
@@ -357,7 +357,7 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
 
 @query("op5_sentencepiece_dropout")
 def op5_sentencepiece_dropout(spark, sf_dir):
-    common.small_batches(spark)
+    common.small_batches(spark, 500)
     both = decode(encode(common.table(spark, sf_dir, "documents")))
     return both.select("doc_id", "ids", F.size("ids").alias("n_tokens"),
                        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
