@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from . import common
 from .registry import query
 
-SAMPLE = {1: 1500, 0: 3000}  # labelled rows taken at most of each label, the first by a hash of doc_id
+SAMPLE = {1: 1000, 0: 2000}  # labelled rows taken at most of each label, the first by a hash of doc_id
 WINDOW, STRIDE = 24, 12
 HIDDEN, WORD_DIM, CHAR_DIM, ATTENTION = 8, 4, 4, 8
 ROWS = 1 << 14  # rows of the hashed embeddings
@@ -82,6 +82,24 @@ def read_words(buf: np.ndarray, offsets: np.ndarray) -> Words:
                  np.concatenate([[0], np.cumsum(counts)]), len(offsets) - 1)
 
 
+def read_all(texts: list[str]) -> Words:
+    """`read_words` of many texts, slice by slice."""
+    buf, offsets = common.text_buffer(pa.array(texts, pa.large_string()))
+    parts = [read_words(buf[offsets[i]: offsets[j]], offsets[i: j + 1] - offsets[i]) for i, j in common.row_slices(offsets)]
+    if not parts:
+        return read_words(buf, offsets)
+    base = np.cumsum([0] + [len(p.hashes) for p in parts])
+    hashes, first, inverse = np.unique(np.concatenate([p.hashes for p in parts]), return_index=True, return_inverse=True)
+    rows = np.cumsum([0] + [p.n for p in parts])
+    flat = np.concatenate([p.grams for p in parts])
+    counts = np.concatenate([np.diff(p.gram_starts) for p in parts])
+    every = Words(hashes, None, None, None, flat, np.concatenate([[0], np.cumsum(counts)]), rows[-1])
+    grams, starts = _gram_rows(every, first)
+    return Words(hashes, np.concatenate([p.keys for p in parts])[first],
+                 np.concatenate([inverse[base[k] + p.sequence] for k, p in enumerate(parts)]).astype(np.int32),
+                 np.concatenate([p.rows + rows[k] for k, p in enumerate(parts)]).astype(np.int32), grams, starts, int(rows[-1]))
+
+
 def windows(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, first word, words) of every overlapping window; the last one ends with the text."""
     count = np.bincount(words.rows, minlength=words.n)
@@ -104,13 +122,18 @@ class Statistics:
     def folds(cls, documents: list[np.ndarray], labels: np.ndarray, fold: np.ndarray) -> list[Statistics]:
         """Statistics of all rows, then those without fold 0, 1, ...; `documents` holds the distinct
         keys of each row."""
-        hashes, inverse = np.unique(np.concatenate(documents), return_inverse=True)
-        sizes, k = [len(d) for d in documents], len(hashes)
-        cell = np.repeat(fold, sizes) * k + inverse
-        all_ = np.bincount(cell, minlength=FOLDS * k).reshape(FOLDS, k)
-        ones = np.bincount(cell, np.repeat(labels, sizes), FOLDS * k).reshape(FOLDS, k)
-        kept = all_.sum(axis=0) >= LEAST_SEEN
-        hashes, all_, ones = hashes[kept], all_[:, kept], ones[:, kept]
+        flat = np.concatenate(documents)
+        flat.sort()
+        # Values that occur LEAST_SEEN times are equal to the one LEAST_SEEN - 1 places before.
+        hashes = np.unique(flat[LEAST_SEEN - 1:][flat[LEAST_SEEN - 1:] == flat[: len(flat) - LEAST_SEEN + 1]])
+        del flat
+        all_, ones = np.zeros((FOLDS, len(hashes))), np.zeros((FOLDS, len(hashes)))
+        for row, keys in enumerate(documents):
+            at = np.searchsorted(hashes, keys)
+            at = at[at < len(hashes)] if len(hashes) else at[:0]
+            at = at[np.isin(hashes[at], keys, assume_unique=True)]
+            all_[fold[row], at] += 1
+            ones[fold[row], at] += labels[row]
         out = []
         for f in range(-1, FOLDS):
             rows = fold != f
@@ -271,8 +294,7 @@ def fit(texts: list[str], labels: np.ndarray, weight: float = 1.0) -> tuple[Netw
     Word statistics that a text is trained with come from the other folds only, those the result
     scores with from all of them.
     """
-    buf, offsets = common.text_buffer(pa.array(texts, pa.large_string()))
-    words = read_words(buf, offsets)
+    words = read_all(texts)
     n, size = len(texts), len(words.hashes)
     fold = np.arange(n) % FOLDS
     pairs = np.unique(words.rows.astype(np.int64) * (size + 1) + words.sequence)
@@ -286,14 +308,17 @@ def fit(texts: list[str], labels: np.ndarray, weight: float = 1.0) -> tuple[Netw
     if not len(row):
         return network, stats
     # Row f * size + w of the inputs is word w as fold f sees it.
-    index = Network._index(words, start, length) + (fold[row] * size)[:, None]
+    index = (Network._index(words, start, length) + (fold[row] * size)[:, None]).astype(np.int32)
     positive = labels[row] == 1
     word_rows = (words.hashes % np.uint64(ROWS)).astype(np.int64)
 
     def logits(chosen):
-        x = np.concatenate([features, np.tile(network.embeddings(words), (FOLDS, 1))], axis=1)
-        return np.concatenate([network.forward(x, index[k], length[k])
-                               for k in np.array_split(chosen, len(chosen) // 8192 + 1)])
+        embeddings, out = network.embeddings(words), []
+        for k in np.array_split(chosen, len(chosen) // 8192 + 1):
+            used, local = np.unique(index[k], return_inverse=True)
+            x = np.concatenate([features[used], embeddings[used % size]], axis=1)
+            out.append(network.forward(x, local.reshape(len(k), WINDOW), length[k]))
+        return np.concatenate(out)
 
     rng = np.random.default_rng(3)
     view = features[:, :-2].max(axis=1)[index].max(axis=1)  # until the network knows better
