@@ -42,7 +42,7 @@ from .registry import query
 SPAN, GRAM = 100, 32
 WIDE = SPAN - GRAM + 1  # grams of one string
 HOT = 20_000
-PART_BYTES = 4 << 20  # text per part; only some of its anchors are sent
+PART_BYTES = 2 << 20  # text per part; only some of its anchors are sent
 RANGES = 1024  # splitters at most; beyond that a range is cut further by gram hash
 RUN_LINES = 60_000
 SAMPLE_DOCS = 1500  # documents whose grams place the splitters; they only balance the parts
@@ -316,8 +316,16 @@ class _Runs:
 
     @staticmethod
     def _settled(ids, hashes, first, last, which) -> pa.RecordBatch:
-        return _rows(len(which), part=(ids[which] % 997).astype(np.int32), kind=np.full(len(which), SETTLED),
-                     key=ids[which], hash=hashes[which], first=first[which], last=last[which])
+        """Rows of repeated runs; runs of one document that touch become one."""
+        which = which[np.lexsort((first[which], hashes[which], ids[which]))]
+        key, hash_, lo, hi = ids[which], hashes[which], first[which], last[which]
+        new = np.ones(len(which), bool)
+        new[1:] = (key[1:] != key[:-1]) | (hash_[1:] != hash_[:-1]) | (lo[1:] > hi[:-1] + 1)
+        head = np.flatnonzero(new)
+        if len(head):
+            hi = np.maximum.reduceat(hi, head)
+        return _rows(len(head), part=(key[head] % 997).astype(np.int32), kind=np.full(len(head), SETTLED),
+                     key=key[head], hash=hash_[head], first=lo[head], last=hi)
 
     def _strings(self, matrix, ids, hashes, at, first, last, gram, which):
         """Rows of the single strings of hot anchors; those the task has before are settled here."""
