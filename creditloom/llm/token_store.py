@@ -2,12 +2,13 @@
 
 Layout of a store:
 
-* `ids/part-NNNNN.bin`: the ids of the documents of one doc_id range, little-endian unsigned 32 bit,
+* `format.json`: the width of an id, 2 bytes where the vocabulary allows it and else 4;
+* `ids/part-NNNNN.bin`: the ids of the documents of one doc_id range, little-endian unsigned integers,
   nothing between documents;
 * `index/part-NNNNN.mph`: one index part per key bucket (keys go to buckets by hash). A part holds a
   minimal perfect hash of its keys in levels: a key's place is the first level whose bit at
   hash(level, key) is set, its slot the number of set bits before that. Per slot follow fingerprint,
-  shard, offset in the shard and length. A lookup costs a few bit tests and one read of 4 * length
+  shard, offset in the shard and length. A lookup costs a few bit tests and one read of width * length
   bytes, whatever the size of the store; the fingerprint turns keys that are not in the store away.
 
 Rows that repeat a doc_id are stored each, in ascending order of text digest; the key is (doc_id, how
@@ -17,6 +18,7 @@ null. Null and empty texts have the end id only. An empty table gives a store wi
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -225,6 +227,9 @@ def write(scope: Scope, docs: DataFrame, folder: str, model: str | None = None)
     """Write the store; returns its catalogue (doc_id, repeat, bucket) and the number of buckets."""
     import public_tokenizers
     path = model or public_tokenizers.path(MODEL)
+    from tokenizers import Tokenizer
+    width = 2 if Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+    common.write_file(f"{folder}/format.json", json.dumps({"width": width}).encode())
     shards = max(1, common.input_bytes(docs) // SHARD_BYTES + 1)
 
     def run(batches):
@@ -237,7 +242,7 @@ def write(scope: Scope, docs: DataFrame, folder: str, model: str | None = None)
             for i, j in common.row_slices(offsets):
                 ids, counts = encoder.encode(buf[offsets[i]: offsets[j]], offsets[i: j + 1] - offsets[i])
                 after = np.cumsum(counts)
-                out.write(np.insert(ids, after, END_ID).astype("<u4").tobytes())
+                out.write(np.insert(ids, after, END_ID).astype(f"<u{width}").tobytes())
                 lengths.append(counts + 1)
             length = np.concatenate(lengths) if lengths else np.zeros(0, np.int64)
             before = offset + np.cumsum(length) - length
@@ -292,16 +297,18 @@ def find(keys: DataFrame, folder: str) -> DataFrame:
 
 def digest(scope: Scope, places: DataFrame, folder: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 read from the id files; one task reads one shard whole."""
+    width = json.loads(common.read_file(f"{folder}/format.json"))["width"]
+
     def run(pdf):
         shard = int(pdf["shard"].iloc[0])
-        data = memoryview(common.read_file(shard_file(folder, shard)))
-        crc = [zlib.crc32(data[4 * a: 4 * (a + n)]) for a, n in zip(pdf["at"], pdf["length"])]
+        ids = np.frombuffer(common.read_file(shard_file(folder, shard)), f"<u{width}")
+        crc = [zlib.crc32(ids[a: a + n].astype("<u4").tobytes()) for a, n in zip(pdf["at"], pdf["length"])]
         return pdf[["key", "shard", "at", "length"]].assign(ids_crc32=crc)
 
     # The files' lengths say where each shard starts; one small row per shard.
     spark = places.sparkSession
     files = spark.read.format("binaryFile").load(f"{folder}/ids").select(
-        F.regexp_extract("path", r"part-(\d+)\.bin", 1).cast("long").alias("shard_"), (F.col("length") / 4).cast("long").alias("ids"))
+        F.regexp_extract("path", r"part-(\d+)\.bin", 1).cast("long").alias("shard_"), (F.col("length") / width).cast("long").alias("ids"))
     before = Window.orderBy("shard_").rowsBetween(Window.unboundedPreceding, -1)
     bases = files.select("shard_", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
     read = places.groupBy("shard").applyInPandas(run, "key long, shard long, at long, length long, ids_crc32 long")
