@@ -163,14 +163,15 @@ def entries(scope: Scope, folder: str, block_bytes: int = BLOCK_BYTES) -> DataFr
     before = 0
     while (count := reached.count()) != before:
         before = count
-        ahead = reached.join(jumps, ["file", "at"]).select("file", F.col("exit").alias("at"))
+        # Offsets compress far better on disk than in memory, so their size there says little: merge.
+        ahead = reached.join(jumps.hint("merge"), ["file", "at"]).select("file", F.col("exit").alias("at"))
         wider = scope.table(reached.unionByName(ahead).distinct(), "reached")
         hop = jumps.select("file", F.col("at").alias("exit"), F.col("exit").alias("further"))
-        longer = scope.table(jumps.join(hop, ["file", "exit"]).select(
+        longer = scope.table(jumps.join(hop.hint("merge"), ["file", "exit"]).select(
             "file", "at", F.col("further").alias("exit")), "jumps")
         scope.drop(reached), scope.drop(jumps)
         reached, jumps = wider, longer
-    return reached.join(claims.select("file", "at", "size"), ["file", "at"]).select(
+    return reached.join(claims.select("file", "at", "size").hint("merge"), ["file", "at"]).select(
         "file", "size", (F.col("at") - F.col("at") % block_bytes).alias("start"), F.col("at").alias("entry"))
 
 
