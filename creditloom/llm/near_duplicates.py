@@ -333,7 +333,7 @@ def link(docs: DataFrame, scope: Scope) -> tuple[DataFrame, DataFrame, DataFrame
     joined = common.connected_components(scope, met.select(F.col("node").alias("a"), F.col("linked").alias("b")))
     both = joined.unionByName(joined.select(F.col("component").alias("node"), "component").distinct())
     least = both.join(nodes.select("node", "least"), "node").groupBy("component").agg(F.min("least").alias("class_key"))
-    classes = scope.table(both.join(least, "component").select("node", "class_key"), "classes")
+    classes = scope.table(both.join(least, "component").select("node", "class_key", "component"), "classes")
     return rows, links, classes
 
 
@@ -356,7 +356,7 @@ def _sets(texts: DataFrame) -> DataFrame:
 
 
 def classify(docs: DataFrame, scope: Scope) -> DataFrame:
-    """key, class_key, n_links of every row: the class is the component of its links, n_links the
+    """key, text_hash, class_key, n_links, node and class_node of every row: the class is the component of its links, n_links the
     number of other documents with a similarity of at least the threshold (copies included)."""
     rows, links, classes = link(docs, scope)
     copies = rows.where("node is not null").groupBy("node").agg(
@@ -365,10 +365,10 @@ def classify(docs: DataFrame, scope: Scope) -> DataFrame:
     # the partition of a large group of copies.
     node = scope.table(copies.join(links, "node", "left").join(classes, "node", "left").select(
         F.col("node").alias("node_"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-        F.coalesce("class_key", "least").alias("class_key")), "by_node")
+        F.coalesce("class_key", "least").alias("class_key"), F.coalesce("component", "node").alias("class_node")), "by_node")
     return rows.join(node, rows.node == node.node_, "left").select(
         "key", "text_hash", F.coalesce("class_key", "key").alias("class_key"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        "node")
+        "node", "class_node")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -376,10 +376,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
     doc_id. Rows that share doc_id and text are one document; rows without words all stay."""
     with Scope(docs.sparkSession, "links") as scope:
         named = scope.table(classify(docs, scope).where("node is not null"), "named")
-        own = named.where("key = class_key").select("key", "text_hash")
-        # Different texts under the doc_id that names the class: the smallest text hash stays.
-        least = own.groupBy("key").agg(F.min("text_hash").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        others = own.join(least, "key").where("text_hash <> least").select("key", "text_hash")
+        own = named.where("key = class_key").select("key", "class_node", "text_hash")
+        # Different texts of one class under the doc_id that names it: the smallest text hash stays.
+        least = own.groupBy("key", "class_node").agg(
+            F.min("text_hash").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        others = own.join(least, ["key", "class_node"]).where("text_hash <> least").select("key", "text_hash")
         gone = scope.keep(named.where("key <> class_key").select("key", "text_hash").unionByName(others).distinct(), "gone")
         again = scope.keep(own.groupBy("key", "text_hash").count().where("count > 1").select("key", "text_hash"), "again")
     key, text_hash = _identity()
