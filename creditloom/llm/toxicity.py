@@ -296,7 +296,10 @@ def fit(texts: list[str], labels: np.ndarray, weight: float = 1.0) -> tuple[Netw
     """
     words = read_all(texts)
     n, size = len(texts), len(words.hashes)
-    fold = np.arange(n) % FOLDS
+    fold = np.zeros(n, np.int64)
+    for label in (0, 1):  # every fold has its share of both labels
+        some = np.flatnonzero(labels == label)
+        fold[some] = np.arange(len(some)) % FOLDS
     pairs = np.unique(words.rows.astype(np.int64) * (size + 1) + words.sequence)
     owner, word = pairs // (size + 1), pairs % (size + 1)
     cut = np.searchsorted(owner, np.arange(n + 1))
