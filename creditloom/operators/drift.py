@@ -47,21 +47,26 @@ def _index(bins: int) -> Column:
         for b in range(bins)))
 
 
+def _known(df: DataFrame, value: str) -> DataFrame:
+    """Rows whose value is a number: neither null nor NaN."""
+    return df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+
+
 def binned_pairs(values: DataFrame, baseline: DataFrame, by: Sequence[str], over: Sequence[str],
                  value: str, bins: int = BINS) -> DataFrame:
     """Bin counts of every (by, over) group of `values` next to those of its `by` baseline.
 
     Columns: by, over, struct `a` (actual: n, bin_0 ...) and struct `e` (expected), null without a
-    baseline. Nulls are not counted.
+    baseline. Nulls and NaN are not counted.
     """
     by, over = list(by), list(over)
-    known = lambda df: df.where(F.col(value).isNotNull())
+    values, baseline = _known(values, value), _known(baseline, value)
     inner = [i * (1.0 / bins) for i in range(1, bins)]
     edges, _ = session.stage(
         exact_quantiles(baseline, by, value, inner, interpolate=True)
         .withColumnRenamed("quantiles", "edges"), "edges")
-    expected = _bin_counts(known(baseline).join(edges, by), by, value, bins)
-    actual = _bin_counts(known(values).join(edges, by, "left"), [*by, *over], value, bins)
+    expected = _bin_counts(baseline.join(edges, by), by, value, bins)
+    actual = _bin_counts(values.join(edges, by, "left"), [*by, *over], value, bins)
     # Both sides are one row per group by now.
     return actual.withColumnRenamed("counts", "a").join(
         expected.withColumnRenamed("counts", "e"), by, "left")
@@ -76,7 +81,7 @@ def stability(values: DataFrame, baseline: DataFrame, by: Sequence[str], over: S
     """
     by, over = list(by), list(over)
     if bins < 2:
-        return values.where(F.col(value).isNotNull()).groupBy(*by, *over).agg(
+        return _known(values, value).groupBy(*by, *over).agg(
             F.count(F.lit(1)).alias("n"), F.lit(None).cast("double").alias("psi"))
     return binned_pairs(values, baseline, by, over, value, bins).select(
         *by, *over, "a.n", F.when(F.col("e.n") > 0, _index(bins)).alias("psi"))

@@ -86,9 +86,9 @@ def feature_store(spark: SparkSession, root: str, **options) -> Observation:
     path = tables.table_path(root, "gold", "vocabulary")
     stored = tables.read_table(spark, path)
     if stored is None:
-        seen = financials.select("Customer_ID", *schemas.CATEGORIES[1:]).unionByName(
-            attributes.select("Customer_ID", "Occupation"), allowMissingColumns=True)
-        vocabulary = encode.fit_vocabulary(seen, schemas.CATEGORIES)
+        # One pass per source: a union would count every row as unknown in the other's columns.
+        vocabulary = {**encode.fit_vocabulary(attributes, ["Occupation"]),
+                      **encode.fit_vocabulary(financials, schemas.CATEGORIES[1:])}
         tables.overwrite_table(encode.vocabulary_table(spark, vocabulary).coalesce(1), path)
     else:
         vocabulary = encode.vocabulary_of(stored)

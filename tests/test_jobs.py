@@ -161,3 +161,33 @@ def test_shared_folder_must_be_named_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_root(Cluster())
+
+
+def test_loan_types_are_fitted_on_a_window_and_later_ones_counted(spark, mart):
+    root = session.scratch_path(spark, "window")
+    ingest.bronze(spark, mart.raw, root, "financials")
+    with pytest.raises(ValueError, match="all months"):
+        ingest.silver(spark, root, "financials", ["1994-11-01"])
+    early = ingest.fit_loan_types(spark, root, until="1992-01-31")
+    every = ingest.fit_loan_types(spark, root)
+    assert set(early) <= set(every)
+    assert ingest.unseen_loan_types(spark, root).count() == 0
+    from creditloom.operators.encode import vocabulary_table
+    from creditloom.sources import tables
+    tables.overwrite_table(vocabulary_table(spark, {"loan_type": every[1:]}).coalesce(1),
+                           tables.table_path(root, "silver", "loan_type_vocabulary"))
+    unseen = ingest.unseen_loan_types(spark, root).collect()
+    assert {r.loan_type for r in unseen} == {every[0]} and sum(r.n for r in unseen) > 0
+
+
+def test_scope_deletes_its_tables(spark):
+    def there(path):
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+    with pytest.raises(RuntimeError):
+        with session.Scope(spark, "test") as scope:
+            table = scope.table(spark.range(5))
+            assert table.count() == 5 and there(table.scope_path)
+            raise RuntimeError
+    assert not there(table.scope_path)

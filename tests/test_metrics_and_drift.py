@@ -194,3 +194,14 @@ def test_data_summary(spark):
     got = {r["side"]: r for r in operate.data_summary(df, ["x"], "2024-01-01", "2024-02-01").collect()}
     assert (got["baseline"]["null_share"], got["baseline"]["is_constant"]) == (0.5, True)
     assert (got["current"]["mean"], got["current"]["n_distinct"]) == (3.0, 2)
+
+
+def test_nan_is_not_binned(spark):
+    """A value that is not a number is left out, as a null is."""
+    nan = float("nan")
+    base = [("1994-01-01", float(k)) for k in range(50)]
+    rows = base + [("1994-02-01", 1.0), ("1994-02-01", nan), ("1994-02-01", None)]
+    frame = spark.createDataFrame(rows, "d string, f double").selectExpr("date(d) as snapshot_date", "f")
+    from creditloom.operators import drift as operators
+    got = {str(r.snapshot_date): r for r in operators.feature_csi(frame, ["f"], "1994-01-01").collect()}
+    assert got["1994-02-01"].n == 1 and got["1994-02-01"].psi > 1
