@@ -45,7 +45,8 @@ def with_shared(sql: str) -> str:
     visit(sql)
     if not needed:
         return sql
-    return "WITH " + ",\n".join(f"{n} AS ({SHARED[n]})" for n in needed) + "\n" + sql
+    # Materialized: several queries read a shared table more than once.
+    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({SHARED[n]})" for n in needed) + "\n" + sql
 
 
 def query(name: str, sql: str | None = None):
