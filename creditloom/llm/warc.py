@@ -52,40 +52,47 @@ def record(page_id, url, payload: bytes, digest: str, refers_to, revisit: bool)
     return MAGIC + "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def write(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """Write all pages (page_id, url, html) as `folder`/*.warc; returns (file, records).
+def write(scope: Scope, pages: DataFrame, folder: str) -> DataFrame:
+    """Write all pages (page_id, url, html) as `folder`/*.warc, one file a task; returns (file, records).
 
-    Which of equal payloads is the response is found on digests alone; the payloads move once.
+    Which of equal payloads is the response is found on digests alone.
     """
     data = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     keyed = pages.select("page_id", "url", data.alias("payload"), F.sha1(data).alias("sha"))
     first = keyed.groupBy("sha").agg(
         F.min(F.struct(F.col("page_id").isNotNull().alias("known"), "page_id")).alias("f"),
-        F.count(F.lit(1)).alias("copies"))
-    shared = first.where("copies > 1").select(F.col("sha").alias("sha_"), F.col("f.page_id").alias("refers_to"))
-    joined = keyed.join(shared, keyed.sha == shared.sha_, "left")
-    files = max(1, common.input_bytes(pages, "html") // file_bytes + 1)
+        F.count(F.lit(1)).alias("copies")).where("copies > 1").select(
+            F.col("sha").alias("sha_"), F.col("f.page_id").alias("refers_to"))
+    # Only pages with a copy go on, without their payloads; written, so that Spark knows the size and
+    # moves the payloads for the last join only where this table is too large to broadcast.
+    marked = keyed.select("page_id", "sha").join(first, F.col("sha") == F.col("sha_")).groupBy(
+        F.col("page_id").alias("page_"), F.col("sha_"), "refers_to").agg(F.count(F.lit(1)).alias("twins"))
+    marked = scope.table(marked, "copies")
+    joined = keyed.join(marked, (keyed.sha == marked.sha_) & keyed.page_id.eqNullSafe(marked.page_), "left")
     candidate = joined.withColumn("is_first", F.col("sha_").isNull() | F.col("page_id").eqNullSafe(F.col("refers_to")))
+    if not marked.where("twins > 1").isEmpty():
+        # Rows that repeat a page meet in one task, so exactly one of them is the response.
+        files = max(1, common.input_bytes(pages, "html") // FILE_BYTES + 1)
+        candidate = candidate.repartition(files, "page_id").sortWithinPartitions("page_id")
 
     def run(batches):
         from pyspark import TaskContext
         name = f"{folder}/part-{TaskContext.get().partitionId():06d}.warc"
-        parts, count, seen = [], 0, set()
+        out, count, seen = common.Output(name), 0, set()
         for batch in batches:
-            for page, url, payload, target, is_first in zip(*(batch.column(k).to_pylist() for k in range(5))):
+            for page, url, payload, target, is_first, copied in zip(*(batch.column(k).to_pylist() for k in range(6))):
                 digest = digest_of(payload)
                 revisit = not is_first or digest in seen
-                if is_first:
+                if is_first and copied:
                     seen.add(digest)
-                parts.append(record(page, url, payload, digest, target, revisit))
+                out.write(record(page, url, payload, digest, target, revisit))
                 count += 1
+        out.close()
         if count:
-            common.write_file(name, b"".join(parts))
             yield pa.RecordBatch.from_pydict({"file": [name], "records": [count]})
 
-    # Copies of the smallest page_id meet in one file, so exactly one of them is the response.
-    return candidate.repartition(files, "page_id").sortWithinPartitions("page_id").select(
-        "page_id", "url", "payload", "refers_to", "is_first").mapInArrow(run, "file string, records long")
+    return candidate.select("page_id", "url", "payload", "refers_to", "is_first", F.col("sha_").isNotNull().alias("copied")).mapInArrow(
+        run, "file string, records long")
 
 
 def blocks(spark: SparkSession, folder: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -222,6 +229,6 @@ def op4_warc(spark, sf_dir):
     common.small_batches(spark)
     with Scope(spark, "warc") as scope:
         folder = scope.path("archive")
-        scope.table(write(common.table(spark, sf_dir, "pages"), folder), "written")
+        scope.table(write(scope, common.table(spark, sf_dir, "pages"), folder), "written")
         return scope.keep(read(scope, folder, payload=False).select(
             "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))

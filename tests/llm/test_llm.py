@@ -154,7 +154,7 @@ def test_warc_with_magic_in_payloads(spark, tmp_path):
     for block in (700, 1 << 20):
         with Scope(spark, "test") as scope:
             folder = scope.path("warc")
-            warc.write(pages, folder).collect()
+            warc.write(scope, pages, folder).collect()
             out = warc.read(scope, folder, block).collect()
         assert sorted(r.page_id for r in out) == [1, 2, 3, 4, 4, 5, 6]
         by = {r.page_id: r for r in out}
@@ -163,7 +163,7 @@ def test_warc_with_magic_in_payloads(spark, tmp_path):
         assert by[4].record_type == "revisit" and by[4].refers_to == 1 and by[4].payload_digest == digest and by[4].payload_bytes == len(text)
         assert by[3].refers_to == 2 and by[1].payload == text and by[6].payload.decode() == "é中"
     with Scope(spark, "test") as scope:
-        assert warc.write(pages.limit(0), scope.path("none")).count() == 0
+        assert warc.write(scope, pages.limit(0), scope.path("none")).count() == 0
 
 
 def test_dropout_round_trip(spark, odd):
