@@ -12,7 +12,7 @@ from workload.join_queries import bin_number, candidates
 from workload.registry import edges_sql, query, shared, steady, steady_sql
 from workload.tables import FE, given
 
-WATCHED = FE[:drift.TOP_FEATURES]
+WATCHED = FE
 
 
 def psi_terms(actual: str, expected: str) -> str:
@@ -68,7 +68,7 @@ def csi(x: Inputs):
 
 
 @query("r2_csi_per_feature", """
-    select feature, snapshot_date, n, round(psi, 6) as psi from t_csi where position <= 15""")
+    select feature, snapshot_date, n, round(psi, 6) as psi from t_csi""")
 def r2(spark, sf):
     return csi(Inputs(spark, sf)).select("feature", "snapshot_date", "n",
                                          F.round("psi", 6).alias("psi"))
@@ -92,7 +92,7 @@ def r3(spark, sf):
 WORST = """
     select snapshot_date, round(psi, 6) as csi_max, feature as csi_max_feature from (
       select *, row_number() over (partition by snapshot_date order by psi desc, position) as rn
-      from t_csi where position <= 15) x where rn = 1"""
+      from t_csi) x where rn = 1"""
 
 
 def _positioned(x: Inputs):
@@ -109,7 +109,7 @@ def r4(spark, sf):
 @query("w7_worst_feature", """
     select feature as worst, count(*) as n_months from (
       select *, row_number() over (partition by snapshot_date order by psi desc, position) as rn
-      from t_csi where position <= 15) x where rn = 1 group by 1""")
+      from t_csi) x where rn = 1 group by 1""")
 def w7(spark, sf):
     return drift.worst_feature(_positioned(Inputs(spark, sf))).groupBy(
         F.col("csi_max_feature").alias("worst")).agg(F.count(F.lit(1)).alias("n_months"))
@@ -121,8 +121,7 @@ shared("t_baselines", "select model_version as model_name, auc_oot as oot_auc fr
 shared("t_model_csi", """
     select s.model_name, s.snapshot_date, c.feature, c.position, c.psi
     from (select distinct model_name, snapshot_date from t_predictions) s
-    join t_csi c on c.snapshot_date = cast(s.snapshot_date - to_months(6) as date)
-    where c.position <= 15""")
+    join t_csi c on c.snapshot_date = cast(s.snapshot_date - to_months(6) as date)""")
 shared("t_monitoring", """
     select v.model_name, v.snapshot_date, v.n_scored, v.mean_score, p.psi, q.auc,
            2 * q.auc - 1 as gini, q.precision, q.recall, q.f1, q.brier,
@@ -237,7 +236,7 @@ def r9(spark, sf):
     select 'feature', feature, snapshot_date, round(psi, 6),
            case when psi > 0.25 then 'significant' when psi > 0.10 then 'moderate'
                 else 'stable' end
-    from t_csi where snapshot_date = date '1998-06-01' and position <= 15""")
+    from t_csi where snapshot_date = date '1998-06-01'""")
 def r10(spark, sf):
     x = Inputs(spark, sf)
     return operate.drift_report(x.predictions, x.clickstream, WATCHED, "1998-06-01", "1995-01-01")

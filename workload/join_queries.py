@@ -60,22 +60,18 @@ shared("t_latest_application", """
 
 
 @query("j4_history_inner_join", """
-    select c.Customer_ID, c.snapshot_date, a.application_date, c.fe_1, c.fe_20
-    from t_clickstream c join t_latest_application a on a.Customer_ID = c.Customer_ID""")
+    select c.*, a.application_date from t_clickstream c join t_latest_application a on a.Customer_ID = c.Customer_ID""")
 def j4(spark, sf):
     x = Inputs(spark, sf)
-    return pit.history_of(x.clickstream, pit.latest_application(x.applications)).select(
-        *KEYS, "application_date", "fe_1", "fe_20")
+    return pit.history_of(x.clickstream, pit.latest_application(x.applications))
 
 
 @query("j5_history_range_predicate", """
-    select c.Customer_ID, c.snapshot_date, a.application_date, c.fe_1, c.fe_20
-    from t_clickstream c join t_latest_application a
+    select c.*, a.application_date from t_clickstream c join t_latest_application a
       on a.Customer_ID = c.Customer_ID and c.snapshot_date <= a.application_date""")
 def j5(spark, sf):
     x = Inputs(spark, sf)
-    return pit.history_until(x.clickstream, pit.latest_application(x.applications)).select(
-        *KEYS, "application_date", "fe_1", "fe_20")
+    return pit.history_until(x.clickstream, pit.latest_application(x.applications))
 
 
 ROUNDED_FE = ", ".join(f"round({f}, 6) as {f}" for f in FE)
@@ -105,12 +101,13 @@ def j7(spark, sf):
 
 
 @query("j8_same_month_join", """
-    select l.Customer_ID, l.snapshot_date, l.loan_id, l.label, l.label_def, c.fe_1, c.fe_2
+    select l.Customer_ID, l.snapshot_date, l.loan_id, l.label, l.label_def,
+           c.* exclude (Customer_ID, snapshot_date)
     from t_labels l left join t_clickstream c
       on c.Customer_ID = l.Customer_ID and c.snapshot_date = l.snapshot_date""")
 def j8(spark, sf):
     x = Inputs(spark, sf)
-    return align.align_same_month(x.labels, x.clickstream.select(*KEYS, "fe_1", "fe_2"))
+    return align.align_same_month(x.labels, x.clickstream)
 
 
 @query("j9_as_of_join", """
@@ -379,11 +376,10 @@ def w3(spark, sf):
 
 
 @query("w4_date_sort", """
-    select snapshot_date, n_scored, mean_score from t_summary
-    where model_name = 'credit_gbt_1996_01_01' order by snapshot_date""")
+    select model_name, snapshot_date, n_scored, mean_score from t_summary
+    order by model_name, snapshot_date""")
 def w4(spark, sf):
-    return (_summary(Inputs(spark, sf)).where(F.col("model_name") == "credit_gbt_1996_01_01")
-            .drop("model_name").orderBy("snapshot_date"))
+    return _summary(Inputs(spark, sf)).orderBy("model_name", "snapshot_date")
 
 
 @query("w5_top_n_features", """

@@ -53,22 +53,29 @@ def m1_frequencies(spark, sf):
     return encode.label_frequencies(Inputs(spark, sf).financial_values, FINANCIAL_CATEGORIES)
 
 
-@query("u2_one_hot_array", """
-    select Customer_ID, snapshot_date,
-           cast(Payment_of_Min_Amount = 'NM' as integer) as nm,
-           cast(Payment_of_Min_Amount = 'No' as integer) as no,
-           cast(Payment_of_Min_Amount = 'Yes' as integer) as yes
+@query("m1_one_hot_occupation", f"""
+    select Customer_ID, snapshot_date, {one_hot_sql(["Occupation"])} from t_attributes""")
+def m1_occupation(spark, sf):
+    rows = Inputs(spark, sf).attributes.select(*KEYS, "Occupation")
+    return encode.one_hot(rows, encode.fit_vocabulary(rows, ["Occupation"]))
+
+
+@query("u2_one_hot_array", f"""
+    select Customer_ID, snapshot_date, {one_hot_sql(FINANCIAL_CATEGORIES)}
     from t_financial_values""")
 def u2(spark, sf):
     """Vectors of a fitted indexer and encoder as plain columns, without a Python function."""
-    rows = Inputs(spark, sf).financial_values.select(*KEYS, "Payment_of_Min_Amount")
-    indexer = StringIndexer(inputCol="Payment_of_Min_Amount", outputCol="i",
+    names = FINANCIAL_CATEGORIES
+    rows = encode.fill_unknown(Inputs(spark, sf).financial_values.select(*KEYS, *names), names)
+    indexer = StringIndexer(inputCols=names, outputCols=[f"{c}_i" for c in names],
                             stringOrderType="alphabetAsc").fit(rows)
-    encoded = OneHotEncoder(inputCol="i", outputCol="v", dropLast=False).fit(
-        indexer.transform(rows)).transform(indexer.transform(rows))
-    values = vector_to_array("v")
-    return encoded.select(*KEYS, *[values[i].cast("int").alias(label.lower())
-                                   for i, label in enumerate(indexer.labels)])
+    indexed = indexer.transform(rows)
+    encoded = OneHotEncoder(inputCols=[f"{c}_i" for c in names],
+                            outputCols=[f"{c}_v" for c in names],
+                            dropLast=False).fit(indexed).transform(indexed)
+    return encoded.select(*KEYS, *[
+        vector_to_array(f"{c}_v")[i].cast("int").alias(encode.column_name(c, label))
+        for c, labels in zip(names, indexer.labelsArray) for i, label in enumerate(labels)])
 
 
 NUMBERS = [*schemas.FINANCIAL_NUMBERS, "Credit_History_Age"]
@@ -420,7 +427,14 @@ shared("t_split_ranked", """
            round(coalesce(sum(case when score >= 0.5 then pos end) * 1e0
                  / nullif(sum(case when score >= 0.5 then pos + neg end), 0), 0), 6) as precision,
            round(coalesce(sum(case when score >= 0.5 then pos end) * 1e0 / sum(pos), 0), 6)
-             as recall
+             as recall,
+           round(2 * sum(cast(pos as double) * (coalesce(below, 0) + neg / 2e0))
+                 / (cast(sum(pos) as double) * cast(sum(neg) as double)) - 1, 6) as gini,
+           round(2e0 * coalesce(sum(case when score >= 0.5 then pos end), 0)
+                 / nullif(coalesce(sum(case when score >= 0.5 then pos + neg end), 0)
+                          + sum(pos), 0), 6) as f1,
+           round(sum(pos * (1 - score) * (1 - score) + neg * score * score)
+                 / sum(pos + neg), 6) as brier
     from t_split_ranked group by 1, 2""")
 def e6(spark, sf):
     x = Inputs(spark, sf)
@@ -428,7 +442,8 @@ def e6(spark, sf):
                                 align.Windows.before(TRAIN_DATE))
     return metrics.classification_metrics(rows, ["model_name", "split"]).select(
         "model_name", "split", "n", *[F.round(c, 6).alias(c)
-                                      for c in ("auc", "precision", "recall")])
+                                      for c in (
+            "auc", "precision", "recall", "gini", "f1", "brier")])
 
 
 @query("e7_confusion_free_guard", """
