@@ -15,20 +15,25 @@ from pyspark.sql import functions as F
 
 from creditloom import session
 
-SLICES = 128
+
+def slice_count(rows: int, slice_rows: int | None = None) -> int:
+    """How many slices keep a sort task at about `session.SINGLE_TASK_ROWS` rows."""
+    limit = session.SINGLE_TASK_ROWS if slice_rows is None else slice_rows
+    return max(1, -(-rows // max(1, limit)))
 
 
 def running_totals(df: DataFrame, keys: Sequence[str], order: str, amount: str,
                    single_task_rows: int | None = None) -> DataFrame:
     """Adds `<amount>_below` (sum over smaller `order` values of the group) and `<amount>_total`.
 
-    Expects one row per (keys, order).
+    Expects one row per (keys, order). A group is cut into as many slices as the whole table needs,
+    so a group that holds nearly all rows is cut as finely as one that holds them all.
     """
     keys = list(keys)
-    limit = session.SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
     base, rows = session.stage(df, "ranks")
     below, total = f"{amount}_below", f"{amount}_total"
-    if rows <= limit:
+    slices = slice_count(rows, single_task_rows)
+    if slices == 1:
         group = Window.partitionBy(*keys)
         before = group.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return (base.withColumn(below, F.coalesce(F.sum(amount).over(before), F.lit(0)))
@@ -36,9 +41,9 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: str, amount: str,
 
     keyed = base if keys else base.withColumn("_all", F.lit(0))
     by = keys or ["_all"]
-    fractions = [i / SLICES for i in range(1, SLICES)]
+    fractions = [i / slices for i in range(1, slices)]
     cuts, _ = session.stage(
-        keyed.groupBy(*by).agg(F.percentile_approx(order, fractions, 2000).alias("_cuts")), "cuts")
+        keyed.groupBy(*by).agg(F.percentile_approx(order, fractions, max(2000, 10 * slices)).alias("_cuts")), "cuts")
     sliced = (keyed.join(cuts, by)
               .withColumn("_slice", F.size(F.filter("_cuts", lambda c: c < F.col(order))))
               .drop("_cuts"))

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom import session
-from creditloom.functions.ranks import column_quantiles
+from creditloom.functions.ranks import column_quantiles, slice_count
 
 SKETCH_SIZE = 1000  # rank error of about 0.3 %
-SLICES = 32
+MIN_SLICES = 32
 
 
 def non_null_profile(df: DataFrame, columns: Sequence[str],
@@ -88,13 +88,14 @@ def _exact_medians_so_far(history, wanted, columns):
     which slice holds a month's median; only the values of that slice are then looked at.
     """
     c = F.col
-    counts, _ = session.stage(
+    counts, values = session.stage(
         history.select("snapshot_date", *[c(f).cast("double").alias(f) for f in columns])
         .unpivot(["snapshot_date"], columns, "column", "value").where(c("value").isNotNull())
         .groupBy("snapshot_date", "column", "value").agg(F.count(F.lit(1)).alias("n")), "counts")
-    fractions = [i / SLICES for i in range(1, SLICES)]
+    slices = max(MIN_SLICES, slice_count(values))
+    fractions = [i / slices for i in range(1, slices)]
     cuts, _ = session.stage(counts.groupBy("column").agg(
-        F.percentile_approx("value", fractions, 2000).alias("cuts")), "cuts")
+        F.percentile_approx("value", fractions, max(2000, 10 * slices)).alias("cuts")), "cuts")
     sliced = counts.join(cuts, "column").withColumn(
         "slice", F.size(F.filter("cuts", lambda x: x < c("value")))).drop("cuts")
     per_slice, rows = session.stage(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from creditloom import session
 from creditloom.operators.metrics import THRESHOLD, verdict
 
 OFFSET_MONTHS = 6
@@ -38,30 +39,24 @@ def with_outcomes(predictions: DataFrame, labels: DataFrame) -> DataFrame:
                             ["Customer_ID", "snapshot_date"], "inner")
 
 
-def with_candidate_outcomes(predictions: DataFrame, labels: DataFrame,
-                            months: int = OFFSET_MONTHS) -> DataFrame:
-    """Outcomes of the same month (`offset` 0) and of `months` later (`offset` = months), in one
-    join. Metrics are grouped by `offset`, and `prefer_direct` then keeps one of the two."""
-    dated = predictions.select(
-        "*", F.explode(F.array(F.lit(0), F.lit(months))).alias("offset")).withColumn(
-        "label_date", F.add_months("snapshot_date", F.col("offset")))
+def direct_months(predictions: DataFrame, labels: DataFrame,
+                  keys: Sequence[str] = ("model_name", "snapshot_date")) -> DataFrame:
+    """The months of `keys` in which any prediction has an outcome of the same month."""
+    outcomes = labels.select("Customer_ID", "snapshot_date")
+    return (predictions.select(*dict.fromkeys([*keys, "Customer_ID", "snapshot_date"]))
+            .join(outcomes, ["Customer_ID", "snapshot_date"], "left_semi")
+            .select(*keys).distinct())
+
+
+def with_month_outcomes(predictions: DataFrame, labels: DataFrame, months: int = OFFSET_MONTHS,
+                        keys: Sequence[str] = ("model_name", "snapshot_date")) -> DataFrame:
+    """Predictions with outcomes of the same month (`offset` 0) where the month has any, else of
+    `months` later (`offset` = months). Every prediction has one label date and is joined once."""
+    direct, _ = session.stage(
+        direct_months(predictions, labels, keys).withColumn("_direct", F.lit(True)), "direct")
+    dated = (predictions.join(direct, list(keys), "left")
+             .withColumn("offset", F.when(F.col("_direct"), 0).otherwise(months))
+             .withColumn("label_date", F.add_months("snapshot_date", F.col("offset")))
+             .drop("_direct"))
     outcomes = labels.select("Customer_ID", F.col("snapshot_date").alias("label_date"), "label")
     return dated.join(outcomes, ["Customer_ID", "label_date"], "inner")
-
-
-def prefer_direct(per_offset: DataFrame,
-                  keys: Sequence[str] = ("model_name", "snapshot_date")) -> DataFrame:
-    """Per month the row of the same-month join if it matched anything, else the later one.
-
-    Works on grouped results (one row per month and offset), not on customers.
-    """
-    rest = [c for c in per_offset.columns if c not in keys]
-    return (per_offset.groupBy(*keys).agg(F.min_by(F.struct(*rest), "offset").alias("_row"))
-            .select(*keys, "_row.*"))
-
-
-def matched_rows(candidates: DataFrame,
-                 keys: Sequence[str] = ("model_name", "snapshot_date")) -> DataFrame:
-    """The joined rows themselves after preferring the direct match of each month."""
-    used = candidates.groupBy(*keys).agg(F.min("offset").alias("offset"))
-    return candidates.join(used, [*keys, "offset"], "left_semi")

@@ -16,6 +16,12 @@ from creditloom.operators.point_in_time import applications, as_of, left_as_code
 from creditloom.sources import tables
 
 
+def known_by(df: DataFrame, months: Sequence[str] | None) -> DataFrame:
+    """Rows dated up to the last of the months: later ones are not known in any of them."""
+    return df if months is None else df.where(
+        F.col("snapshot_date") <= F.lit(max(map(str, months))).cast("date"))
+
+
 def joined_sources(lms: DataFrame, financials: DataFrame, attributes: DataFrame,
                    loan_type: DataFrame | None, clickstream: DataFrame,
                    mode: str = "as_of", months: Sequence[str] | None = None) -> DataFrame:
@@ -30,6 +36,13 @@ def joined_sources(lms: DataFrame, financials: DataFrame, attributes: DataFrame,
         "Customer_ID", "snapshot_date", "Age", "Occupation")}
     if loan_type is not None:
         sources["loan_type"] = loan_type
+    if months is not None:
+        # Before anything is grouped: later partitions are not read, other customers dropped.
+        customers = anchors.select("Customer_ID").distinct()
+        of_applicants = lambda df: df.join(customers, "Customer_ID", "left_semi")
+        sources = {name: of_applicants(known_by(df, months) if mode == "as_of" else df)
+                   for name, df in sources.items()}
+        clickstream = of_applicants(known_by(clickstream, months))
     if mode == "as_of":
         return as_of(anchors, sources, clickstream, schemas.FE_COLUMNS)
     if mode != "as_coded":
@@ -55,7 +68,7 @@ def build_feature_store(lms: DataFrame, financials: DataFrame, attributes: DataF
     base, _ = session.stage(joined_sources(
         lms, financials, attributes, loan_type, clickstream, mode, months), "joined")
     if median_scope == "as_of":
-        medians = impute.medians_so_far(clickstream, base, schemas.FE_COLUMNS, exact)
+        medians = impute.medians_so_far(known_by(clickstream, months), base, schemas.FE_COLUMNS, exact)
         filled = impute.fill_history_medians(base, medians, schemas.FE_COLUMNS)
     else:
         filled = impute.fill_overall_medians(base, clickstream, schemas.FE_COLUMNS, exact)
@@ -63,7 +76,9 @@ def build_feature_store(lms: DataFrame, financials: DataFrame, attributes: DataF
         vocabulary = encode.fit_vocabulary(base, schemas.CATEGORIES)
     ratios = filled.select("*", *[e.alias(n) for n, e in credit_ratios().items()])
     encoded = encode.one_hot(ratios, vocabulary)
-    numbers = [f.name for f in encoded.schema.fields if isinstance(f.dataType, NumericType)]
+    # Flags are never null, and the behaviour columns have been filled above.
+    numbers = [f.name for f in encoded.schema.fields if isinstance(f.dataType, NumericType)
+               and f.nullable and f.name not in schemas.FE_COLUMNS]
     return impute.median_impute(encoded, numbers, exact=exact)
 
 
@@ -77,6 +92,7 @@ def label_store(spark: SparkSession, root: str, dpd: int = 30, mob: int = 6) ->
         tables.table_path(root, "gold", "label_store"))
 
 
+@session.job
 def feature_store(spark: SparkSession, root: str, **options) -> Observation:
     """Writes the feature store, all months or only the `months` asked for. The category vocabulary is fitted on the first run and reused
     afterwards, so that every month has the same columns."""

@@ -11,12 +11,12 @@ from creditloom import session
 from creditloom.operators import drift, models
 from creditloom.operators.metrics import classification_metrics, round_metrics
 from creditloom.operators.scoring import (
-    OFFSET_MONTHS, align_to_model, missing_columns, prediction_rows, prefer_direct,
-    with_candidate_outcomes)
+    OFFSET_MONTHS, align_to_model, missing_columns, prediction_rows, with_month_outcomes)
 from creditloom.plans.train import write_predictions
 from creditloom.sources import tables
 
 
+@session.job
 def score_months(spark: SparkSession, root: str, model_version: str,
                  label_months: Sequence[str] | None = None,
                  offset: int = OFFSET_MONTHS) -> DataFrame | None:
@@ -57,8 +57,7 @@ def monitoring_table(predictions: DataFrame, labels: DataFrame, features: DataFr
         F.count(F.lit(1)).alias("n_scored"), F.avg("model_predictions").alias("mean_score")),
         "months")
     psi = drift.score_psi(predictions, scored_months=months).select(*keys, "psi")
-    quality = prefer_direct(classification_metrics(
-        with_candidate_outcomes(predictions, labels), [*keys, "offset"])).select(
+    quality = classification_metrics(with_month_outcomes(predictions, labels), keys).select(
         *keys, "auc", "gini", "precision", "recall", "f1", "brier")
     csi, _ = session.stage(
         model_csi(months, features, csi_features, feature_offset_months), "csi")
@@ -109,6 +108,7 @@ def model_csi(months: DataFrame, features: DataFrame, csi_features: Sequence[str
             .select("model_name", "snapshot_date", "feature", position.alias("position"), "psi"))
 
 
+@session.job
 def monitor(spark: SparkSession, root: str, model_version: str,
             feature_offset_months: int = OFFSET_MONTHS) -> DataFrame | None:
     """Rebuilds the monitoring rows of one model from its predictions; None when there are none."""

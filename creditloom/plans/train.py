@@ -102,6 +102,7 @@ def write_importance(spark: SparkSession, root: str, artefact: models.Artefact)
     return ranked
 
 
+@session.job
 def train(spark: SparkSession, root: str, train_date: str, tt_months: int = 12,
           kinds: Sequence[str] = MODEL_KINDS, **options) -> list[models.Artefact]:
     """Fits and stores every model kind for one training month."""

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-# Largest table that may be handled by a single sort task (see functions/ranks.py).
+# Rows one sort task is meant to hold; larger tables are cut into slices (see functions/ranks.py).
 SINGLE_TASK_ROWS = 1_000_000
 
 
@@ -65,14 +66,39 @@ def stage(df: DataFrame, name: str = "stage") -> tuple[DataFrame, int]:
     readers share one computation, and Catalyst knows the table's true size, so a later join
     broadcasts it only when it is below `spark.sql.autoBroadcastJoinThreshold` and shuffles
     (with AQE skew splitting) when it is not.
+
+    The table goes when the `job` it was staged in ends, outside a job when the Python process ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if _jobs:
+        _jobs[-1].append((spark, path))
+    else:
+        atexit.register(_forget, spark, path)
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), seen.get["rows"]
 
 
+_jobs: list[list[tuple[SparkSession, str]]] = []
+
+
+def job(run):
+    """Decorates a job that returns written tables: what it staged on the way is deleted when it
+    ends, also when it fails. One job runs at a time in a driver process."""
+    @functools.wraps(run)
+    def wrapper(*args, **kwargs):
+        staged: list[tuple[SparkSession, str]] = []
+        _jobs.append(staged)
+        try:
+            return run(*args, **kwargs)
+        finally:
+            _jobs.remove(staged)
+            for spark, path in staged:
+                delete_path(spark, path)
+    return wrapper
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder of the shared file system through Hadoop, so any store works."""
     jvm = spark.sparkContext._jvm

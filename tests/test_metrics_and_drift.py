@@ -169,7 +169,7 @@ def test_outcomes_prefer_the_same_month(spark):
     labels = spark.createDataFrame(
         [("a", d(1), 1), ("b", d(7), 0), ("a", d(8), 0), ("z", d(8), 1)],
         "Customer_ID string, snapshot_date date, label int")
-    rows = scoring.matched_rows(scoring.with_candidate_outcomes(p, labels)).collect()
+    rows = scoring.with_month_outcomes(p, labels).collect()
     assert sorted((r["Customer_ID"], r["snapshot_date"].month, r["label"]) for r in rows) == [
         ("a", 1, 1), ("a", 2, 0)]
 

@@ -152,8 +152,7 @@ shared("t_matched", """
 @query("j11_offset_fallback_join", "select * from t_matched")
 def j11(spark, sf):
     x = Inputs(spark, sf)
-    candidates = scoring.with_candidate_outcomes(x.predictions, x.labels)
-    return scoring.matched_rows(candidates).select(
+    return scoring.with_month_outcomes(x.predictions, x.labels).select(
         *KEYS, "model_name", "model_predictions", "label")
 
 
@@ -300,10 +299,9 @@ def a11(spark, sf):
     from t_matched group by 1, 2""")
 def a12(spark, sf):
     x = Inputs(spark, sf)
-    per_offset = metrics.classification_metrics(
-        scoring.with_candidate_outcomes(x.predictions, x.labels),
-        ["model_name", "snapshot_date", "offset"])
-    return scoring.prefer_direct(per_offset).select(
+    per_month = metrics.classification_metrics(
+        scoring.with_month_outcomes(x.predictions, x.labels), ["model_name", "snapshot_date"])
+    return per_month.select(
         "model_name", "snapshot_date", "n", "n_pos", steady("brier"))
 
 
@@ -424,11 +422,10 @@ shared("t_candidates", """
 
 def candidates(x: Inputs):
     """Both models' mean AUC over the out-of-time months."""
-    per_offset = metrics.classification_metrics(
-        scoring.with_candidate_outcomes(x.predictions, x.labels),
-        ["model_name", "snapshot_date", "offset"])
+    per_month = metrics.classification_metrics(
+        scoring.with_month_outcomes(x.predictions, x.labels), ["model_name", "snapshot_date"])
     window = align.Windows.before("1998-09-01")
-    return (scoring.prefer_direct(per_offset)
+    return (per_month
             .where(F.col("snapshot_date").between(F.lit(window.oot_start), F.lit(window.oot_end)))
             .groupBy(F.col("model_name").alias("model_version"))
             .agg(F.avg("auc").alias("auc_oot"))

@@ -226,6 +226,29 @@ def m7(spark, sf):
     return spark.createDataFrame(values, "term string, coefficient double")
 
 
+@query("m7_gradient", "select unnest([" + ", ".join(
+    f"'{c}'" for c in [*SMALL_FEATURES, "intercept"]) + "]) as term, true as at_minimum")
+def m7_gradient(spark, sf):
+    """Every partial derivative of the penalised loss at the fitted coefficients is zero, up to a
+    thousandth of the rows it sums over."""
+    rows = training_rows(Inputs(spark, sf)).where(F.col("split") == "train")
+    vectors = models.inputs(rows, models.fit_scaler(rows, SMALL_FEATURES))
+    model = models.fit_logreg(vectors)
+    weighted, n = models.balanced_weights(vectors)
+    x = vector_to_array("features")
+    z = F.lit(float(model.intercept))
+    for i, w in enumerate(model.coefficients):
+        z = z + F.lit(float(w)) * x[i]
+    error = F.col("class_weight") * (models.sigmoid(z) - F.col("label"))
+    sums = weighted.agg(*[F.sum(error * x[i]).alias(c) for i, c in enumerate(SMALL_FEATURES)],
+                        F.sum(error).alias("intercept"))
+    penalty = dict(zip(SMALL_FEATURES, map(float, model.coefficients)), intercept=0.0)
+    flat = F.array(*[F.struct(F.lit(c).alias("term"),
+                              (F.abs(F.col(c) + w) < 1e-3 * n).alias("at_minimum"))
+                     for c, w in penalty.items()])
+    return sums.select(F.inline(flat))
+
+
 @query("m8_boosted_trees")
 def m8(spark, sf):
     rows = training_rows(Inputs(spark, sf)).where(F.col("split") == "train")
@@ -340,6 +363,35 @@ def m14(spark, sf):
     return train.oot_predictions(loaded, rows)
 
 
+_OOT = """
+    select count(*) as n, count(distinct snapshot_date) as n_months
+    from t_aligned where snapshot_date between date '1998-07-01' and date '1998-08-31'"""
+
+
+@query("m12_oot_score_counts", f"select 'credit_logreg_1998_09_01_tt24m' as model_name, n, n_months, "
+       f"n as n_verdicts from ({_OOT}) x")
+def m12_counts(spark, sf):
+    """The stored out-of-time scores: one per application with an outcome, with its verdict."""
+    score = F.col("model_predictions")
+    return m12(spark, sf).groupBy("model_name").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("snapshot_date").alias("n_months"),
+        F.count_if((score >= 0.5) == (F.col("prediction_label") == 1)).alias("n_verdicts"))
+
+
+@query("m14_reload_equal", f"select n, n as n_equal from ({_OOT}) x")
+def m14_equal(spark, sf):
+    """A stored and loaded model gives the scores it gave before."""
+    rows, artefact = fitted(Inputs(spark, sf), "gbt")
+    root = session.scratch_path(spark, "bank")
+    artefact.save(spark, root)
+    loaded = models.load(spark, root, artefact.model_version)
+    oot = rows.where(F.col("split") == "oot").withColumn("_row", F.monotonically_increasing_id())
+    both = artefact.scores(oot).select("_row", F.col("score").alias("a")).join(
+        loaded.scores(oot).select("_row", F.col("score").alias("b")), "_row")
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("a") == F.col("b")).alias(
+        "n_equal"))
+
+
 @query("m15_feature_importance")
 def m15(spark, sf):
     _, artefact = fitted(Inputs(spark, sf), "gbt")
@@ -367,9 +419,8 @@ def m16(spark, sf):
 # --- metrics -------------------------------------------------------------------------------------
 
 def quality(x: Inputs):
-    return scoring.prefer_direct(metrics.classification_metrics(
-        scoring.with_candidate_outcomes(x.predictions, x.labels),
-        ["model_name", "snapshot_date", "offset"]))
+    return metrics.classification_metrics(
+        scoring.with_month_outcomes(x.predictions, x.labels), ["model_name", "snapshot_date"])
 
 
 def _metric_query(name: str, columns: list[str], derived: str | None = None):
@@ -399,7 +450,7 @@ shared("t_reliability_edges", edges_sql("model_name", "model_predictions", "sele
     group by 1, 2""")
 def e5(spark, sf):
     x = Inputs(spark, sf)
-    matched = scoring.matched_rows(scoring.with_candidate_outcomes(x.predictions, x.labels))
+    matched = scoring.with_month_outcomes(x.predictions, x.labels)
     return metrics.reliability(matched, ["model_name"]).select(
         "model_name", "bin", "n", steady("mean_predicted"),
         F.round("observed_rate", 6).alias("observed_rate"))
@@ -420,6 +471,29 @@ shared("t_split_ranked", """
           from t_scored_split where split is not null group by 1, 2, 3) c""")
 
 
+@query("m10_platt_first_order", """
+    select count(*) as n, cast(sum(label) as bigint) as n_pos, true as slope_zero,
+           true as intercept_zero, true as order_kept
+    from t_scored_split where split = 'test' and model_name = 'credit_gbt_1996_01_01'""")
+def m10_first_order(spark, sf):
+    """The calibration is fitted on the test split: both derivatives of its loss are zero, and a
+    higher score stays a higher probability."""
+    x = Inputs(spark, sf)
+    rows = align.temporal_split(scoring.with_outcomes(
+        x.predictions.where(F.col("model_name") == "credit_gbt_1996_01_01"), x.labels),
+        align.Windows.before(TRAIN_DATE)).where(F.col("split") == "test")
+    slope, intercept = models.fit_platt(rows, "model_predictions")
+    counts = metrics.score_counts(rows, [])
+    error = F.col("weight") * (models.sigmoid(F.col("score") * slope + intercept) - F.col("label"))
+    sums = models.platt_targets(counts).agg(
+        F.sum(error).alias("a"), F.sum(error * F.col("score")).alias("b"))
+    totals = counts.agg(F.sum(F.col("pos") + F.col("neg")).alias("n"), F.sum("pos").alias("n_pos"))
+    return totals.join(sums).select(
+        "n", "n_pos", (F.abs("b") < 1e-4 * F.col("n")).alias("slope_zero"),
+        (F.abs("a") < 1e-4 * F.col("n")).alias("intercept_zero"),
+        F.lit(slope > 0).alias("order_kept"))
+
+
 @query("e6_metrics_by_split", """
     select model_name, split, cast(sum(pos) + sum(neg) as bigint) as n,
            round(sum(cast(pos as double) * (coalesce(below, 0) + neg / 2e0))

@@ -216,10 +216,19 @@ class Warehouse:
         for kind in train.MODEL_KINDS:
             operate.score_months(self.spark, self.root, models.version(kind, TRAIN_DATE), months)
 
+    def _all_scores(self):
+        self.need("models")
+        for kind in train.MODEL_KINDS:
+            operate.score_months(self.spark, self.root, models.version(kind, TRAIN_DATE))
+
     def _monitoring(self):
         self.need("scores")
         operate.monitor(self.spark, self.root, train.current_champion(self.spark, self.root))
 
+    def _all_monitoring(self):
+        self.need("all_scores")
+        operate.monitor(self.spark, self.root, train.current_champion(self.spark, self.root))
+
 
 @cache
 def _warehouse(application_id: str, spark, sf: str) -> Warehouse:
@@ -302,17 +311,17 @@ def b5(spark, sf):
 
 @query("b6_score")
 def b6(spark, sf):
-    return warehouse(spark, sf, "scores").table("gold", "model_predictions")
+    return warehouse(spark, sf, "all_scores").table("gold", "model_predictions")
 
 
 @query("b7_monitor")
 def b7(spark, sf):
-    return warehouse(spark, sf, "monitoring").table("gold", "model_monitoring")
+    return warehouse(spark, sf, "all_monitoring").table("gold", "model_monitoring")
 
 
 @query("b7_alert")
 def b7_alert(spark, sf):
-    w = warehouse(spark, sf, "monitoring")
+    w = warehouse(spark, sf, "all_monitoring")
     return operate.alert(spark, w.root)
 
 
@@ -338,3 +347,18 @@ def b8(spark, sf):
     return months
 
 
+
+
+@query("b6_score_counts", """
+    select 'credit_' || k || '_1998_09_01' as model_name,
+           cast(a.snapshot_date + to_months(6) as date) as snapshot_date, count(*) as n,
+           count(*) as n_in_range, count(*) as n_verdicts
+    from t_applications a, (select unnest(['gbt', 'logreg']) as k) m group by 1, 2""")
+def b6_counts(spark, sf):
+    """Every application is scored by both models for its label month, with a probability and the
+    verdict that follows from it."""
+    score, label = F.col("model_predictions"), F.col("prediction_label")
+    return warehouse(spark, sf, "all_scores").table("gold", "model_predictions").groupBy(
+        "model_name", "snapshot_date").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(score.between(0, 1)).alias("n_in_range"),
+        F.count_if((score >= 0.5) == (label == 1)).alias("n_verdicts"))
