@@ -42,14 +42,18 @@ def score_months(spark: SparkSession, root: str, model_version: str,
                                  "model_name string, n_scored long")
 
 
-def monitoring_table(predictions: DataFrame, labels: DataFrame, features: DataFrame,
+CSI = "model_name string, snapshot_date date, feature string, position int, psi double"
+
+
+def monitoring_table(predictions: DataFrame, labels: DataFrame, features: DataFrame | None,
                      csi_features: Sequence[str], baselines: DataFrame,
                      feature_offset_months: int = OFFSET_MONTHS, digits: int = 4) -> DataFrame:
     """One row per model and month: volume, score drift, ranking and calibration quality, feature
     drift, and the drop against the out-of-time AUC.
 
     `baselines` has (model_name, oot_auc). Feature drift of a month is measured on the features
-    that were scored, `feature_offset_months` before it, against the model's first month.
+    that were scored, `feature_offset_months` before it, against the model's first month; it is
+    null where there are no features.
     """
     c = F.col
     keys = ["model_name", "snapshot_date"]
@@ -59,9 +63,14 @@ def monitoring_table(predictions: DataFrame, labels: DataFrame, features: DataFr
     psi = drift.score_psi(predictions, scored_months=months).select(*keys, "psi")
     quality = classification_metrics(with_month_outcomes(predictions, labels), keys).select(
         *keys, "auc", "gini", "precision", "recall", "f1", "brier")
-    csi, _ = session.stage(
-        model_csi(months, features, csi_features, feature_offset_months), "csi")
-    per_feature = csi.groupBy(*keys).pivot("feature", list(csi_features)).agg(F.first("psi"))
+    if features is None or not csi_features:
+        csi = predictions.sparkSession.createDataFrame([], CSI)
+        per_feature = months.select(*keys, *[F.lit(None).cast("double").alias(f)
+                                             for f in csi_features])
+    else:
+        csi, _ = session.stage(
+            model_csi(months, features, csi_features, feature_offset_months), "csi")
+        per_feature = csi.groupBy(*keys).pivot("feature", list(csi_features)).agg(F.first("psi"))
     per_feature = per_feature.select(
         *keys, *[F.round(c(f"`{f}`"), digits).alias(f"csi_{f}") for f in csi_features])
     worst = drift.worst_feature(csi, keys)

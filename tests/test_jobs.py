@@ -191,3 +191,35 @@ def test_scope_deletes_its_tables(spark):
             assert table.count() == 5 and there(table.scope_path)
             raise RuntimeError
     assert not there(table.scope_path)
+
+
+def test_a_job_deletes_what_it_staged(spark):
+    seen = []
+
+    @session.job
+    def run(fail):
+        table, rows = session.stage(spark.range(5))
+        seen.append((rows, os.path.dirname(table.inputFiles()[0]).replace("file:", "")))
+        if fail:
+            raise ValueError("stopped")
+        return table.count()
+
+    assert run(False) == 5
+    with pytest.raises(ValueError):
+        run(True)
+    assert [rows for rows, _ in seen] == [5, 5]
+    assert not any(os.path.exists("/" + path.lstrip("/")) for _, path in seen)
+    kept, _ = session.stage(spark.range(3))  # outside a job
+    assert kept.count() == 3
+
+
+def test_monitoring_without_features(spark):
+    predictions = spark.sql("""
+        select 'm' as model_name, date'2024-01-01' as snapshot_date, cast(id as string) as Customer_ID,
+               id / 10d as model_predictions from range(10)""")
+    labels = spark.sql("""
+        select cast(id as string) as Customer_ID, date'2024-07-01' as snapshot_date,
+               cast(id > 4 as int) as label from range(10)""")
+    baselines = spark.createDataFrame([("m", 1.0)], "model_name string, oot_auc double")
+    row = operate.monitoring_table(predictions, labels, None, ["fe_1"], baselines).first()
+    assert (row["n_scored"], row["auc"], row["csi_max"], row["csi_fe_1"]) == (10, 1.0, None, None)
