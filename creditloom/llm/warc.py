@@ -3,7 +3,7 @@
 Reading is split inside files. A task scans one block for the version line of a record and emits
 every candidate with the offset where its record ends, i.e. where its successor must start. Payloads
 may hold the same bytes, so candidates are only claims: from offset 0 of each file, pointer jumping
-over the claims finds the records that really follow one another. Inside a block the chain of each
+over the claims finds the records that really follow one another. A header may be of any length. Inside a block the chain of each
 candidate is followed at once, so the jumping works on block entries: its rounds are the logarithm
 of the blocks of a file, not of its records.
 
@@ -28,7 +28,7 @@ from .registry import query
 
 BLOCK_BYTES = 8 << 20
 FILE_BYTES = 64 << 20
-MAX_HEADER = 1 << 16  # a record's header lines; writers keep far below it
+READ_ON = 1 << 16  # read past a block for the header of its last record; doubled while the header goes on
 MAGIC = b"WARC/1.1\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 STAMP = "2024-01-01T00:00:00Z"
@@ -105,31 +105,59 @@ def blocks(spark: SparkSession, folder: str, block_bytes: int = BLOCK_BYTES) ->
     ).where("size > 0")
 
 
-def _header(data: bytes, at: int):
-    """(fields, offset of the block, successor offset) of a claimed record, or None."""
-    end = data.find(b"\r\n\r\n", at, at + MAX_HEADER)
-    if end < 0:
-        return None
+def _fields(data: bytes, start: int, end: int):
+    """The header lines in data[start:end] by name, or None where one is no header line."""
     fields = {}
-    for line in data[at + len(MAGIC): end].split(b"\r\n"):
+    for line in data[start:end].split(b"\r\n"):
         key, colon, value = line.partition(b":")
         if not colon:
             return None
         fields[key.strip().lower()] = value.strip()
-    length = fields.get(b"content-length", b"")
-    if not length.isdigit() or b"warc-type" not in fields:
-        return None
-    return fields, end + 4, end + 4 + int(length) + 4
+    return fields
 
 
-def candidates(data: bytes, start: int, block_bytes: int, size: int) -> list[tuple[int, int]]:
-    """(offset, successor) of every claim that starts in the block; offsets are those of the file."""
-    found, at = [], data.find(MAGIC)
+def candidates(data: bytes, start: int, block_bytes: int, size: int, more=None) -> list[tuple[int, int]]:
+    """(offset, successor) of every claim that starts in the block; offsets are those of the file.
+
+    A header may be of any length: `more(have, n)` gives n bytes that follow the first `have`, and is
+    asked until the header ends or a line shows that it is none. Claims that share their blank line
+    are suffixes of one another, so their lines are read once, from the last claim to the first.
+    """
+    places, at = [], data.find(MAGIC)
     while 0 <= at < block_bytes:
-        claim = _header(data, at)
-        if claim is not None and start + claim[2] <= size:
-            found.append((start + at, start + claim[2]))
+        places.append(at)
         at = data.find(MAGIC, at + 1)
+    found, k, step = [], 0, READ_ON
+    while k < len(places):
+        end = data.find(b"\r\n\r\n", places[k])
+        checked = places[-1] + len(MAGIC)
+        while end < 0 and more is not None and start + len(data) < size:
+            # All claims left hold the lines after the last one of them.
+            whole = data.rfind(b"\r\n", checked)
+            if whole >= 0:
+                if _fields(data, checked, whole) is None:
+                    break
+                checked = whole + 2
+            have = len(data)
+            data += more(have, min(step, size - start - have))
+            step *= 2
+            end = data.find(b"\r\n\r\n", max(places[-1], have - 3))
+        if end < 0:
+            break
+        group = k
+        while k < len(places) and places[k] <= end:
+            k += 1
+        fields, upto, claims = {}, end, []
+        for at in reversed(places[group:k]):
+            lines = _fields(data, at + len(MAGIC), upto)
+            if lines is None:
+                break
+            fields, upto = lines | fields, at + len(MAGIC) - 2
+            length = fields.get(b"content-length", b"")
+            after = start + end + 4 + int(length) + 4 if length.isdigit() else None
+            if after is not None and b"warc-type" in fields and after <= size:
+                claims.append((start + at, after))
+        found += reversed(claims)
     return found
 
 
@@ -153,8 +181,9 @@ def entries(scope: Scope, folder: str, block_bytes: int = BLOCK_BYTES) -> DataFr
         for batch in batches:
             rows = {"file": [], "size": [], "at": [], "exit": []}
             for file, size, start in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                data = common.read_range(file, start, min(block_bytes + MAX_HEADER, size - start))
-                found = candidates(data, start, block_bytes, size)
+                data = common.read_range(file, start, min(block_bytes + READ_ON, size - start))
+                found = candidates(data, start, block_bytes, size,
+                                   lambda have, n: common.read_range(file, start + have, n))
                 for at, out in exits(found, min(start + block_bytes, size)).items():
                     rows["file"].append(file), rows["size"].append(size)
                     rows["at"].append(at), rows["exit"].append(out)
@@ -201,10 +230,17 @@ def read(scope: Scope, folder: str, block_bytes: int = BLOCK_BYTES, payload: boo
         for batch in batches:
             for file, size, start, entry in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 limit = min(start + block_bytes, size)
-                data = common.read_range(file, entry, min(limit - entry + MAX_HEADER, size - entry))
+                data = common.read_range(file, entry, min(limit - entry + READ_ON, size - entry))
                 at, rows = entry, []
                 while at < limit:
-                    fields, body, after = _header(data, at - entry)
+                    step = READ_ON
+                    while (end := data.find(b"\r\n\r\n", at - entry)) < 0:  # the header reaches over what was read
+                        if entry + len(data) >= size:
+                            raise ValueError(f"{file}: the header at {at} has no end")
+                        data += common.read_range(file, entry + len(data), min(step, size - entry - len(data)))
+                        step *= 2
+                    fields, body = _fields(data, at - entry + len(MAGIC), end), end + 4
+                    after = body + int(fields[b"content-length"]) + 4
                     if after > len(data):  # the last record reaches over the block
                         data += common.read_range(file, entry + len(data), after - len(data))
                     block = data[body: after - 4]
@@ -224,11 +260,24 @@ def read(scope: Scope, folder: str, block_bytes: int = BLOCK_BYTES, payload: boo
     return starts.repartition(max(1, starts.count())).mapInArrow(parse, RECORD)
 
 
+def check_counts(written: DataFrame, records: DataFrame) -> None:
+    """Raises unless as many records were read of every file as were written to it."""
+    name = F.element_at(F.split("file", "/"), -1).alias("name")
+    counts = written.groupBy(name).agg(F.sum("records").alias("written")).join(
+        records.groupBy(name).agg(F.count(F.lit(1)).alias("read")), "name", "full")
+    wrong = counts.where("not (written <=> read)").orderBy("name").limit(5).collect()
+    if wrong:
+        raise ValueError("records written and read differ: " + "; ".join(
+            f"{r['name']} {r['written'] or 0} and {r['read'] or 0}" for r in wrong))
+
+
 @query("op4_warc")
 def op4_warc(spark, sf_dir):
     common.small_batches(spark)
     with Scope(spark, "warc") as scope:
         folder = scope.path("archive")
-        scope.table(write(scope, common.table(spark, sf_dir, "pages"), folder), "written")
-        return scope.keep(read(scope, folder, payload=False).select(
-            "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+        written = scope.table(write(scope, common.table(spark, sf_dir, "pages"), folder), "written")
+        records = scope.table(read(scope, folder, payload=False).select(
+            "file", "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"), "records")
+        check_counts(written, records)
+        return scope.keep(records.drop("file"))

@@ -166,6 +166,25 @@ def test_warc_with_magic_in_payloads(spark, tmp_path):
         assert warc.write(scope, pages.limit(0), scope.path("none")).count() == 0
 
 
+def test_warc_long_headers(spark):
+    """Urls longer than a read or a block, with line ends and magic in payloads."""
+    fake = warc.record(99, "v" * 150_000, b"inner", warc.digest_of(b"inner"), None, False).decode()
+    rows = [(1, "http://a", "x"), (2, "data:" + "u" * 200_000, "long"), (3, "http://b/WARC/1.1", "y" * 900),
+            (4, "w" * 70_000, fake + "WARC/1.1\r\na:" * 300), (5, "http://c", "x"), (6, "z" * 200_000, "end")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(1)
+    for block in (700, 1 << 16, 1 << 20):
+        with Scope(spark, "test") as scope:
+            folder = scope.path("warc")
+            written = scope.table(warc.write(scope, pages, folder), "written")
+            records = scope.table(warc.read(scope, folder, block), "records")
+            warc.check_counts(written, records)
+            assert {r.page_id: r.url for r in records.collect()} == {r[0]: r[1] for r in rows}
+            with pytest.raises(ValueError, match="differ"):
+                warc.check_counts(written, records.where("page_id <> 6"))
+            with pytest.raises(ValueError, match="differ"):
+                warc.check_counts(written, records.limit(0))
+
+
 def test_dropout_round_trip(spark, odd):
     frame, rows = odd
     plain = sentencepiece_dropout.encode(frame, dropout=0.0).collect()
