@@ -1,9 +1,9 @@
 """License scans by a positional index of rare template words.
 
 Each template is a short canonical notice. Its words have an IDF over the templates and postings
-(template, position). For a document only its words of highest IDF are looked up; every hit votes for
-"this template would start at document word d - p". Templates whose votes agree on a start are
-aligned there, and count as found when their mandatory key phrases really stand at about the place
+(template, position). The words of highest IDF of each template are its anchors; every place of an
+anchor in a document votes for "this template would start at document word d - p", however long the
+document is. Templates whose votes agree on a start are aligned there, and count as found when their mandatory key phrases really stand at about the place
 the alignment says. The base phrases are counted besides, wherever they stand.
 
 Defined results: a null or empty text has no words, no labels and score 0; equal votes go to the
@@ -60,7 +60,6 @@ TEMPLATES = [
      "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
      "Lesser General Public License as published by the Free Software Foundation"),
 ]
-RAREST = 24  # distinct template words of a document that are looked up first, rarest ahead
 AGREE = 0.6  # share of a template's rare words that must agree on one start
 SLACK = 2  # words by which agreeing starts may differ
 
@@ -90,32 +89,36 @@ class Index:
             for p, w in enumerate(words):
                 if w in rare:
                     self.postings[w].append((t, p))
-        # A notice cannot be there unless one of its words that few templates have is there.
-        self.rare = frozenset(self.postings)
-
-    def scan(self, words: list[bytes], hits: list[int]) -> list[tuple[str, int, float]]:
-        """(label, start, share) of every template found; `hits` are places of words in the index."""
-        places = defaultdict(list)
-        for d in hits:
-            places[words[d]].append(d)
-        votes: dict[tuple[int, int], set] = defaultdict(set)
-        # Rarest words first; words beyond that number only add to starts that have a vote.
-        ranked = sorted(places, key=lambda w: (-self.idf[w], w))
-        for rank, w in enumerate(ranked):
-            for t, p in self.postings[w]:
-                for d in places[w]:
-                    if rank < RAREST or any((t, d - p + s) in votes for s in range(-SLACK, SLACK + 1)):
-                        votes[t, d - p].add(w)
-        found = []
+
+    def scan(self, words: list[bytes], joined: bytes) -> list[tuple[str, int, float]]:
+        """(label, start, share) of every template found; `joined` holds the words between single blanks.
+
+        All anchors of a template vote. Only templates whose key phrases all stand somewhere are tried,
+        since no other can be verified.
+        """
+        found, places = [], None
         for t, (label, keys, template) in enumerate(self.templates):
-            starts = sorted(s for u, s in votes if u == t)
+            if not all(b" " + b" ".join(k) + b" " in joined for k in keys):
+                continue
+            if places is None:
+                places = defaultdict(list)
+                for d, w in enumerate(words):
+                    if w in self.postings:
+                        places[w].append(d)
+            votes: dict[int, int] = defaultdict(int)  # start -> the anchors that vote for it, as bits
+            for bit, w in enumerate(self.anchors[t]):
+                for u, p in self.postings[w]:
+                    if u == t:
+                        for d in places.get(w, ()):
+                            votes[d - p] |= 1 << bit
             best = None
-            for s in starts:
-                agreed = set().union(*(votes.get((t, s + x), ()) for x in range(-SLACK, SLACK + 1)))
-                share = len(agreed) / len(self.anchors[t])
-                if share >= AGREE and self._verified(words, keys, s, len(template)):
-                    if best is None or share > best[2]:
-                        best = (label, s, share)
+            for s in sorted(votes):
+                agreed = 0
+                for x in range(-SLACK, SLACK + 1):
+                    agreed |= votes.get(s + x, 0)
+                share = agreed.bit_count() / len(self.anchors[t])
+                if share >= AGREE and (best is None or share > best[2]) and self._verified(words, keys, s, len(template)):
+                    best = (label, s, share)
             if best:
                 found.append(best)
         return found
@@ -138,8 +141,7 @@ def scan_text(text: bytes, index: Index) -> tuple:
             places.append(joined.count(b" ", 0, at))
             labels.add(label)
             at = joined.find(b" " + phrase + b" ", at + 1)
-    hits = [i for i, w in enumerate(words) if w in index.rare]
-    found = index.scan(words, hits) if len(hits) > 1 else []
+    found = index.scan(words, joined)
     score = max([0.5 if labels else 0.0, *(share for _, _, share in found)])
     return (len(words), len(places), min(places, default=None), max(places, default=None),
             ",".join(sorted(labels)), ",".join(sorted(labels | {f[0] for f in found})), min(1.0, score))

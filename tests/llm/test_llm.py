@@ -231,6 +231,19 @@ def test_licenses():
         assert (out[4], out[5], out[1], out[2]) == (base, labels, n, first) and 0 <= out[6] <= 1
 
 
+def test_licenses_after_all_others():
+    """Each notice is found at the end of a long text that holds all other notices."""
+    index = licenses.Index()
+    vocabulary = sorted({w.decode() for _, _, words in index.templates for w in words})
+    random.Random(9).shuffle(vocabulary)
+    for label, _, text in licenses.TEMPLATES:
+        others = " ".join(t for name, _, t in licenses.TEMPLATES if text.rstrip(".") not in t)
+        long = " ".join([others, prose(11, 3000), *vocabulary, prose(12, 3000)])
+        assert label not in licenses.scan_text(long.encode(), index)[5].split(",")
+        assert label in licenses.scan_text(f"{long} {text}".encode(), index)[5].split(",")
+        assert licenses.scan_text(" ".join(t for _, _, t in licenses.TEMPLATES).encode(), index)[5].count(",") >= len(licenses.TEMPLATES) - 1
+
+
 def test_licenses_odd(spark, odd):
     frame, rows = odd
     out = {r.doc_id: r for r in licenses.scan(frame).collect()}
