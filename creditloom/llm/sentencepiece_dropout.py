@@ -3,10 +3,13 @@
 A text is cut where no piece of the vocabulary can span: before each run of blanks and around line
 breaks. In a unit the agenda holds all neighbouring pairs that form a piece; the best one (highest
 score, then leftmost) is taken first. A candidate, known by where it starts, joins and ends, is
-skipped when a hash keyed by seed, unit and variant falls below the dropout rate; a skipped candidate
-never comes back. Equal units get different segmentations by their variant, one of `VARIANTS`, which
-depends on the document and the place of the unit. Everything is a function of seed, doc_id and text,
-so a repeated task gives the same ids.
+skipped when a hash keyed by seed, document, unit and place of the unit falls below the dropout rate;
+a skipped candidate never comes back. So every occurrence of a word draws on its own. Everything is a
+function of seed, doc_id and text, so a repeated task gives the same ids.
+
+Equal units of a slice share an agenda only where their coins agree: the agenda of one of them notes
+each candidate it came to and the coin; all others whose own coins are the same there have the same
+pieces, and those that differ first at the same candidate form a group with an agenda of its own.
 
 The agenda is run for many units at once: every round takes the best candidate of every unit. Units
 longer than `LONG` characters go through a heap one by one; the result is the same.
@@ -33,9 +36,10 @@ from . import common
 from .registry import query
 
 MODEL = "piece_bpe_32k.model"
-DROPOUT, SEED, VARIANTS = 0.1, 7, 8
+DROPOUT, SEED = 0.1, 7
 LONG = 64
-SLICE_BYTES = 2 << 20  # text of which equal units are encoded once
+SLICE_BYTES = 2 << 20  # text of which equal units may share agendas
+COINS = 1 << 18  # coins compared at once
 BLANK = "▁"
 PAIR_BITS = 19
 _NONE = np.int32(1 << 30)
@@ -144,8 +148,11 @@ def _limit(dropout: float) -> np.uint64:
     return np.uint64(min(int(dropout * 2.0 ** 64), (1 << 64) - 1))
 
 
-def _one(v: Vocabulary, symbols: list[int], key: int, limit: np.uint64) -> list[tuple[int, int, int]]:
-    """(symbol, start, end) left of one unit after its agenda, by a heap and linked symbols."""
+def _one(v: Vocabulary, symbols: list[int], key: int, limit: np.uint64, log: list | None = None) -> list[tuple[int, int, int]]:
+    """(symbol, start, end) left of one unit after its agenda, by a heap and linked symbols.
+
+    `log` gets (start, middle, end, skipped) of each candidate in the order of the agenda.
+    """
     n = len(symbols)
     ids, ends = list(symbols), list(range(1, n + 1))
     before, after, alive = list(range(-1, n - 1)), list(range(1, n + 1)), [True] * n
@@ -159,14 +166,18 @@ def _one(v: Vocabulary, symbols: list[int], key: int, limit: np.uint64) -> list[
         made = v.join(np.array([ids[i] for i in lefts]), np.array([ids[j] for j in rights]))
         out = skipped(np.full(len(lefts), key, np.uint64), lefts, rights, [ends[j] for j in rights], limit)
         for i, j, m, no in zip(lefts, rights, made.tolist(), out.tolist()):
-            if m >= 0 and not no:
-                heapq.heappush(heap, (int(v.rank[m]), i, j, ends[j], ends[i], m))
+            if m >= 0 and (log is not None or not no):
+                heapq.heappush(heap, (int(v.rank[m]), i, j, ends[j], ends[i], m, no))
 
     offer(list(range(n)))
     while heap:
-        _, i, j, end, middle, m = heapq.heappop(heap)
+        _, i, j, end, middle, m, no = heapq.heappop(heap)
         if not (alive[i] and j < n and alive[j] and after[i] == j and ends[j] == end and ends[i] == middle):
             continue
+        if log is not None:
+            log.append((i, j, end, no))
+        if no:
+            continue
         ids[i], ends[i], alive[j], after[i] = m, end, False, after[j]
         if after[i] < n:
             before[after[i]] = i
@@ -175,8 +186,11 @@ def _one(v: Vocabulary, symbols: list[int], key: int, limit: np.uint64) -> list[
 
 
 def _many(v: Vocabulary, symbols: np.ndarray, units: np.ndarray, places: np.ndarray, lengths: np.ndarray,
-          keys: np.ndarray, limit: np.uint64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(unit, symbol, start) left of all units, sorted; every round takes one candidate of a unit."""
+          keys: np.ndarray, limit: np.uint64, log: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(unit, symbol, start) left of all units, sorted; every round takes one candidate of a unit.
+
+    `log` gets (unit, start, middle, end, skipped) of the candidates of each round, as arrays.
+    """
     if not len(symbols):
         return units, symbols, places
     done = []
@@ -189,13 +203,7 @@ def _many(v: Vocabulary, symbols: np.ndarray, units: np.ndarray, places: np.ndar
         """Rank and piece of the pairs that start at symbol numbers `at`."""
         nxt = np.minimum(at + 1, len(symbols) - 1)
         made = np.where((at + 1 < len(symbols)) & (units[nxt] == units[at]), v.join(symbols[at], symbols[nxt]), -1)
-        live = np.flatnonzero(made >= 0)
-        out = np.full(len(at), _NONE, np.int32)
-        if len(live):
-            i, j = at[live], nxt[live]
-            no = skipped(keys[units[i]], places[i], places[j], ends[j], limit)
-            out[live] = np.where(no, _NONE, v.rank[made[live]])
-        return out, made
+        return np.where(made >= 0, v.rank[made], _NONE), made
 
     rank, made = ranks(np.arange(len(symbols)))
     while len(symbols):
@@ -213,6 +221,12 @@ def _many(v: Vocabulary, symbols: np.ndarray, units: np.ndarray, places: np.ndar
             sizes, best = sizes[keep], best[keep]
         hits = np.flatnonzero(rank == np.repeat(best, sizes))
         hits = hits[np.concatenate([[True], units[hits][1:] != units[hits][:-1]])]  # leftmost of a unit
+        no = skipped(keys[units[hits]], places[hits], places[hits + 1], ends[hits + 1], limit)
+        log.append((units[hits], places[hits], places[hits + 1], ends[hits + 1], no))
+        rank[hits[no]] = _NONE
+        hits = hits[~no]
+        if not len(hits):
+            continue
         symbols[hits], ends[hits] = made[hits], ends[hits + 1]
         stay = np.ones(len(symbols), bool)
         stay[hits + 1] = False
@@ -227,8 +241,9 @@ def _many(v: Vocabulary, symbols: np.ndarray, units: np.ndarray, places: np.ndar
 
 
 def segment(v: Vocabulary, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, opens: np.ndarray,
-            keys: np.ndarray, limit: np.uint64) -> tuple[np.ndarray, np.ndarray]:
-    """Token ids of all units, flat, and the count of each; `opens` marks those that open a text."""
+            keys: np.ndarray, limit: np.uint64) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Token ids of all units, flat, the count of each, and the agendas by unit: unit, start, middle,
+    end and coin of every candidate; `opens` marks those that open a text."""
     sizes = ends - starts + opens
     begin = np.cumsum(sizes) - sizes
     data = buf[np.minimum(np.arange(int(sizes.sum())) + np.repeat(starts - opens - begin, sizes), len(buf) - 1)]
@@ -243,12 +258,21 @@ def segment(v: Vocabulary, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray
     long = lengths > LONG
     short = ~long[units]
     number = np.cumsum(~long) - 1
-    unit, symbol, place = _many(v, symbols[short], number[units[short]], places[short], lengths[~long], keys[~long], limit)
-    unit = np.flatnonzero(~long)[unit]
+    log: list[tuple] = []
+    unit, symbol, place = _many(v, symbols[short], number[units[short]], places[short], lengths[~long], keys[~long], limit, log)
+    shorts = np.flatnonzero(~long)
+    log = [(shorts[x[0]], *x[1:]) for x in log]
+    parts = [(shorts[unit], symbol, place)]
     for k in np.flatnonzero(long).tolist():
-        left = np.array(_one(v, symbols[first[k]: first[k] + lengths[k]].tolist(), int(keys[k]), limit), np.int64)
-        unit = np.concatenate([unit, np.full(len(left), k)])
-        symbol, place = np.concatenate([symbol, left[:, 0]]), np.concatenate([place, left[:, 1]])
+        own: list[tuple] = []
+        left = np.array(_one(v, symbols[first[k]: first[k] + lengths[k]].tolist(), int(keys[k]), limit, own), np.int64)
+        parts.append((np.full(len(left), k), left[:, 0], left[:, 1]))
+        if own:
+            log.append((np.full(len(own), k), *(np.array(x) for x in zip(*own))))
+    unit, symbol, place = (np.concatenate(x) for x in zip(*parts))
+    agenda = [np.concatenate(x) for x in zip(*log)] if log else [np.zeros(0, np.int64)] * 4 + [np.zeros(0, bool)]
+    order = np.argsort(agenda[0], kind="stable")
+    agenda = [x[order] for x in agenda]
     order = np.argsort(unit, kind="stable")
     unit, symbol, place = unit[order], symbol[order], place[order]
     # Characters without a piece become the tokens of their bytes.
@@ -258,14 +282,13 @@ def segment(v: Vocabulary, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray
     tokens = np.repeat(symbol, width)
     rough = np.flatnonzero(tokens < 0)
     tokens[rough] = v.byte_ids[data[np.repeat(heads[at], width)[rough] + k[rough]]]
-    return tokens.astype(np.int32), np.bincount(unit, width, len(starts)).astype(np.int64)
+    return tokens.astype(np.int32), np.bincount(unit, width, len(starts)).astype(np.int64), agenda
 
 
 class Encoder:
-    def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS):
+    def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED):
         self.v = Vocabulary.load(path)
         self.limit, self.seed = _limit(dropout), np.uint64(seed)
-        self.variants = variants if dropout > 0 else 1
 
     def units(self, buf: np.ndarray, offsets: np.ndarray):
         """Starts, ends and rows of the units, and whether each opens its text."""
@@ -293,16 +316,46 @@ class Encoder:
         ordinal = np.arange(len(rows)) - first[rows]
         unit = common.range_hash(common.prefix_hash(buf), starts, ends) + opens.astype(np.uint64)
         chosen = common.mix(common.mix(ids.astype(np.int64).view(np.uint64) ^ self.seed)[rows] + ordinal.astype(np.uint64))
-        variant = chosen % np.uint64(self.variants)
-        keys = common.mix(unit ^ common.mix(variant * np.uint64(0x9E3779B97F4A7C15) + self.seed))
-        distinct, where, place = np.unique(keys, return_index=True, return_inverse=True)
-        flat, sizes = segment(self.v, buf, starts[where], ends[where], opens[where], distinct, self.limit)
+        keys = common.mix(unit ^ common.mix(chosen * np.uint64(0x9E3779B97F4A7C15) + self.seed))
+        place = np.zeros(len(rows), np.int64)  # agenda of each unit
+        runs, pending, group = [], np.arange(len(rows)), unit
+        while len(pending):
+            _, where, inverse = np.unique(group, return_index=True, return_inverse=True)
+            one = pending[where]
+            *run, agenda = segment(self.v, buf, starts[one], ends[one], opens[one], keys[one], self.limit)
+            place[pending] = inverse + sum(len(r[1]) for r in runs)
+            runs.append(run)
+            other = np.ones(len(pending), bool)
+            other[where] = False
+            other = np.flatnonzero(other)
+            differs, at = self.disagree(keys[pending[other]], inverse[other], agenda, len(one))
+            pending, group = pending[other[differs]], at
+        flat, sizes = (np.concatenate(x) for x in zip(*runs))
         counts = sizes[place]
         total = np.cumsum(counts)
         tokens = flat[np.arange(int(total[-1])) + np.repeat((np.cumsum(sizes) - sizes)[place] - total + counts, counts)]
         return tokens, np.bincount(rows, counts, n).astype(np.int64)
 
 
+    def disagree(self, keys: np.ndarray, runs: np.ndarray, agenda: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which `keys` have another coin somewhere in the agenda of their run (of `n`), and the first such place."""
+        run, start, middle, end, coin = agenda
+        sizes = np.bincount(run, minlength=n)
+        begin = (np.cumsum(sizes) - sizes)[runs]
+        sizes = sizes[runs]
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        who, where, i = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+        while i < len(keys):
+            j = max(i + 1, int(np.searchsorted(total, total[i] + COINS, side="right")) - 1)
+            key = np.repeat(np.arange(i, j), sizes[i:j])
+            at = np.arange(total[j] - total[i]) + np.repeat(begin[i:j] - total[i:j] + total[i], sizes[i:j])
+            wrong = np.flatnonzero(skipped(keys[key], start[at], middle[at], end[at], self.limit) != coin[at])
+            wrong = wrong[np.concatenate([[True], key[wrong][1:] != key[wrong][:-1]])[: len(wrong)]]
+            who.append(key[wrong]), where.append(at[wrong])
+            i = j
+        return np.concatenate(who), np.concatenate(where)
+
+
 def decode_rows(v: Vocabulary, tokens: np.ndarray, counts: np.ndarray) -> list[bytes]:
     """The bytes of each row; the blank put in front by encoding is taken off."""
     sizes = v.piece_starts[tokens + 1] - v.piece_starts[tokens]

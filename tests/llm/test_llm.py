@@ -221,6 +221,37 @@ def test_dropout_agenda_brute():
         assert sentencepiece_dropout._one(v, symbols, key, limit) == parts
 
 
+def test_dropout_draws_for_each_occurrence(monkeypatch):
+    """Every occurrence has the pieces of an agenda of its own key, and frequent words keep the rate."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    v = sentencepiece_dropout.Vocabulary.load(path)
+    monkeypatch.setattr(sentencepiece_dropout, "COINS", 500)
+    text = " ".join(["of the information"] * 1500 + ["x" * 90, "日本語" * 30, prose(1, 200)] * 3)
+    buf, offsets = np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())])
+    for dropout in (0.1, 0.5):
+        e = sentencepiece_dropout.Encoder(path, dropout)
+        tokens, counts = e.encode(buf, offsets, np.array([3]))
+        starts, ends, rows, opens = e.units(buf, offsets)
+        unit = common.range_hash(common.prefix_hash(buf), starts, ends) + opens.astype(np.uint64)
+        chosen = common.mix(common.mix(np.array([3], np.uint64) ^ np.uint64(7))[rows] + np.arange(len(rows), dtype=np.uint64))
+        keys = common.mix(unit ^ common.mix(chosen * np.uint64(0x9E3779B97F4A7C15) + np.uint64(7)))
+        alone, found = [], collections.defaultdict(list)
+        for i, j, first, key in zip(starts, ends, opens, keys):
+            word = (" " if first else "") + buf[i:j].tobytes().decode()
+            parts = sentencepiece_dropout._one(v, v.symbols(np.array([ord(c) for c in word], np.uint32)).tolist(), int(key), e.limit)
+            ids = [t for s, a, b in parts for t in ([s] if s >= 0 else [int(v.byte_ids[x]) for x in word[a:b].encode()])]
+            found[word].append(tuple(ids))
+            alone += ids
+        assert tokens.tolist() == alone and counts.tolist() == [len(alone)]
+        if dropout == 0.1:
+            assert len(set(found[" information"])) > 8
+            for word in (" of", " the", " information"):
+                symbols, r = v.symbols(np.array([ord(c) for c in word], np.uint32)).tolist(), random.Random(5)
+                drawn = [len(sentencepiece_dropout._one(v, symbols, r.getrandbits(63), e.limit)) == 1 for _ in range(1500)]
+                whole = [len(x) == 1 for x in found[word]]
+                assert 0 < sum(whole) < len(whole) and abs(sum(whole) / len(whole) - sum(drawn) / 1500) < 0.05
+
+
 def test_licenses():
     index = licenses.Index()
     cases = {"This work is licensed under the GNU General Public License, version 3.": ("gpl", "gpl,gpl-line", 1, 6),
