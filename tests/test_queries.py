@@ -9,7 +9,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from creditloom.operators.align import Windows, temporal_split
 from tools.check import compare
+from workload.model_queries import TRAIN_DATE
 from workload.tables import GIVEN
 
 SF = "/root/testdata/sf0.001"
@@ -39,3 +41,13 @@ def test_entry(spark):
 
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_calibration_is_fitted_on_the_test_split(spark):
+    """At the fitted sigmoid the probabilities of the test rows add up to their smoothed outcomes."""
+    out = temporal_split(entry.queries()["m10_platt_calibrate"](spark, SF), Windows.before(TRAIN_DATE))
+    rows = out.where("split = 'test'").select("label", "calibrated").collect()
+    pos = sum(r["label"] for r in rows)
+    neg = len(rows) - pos
+    wanted = pos * (pos + 1) / (pos + 2) + neg / (neg + 2)
+    assert pos and neg and abs(sum(r["calibrated"] for r in rows) - wanted) < 1e-3 * len(rows)

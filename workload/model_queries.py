@@ -289,10 +289,13 @@ def m9_folds(spark, sf):
 
 @query("m10_platt_calibrate")
 def m10(spark, sf):
+    """All matched scores, calibrated by a sigmoid that is fitted on the test split alone."""
     x = Inputs(spark, sf)
     matched = scoring.with_outcomes(x.predictions, x.labels)
     gbt = matched.where(F.col("model_name").contains("gbt"))
-    slope, intercept = models.fit_platt(gbt, "model_predictions")
+    test = align.temporal_split(gbt, align.Windows.before(TRAIN_DATE)).where(
+        F.col("split") == "test")
+    slope, intercept = models.fit_platt(test, "model_predictions")
     return gbt.select(*KEYS, "label", "model_predictions", models.sigmoid(
         F.col("model_predictions") * slope + intercept).alias("calibrated"))
 
