@@ -17,8 +17,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Hand rows to Python in batches of `rows`: texts are long, and a batch is held at once."""
+    """Hand rows to Python in batches of `rows` or 32 MB: texts are long, and a batch is held at once."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
 
 
 def input_bytes(df: DataFrame, column: str = "text") -> int:
