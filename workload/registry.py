@@ -33,12 +33,15 @@ def shared(name: str, sql: str) -> None:
 
 
 def with_shared(sql: str) -> str:
-    """`sql` preceded by the shared tables it uses, in dependency order."""
+    """`sql` preceded by the shared tables it uses, in dependency order. Names that begin with `t_`
+    are shared tables; one that nobody defines is an error."""
     needed: list[str] = []
 
     def visit(text: str) -> None:
         for name in sorted(set(re.findall(r"\bt_[a-z_]+\b", text))):
-            if name in SHARED and name not in needed:
+            if name not in SHARED:
+                raise KeyError(f"no shared SQL table is named {name}")
+            if name not in needed:
                 visit(SHARED[name])
                 needed.append(name)
 
@@ -54,11 +57,17 @@ def query(name: str, sql: str | None = None):
     def register(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLES[name] = with_shared(sql)
+            ORACLES[name] = sql
         return fn
     return register
 
 
+def oracles() -> dict[str, str]:
+    """The SQL of all queries with the shared tables in it; resolved here and not when a query is
+    registered, so the order in which modules are imported does not matter."""
+    return {name: with_shared(sql) for name, sql in ORACLES.items()}
+
+
 def _deciles() -> str:
     """The nine inner deciles of the sorted list `s.l` as a list, interpolated linearly from the nearer
     neighbour. DuckDB's own function rounds differently in the last bit, which moves values that
