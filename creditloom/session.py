@@ -133,6 +133,11 @@ class Scope:
         self.paths[name + path[-8:]] = path
         return path
 
+    def forget(self, path: str) -> None:
+        """Delete a folder of this scope before the scope ends."""
+        delete_path(self.spark, path)
+        self.paths = {k: p for k, p in self.paths.items() if p != path}
+
     def _write(self, df: DataFrame, path: str) -> DataFrame:
         before = self.spark.conf.get(self.CLEANUP, "false")
         self.spark.conf.set(self.CLEANUP, "true")
@@ -150,8 +155,7 @@ class Scope:
 
     def drop(self, table: DataFrame) -> None:
         """Delete a table of this scope before the scope ends."""
-        delete_path(self.spark, table.scope_path)
-        self.paths = {k: p for k, p in self.paths.items() if p != table.scope_path}
+        self.forget(table.scope_path)
 
     def keep(self, df: DataFrame, name: str = "result") -> DataFrame:
         path = scratch_path(self.spark, f"{self.name}-{name}")
