@@ -175,7 +175,11 @@ class Output:
     def close(self) -> None:
         if self.out is not None:
             self.out.close()
-            self.filesystem.move(self.part, self.path)
+            try:
+                self.filesystem.move(self.part, self.path)
+            except OSError:  # some file systems do not rename onto the file an earlier attempt left
+                self.filesystem.delete_file(self.path)
+                self.filesystem.move(self.part, self.path)
 
 
 def write_file(uri: str, data: bytes) -> None:

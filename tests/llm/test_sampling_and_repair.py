@@ -266,16 +266,17 @@ def test_probabilities_of_a_context_add_up(spark):
         got = {r.doc_id: r.score for r in language_model.score(frame, language_model.fit(scope, frame)).collect()}
         table = language_model.fit(scope, frame)
         key = {}
-        for b in table.table.collect():
-            key |= dict(zip(np.frombuffer(b["keys"], np.uint64).tolist(), np.frombuffer(b["logs"], np.float32).tolist()))
+        for number in range(table.parts):
+            keys, logs, _ = table.block(number)
+            key |= dict(zip((keys >> np.uint64(8)).tolist(), logs.tolist()))
     assert len(got) == len(frame.collect())
 
     def hashed(w):
         _, h, _ = language_model.read(*common.text_buffer(pa.array([w])))
         return h[:1]
     for x in words[:6]:
-        after = [10 ** key[int(language_model.pair_key(hashed(x), hashed(y))[0])] for y in words]
-        after.append(10 ** key[int(language_model.pair_key(hashed(x), np.array([language_model._END], np.uint64))[0])])
+        after = [10 ** key[int(language_model.pair_key(hashed(x), hashed(y))[0]) >> 8] for y in words]
+        after.append(10 ** key[int(language_model.pair_key(hashed(x), np.array([language_model._END], np.uint64))[0]) >> 8])
         assert abs(sum(after) - 1) < 1e-5
 
 
