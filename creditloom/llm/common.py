@@ -22,6 +22,17 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted column names, each followed by as many underscores as it takes to be new in `df`."""
+    taken, free = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        free.append(name)
+    return free
+
+
 def input_bytes(df: DataFrame, column: str = "text") -> int:
     """UTF-8 bytes of a column, from one pass of sums."""
     return int(df.agg(F.sum(F.octet_length(column).cast("long"))).first()[0] or 0)

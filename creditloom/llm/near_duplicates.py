@@ -383,14 +383,14 @@ def keep_one(docs: DataFrame) -> DataFrame:
         others = own.join(least, ["key", "class_node"]).where("text_hash <> least").select("key", "text_hash")
         gone = scope.keep(named.where("key <> class_key").select("key", "text_hash").unionByName(others).distinct(), "gone")
         again = scope.keep(own.groupBy("key", "text_hash").count().where("count > 1").select("key", "text_hash"), "again")
-    key, text_hash = _identity()
-    marked = docs.withColumn("key_", key).withColumn("hash_", text_hash)
-    left = marked.join(gone.toDF("key_", "hash_"), ["key_", "hash_"], "left_anti")
+    identity = common.free_names(docs, "key", "text_hash")
+    marked = docs.withColumns(dict(zip(identity, _identity())))
+    left = marked.join(gone.toDF(*identity), identity, "left_anti")
     if not again.isEmpty():
-        again = again.toDF("key_", "hash_")
-        once = left.join(again, ["key_", "hash_"], "left_semi").dropDuplicates(["key_", "hash_"])
-        left = left.join(again, ["key_", "hash_"], "left_anti").unionByName(once)
-    return left.select(*docs.columns)
+        again = again.toDF(*identity)
+        once = left.join(again, identity, "left_semi").dropDuplicates(identity)
+        left = left.join(again, identity, "left_anti").unionByName(once)
+    return left.drop(*identity).select(*docs.columns)
 
 
 @query("op8_ngram_jaccard_join")

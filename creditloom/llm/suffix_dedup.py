@@ -549,8 +549,9 @@ def cut(docs: DataFrame, runs: DataFrame) -> DataFrame:
     """The rows of `docs` without their repetitions: `text` is what is left (a character goes only if
     all its bytes are repeated), `n_chars` its length. A text that loses everything loses its row."""
     names = docs.columns
-    joined = docs.withColumns(dict(zip(("key_", "hash_"), _identity()))).join(
-        runs.toDF("key_", "hash_", "runs_"), ["key_", "hash_"], "left").select(*names, "runs_")
+    *identity, found_runs = common.free_names(docs, "key", "hash", "runs")
+    joined = docs.withColumns(dict(zip(identity, _identity()))).join(
+        runs.toDF(*identity, found_runs), identity, "left").select(*names, found_runs)
     text, chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
     def run(batches):
