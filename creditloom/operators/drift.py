@@ -30,13 +30,15 @@ def first_months(predictions: DataFrame) -> DataFrame:
     return predictions.groupBy("model_name").agg(F.min("snapshot_date").alias("baseline_date"))
 
 
-def _bin_counts(df: DataFrame, keys: Sequence[str], value: str, bins: int) -> DataFrame:
+def _bin_counts(df: DataFrame, keys: Sequence[str], value: str, bins: int,
+                weight: str | None = None) -> DataFrame:
     """Rows per bin as columns; `df` carries the inner edges in `edges`. Equal edges only make
-    bins that stay empty on both sides, which contribute nothing."""
+    bins that stay empty on both sides, which contribute nothing. `weight` counts repeated rows."""
     number = " + ".join(f"int(`{value}` >= edges[{i}])" for i in range(bins - 1))
-    counted = ", ".join(f"'bin_{b}', count_if(_bin = {b})" for b in range(bins))
-    return (df.select(*keys, F.expr(number).alias("_bin")).groupBy(*keys)
-            .agg(F.expr(f"named_struct('n', count(_bin), {counted})").alias("counts")))
+    times = F.lit(1) if weight is None else F.col(weight)
+    counted = ", ".join(f"'bin_{b}', sum(if(_bin = {b}, _times, 0L))" for b in range(bins))
+    return (df.select(*keys, F.expr(number).alias("_bin"), times.cast("long").alias("_times")).groupBy(*keys)
+            .agg(F.expr(f"named_struct('n', sum(if(_bin is null, 0L, _times)), {counted})").alias("counts")))
 
 
 def _index(bins: int) -> Column:
@@ -53,7 +55,7 @@ def _known(df: DataFrame, value: str) -> DataFrame:
 
 
 def binned_pairs(values: DataFrame, baseline: DataFrame, by: Sequence[str], over: Sequence[str],
-                 value: str, bins: int = BINS) -> DataFrame:
+                 value: str, bins: int = BINS, weight: str | None = None) -> DataFrame:
     """Bin counts of every (by, over) group of `values` next to those of its `by` baseline.
 
     Columns: by, over, struct `a` (actual: n, bin_0 ...) and struct `e` (expected), null without a
@@ -63,17 +65,17 @@ def binned_pairs(values: DataFrame, baseline: DataFrame, by: Sequence[str], over
     values, baseline = _known(values, value), _known(baseline, value)
     inner = [i * (1.0 / bins) for i in range(1, bins)]
     edges, _ = session.stage(
-        exact_quantiles(baseline, by, value, inner, interpolate=True)
+        exact_quantiles(baseline, by, value, inner, interpolate=True, weight=weight)
         .withColumnRenamed("quantiles", "edges"), "edges")
-    expected = _bin_counts(baseline.join(edges, by), by, value, bins)
-    actual = _bin_counts(values.join(edges, by, "left"), [*by, *over], value, bins)
+    expected = _bin_counts(baseline.join(edges, by), by, value, bins, weight)
+    actual = _bin_counts(values.join(edges, by, "left"), [*by, *over], value, bins, weight)
     # Both sides are one row per group by now.
     return actual.withColumnRenamed("counts", "a").join(
         expected.withColumnRenamed("counts", "e"), by, "left")
 
 
 def stability(values: DataFrame, baseline: DataFrame, by: Sequence[str], over: Sequence[str],
-              value: str, bins: int = BINS) -> DataFrame:
+              value: str, bins: int = BINS, weight: str | None = None) -> DataFrame:
     """The index of every (by, over) group of `values` against the `by` group of `baseline`.
 
     Columns: by, over, n, psi. The index is null where the baseline is empty, and for fewer than
@@ -82,8 +84,8 @@ def stability(values: DataFrame, baseline: DataFrame, by: Sequence[str], over: S
     by, over = list(by), list(over)
     if bins < 2:
         return _known(values, value).groupBy(*by, *over).agg(
-            F.count(F.lit(1)).alias("n"), F.lit(None).cast("double").alias("psi"))
-    return binned_pairs(values, baseline, by, over, value, bins).select(
+            (F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("n"), F.lit(None).cast("double").alias("psi"))
+    return binned_pairs(values, baseline, by, over, value, bins, weight).select(
         *by, *over, "a.n", F.when(F.col("e.n") > 0, _index(bins)).alias("psi"))
 
 

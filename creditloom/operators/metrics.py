@@ -34,8 +34,12 @@ def classification_metrics(df: DataFrame, keys: Sequence[str], score: str = "mod
                            label: str = "label", threshold: float = THRESHOLD) -> DataFrame:
     """n, n_pos, auc, gini, precision, recall, f1, brier per group; all metrics are null unless
     both classes occur."""
+    return count_metrics(score_counts(df, keys, score, label), keys, threshold)
+
+
+def count_metrics(counts: DataFrame, keys: Sequence[str], threshold: float = THRESHOLD) -> DataFrame:
+    """The same from counts: one row per group and score with `pos` and `neg`."""
     keys = list(keys)
-    counts = score_counts(df, keys, score, label)
     ranked = running_totals(counts, keys, "score", "neg")
     c = F.col
     predicted = c("score") >= threshold

@@ -22,6 +22,11 @@ def known_by(df: DataFrame, months: Sequence[str] | None) -> DataFrame:
         F.col("snapshot_date") <= F.lit(max(map(str, months))).cast("date"))
 
 
+def only_months(df: DataFrame, months: Sequence[str] | None) -> DataFrame:
+    return df if months is None else df.where(
+        F.col("snapshot_date").isin([F.lit(m).cast("date") for m in months]))
+
+
 def joined_sources(lms: DataFrame, financials: DataFrame, attributes: DataFrame,
                    loan_type: DataFrame | None, clickstream: DataFrame,
                    mode: str = "as_of", months: Sequence[str] | None = None) -> DataFrame:
@@ -30,8 +35,7 @@ def joined_sources(lms: DataFrame, financials: DataFrame, attributes: DataFrame,
     `as_of` takes the latest rows up to the application; `as_coded` joins every snapshot of the
     customer, whatever its date.
     """
-    anchors = applications(lms if months is None else lms.where(
-        F.col("snapshot_date").isin([F.lit(m).cast("date") for m in months])))
+    anchors = applications(only_months(lms, months))
     sources = {"financials": financials, "attributes": attributes.select(
         "Customer_ID", "snapshot_date", "Age", "Occupation")}
     if loan_type is not None:
@@ -86,9 +90,11 @@ def _silver(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     return tables.read_table(spark, tables.table_path(root, "silver", name))
 
 
-def label_store(spark: SparkSession, root: str, dpd: int = 30, mob: int = 6) -> Observation:
+def label_store(spark: SparkSession, root: str, dpd: int = 30, mob: int = 6,
+                months: Sequence[str] | None = None) -> Observation:
+    """Writes the label store, all months or only the `months` asked for."""
     return tables.overwrite_partitions(
-        default_labels(_silver(spark, root, "lms"), dpd, mob),
+        default_labels(only_months(_silver(spark, root, "lms"), months), dpd, mob),
         tables.table_path(root, "gold", "label_store"))
 
 

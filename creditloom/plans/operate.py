@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom import session
-from creditloom.operators import drift, models
-from creditloom.operators.metrics import classification_metrics, round_metrics
+from creditloom.operators import drift, models, monitor_state
+from creditloom.operators.metrics import round_metrics
 from creditloom.operators.scoring import (
-    OFFSET_MONTHS, align_to_model, missing_columns, prediction_rows, with_month_outcomes)
+    OFFSET_MONTHS, align_to_model, missing_columns, prediction_rows)
+from creditloom.plans.gold import only_months
 from creditloom.plans.train import write_predictions
 from creditloom.sources import tables
 
@@ -49,32 +50,49 @@ def monitoring_table(predictions: DataFrame, labels: DataFrame, features: DataFr
                      csi_features: Sequence[str], baselines: DataFrame,
                      feature_offset_months: int = OFFSET_MONTHS, digits: int = 4) -> DataFrame:
     """One row per model and month: volume, score drift, ranking and calibration quality, feature
-    drift, and the drop against the out-of-time AUC.
+    drift, and the drop against the out-of-time AUC. Predictions are read once, into a state.
 
     `baselines` has (model_name, oot_auc). Feature drift of a month is measured on the features
     that were scored, `feature_offset_months` before it, against the model's first month; it is
     null where there are no features.
     """
+    state, _ = session.stage(monitor_state.score_state(predictions, labels), "monitor_state")
+    return state_table(state, features, csi_features, baselines, feature_offset_months, digits)
+
+
+def state_table(state: DataFrame, features: DataFrame | None, csi_features: Sequence[str],
+                baselines: DataFrame, feature_offset_months: int = OFFSET_MONTHS, digits: int = 4,
+                months: Sequence[str] | None = None, scored: DataFrame | None = None) -> DataFrame:
+    """The monitoring rows of a state, of all months or of those given. `scored` (model_name,
+    snapshot_date) names all scored months where that is known without reading the state."""
     c = F.col
-    keys = ["model_name", "snapshot_date"]
-    months, _ = session.stage(predictions.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_scored"), F.avg("model_predictions").alias("mean_score")),
-        "months")
-    psi = drift.score_psi(predictions, scored_months=months).select(*keys, "psi")
-    quality = classification_metrics(with_month_outcomes(predictions, labels), keys).select(
+    keys = monitor_state.KEYS
+    if scored is None:
+        scored = state.select(*keys).distinct()
+    scored, _ = session.stage(scored, "scored")
+    first = drift.first_months(scored)
+    wanted = scored
+    if months is not None:
+        wanted = only_months(scored, months)
+        baselines_of = [str(r[0]) for r in first.select("baseline_date").distinct().collect()]
+        state = only_months(state, sorted({*map(str, months), *baselines_of}))
+    totals, _ = session.stage(monitor_state.month_totals(state), "months")
+    psi = monitor_state.psi(state, first).select(*keys, "psi")
+    quality = monitor_state.quality(only_months(state, months), totals).select(
         *keys, "auc", "gini", "precision", "recall", "f1", "brier")
+    rows = totals.join(wanted, keys, "left_semi").drop("direct")
     if features is None or not csi_features:
-        csi = predictions.sparkSession.createDataFrame([], CSI)
-        per_feature = months.select(*keys, *[F.lit(None).cast("double").alias(f)
-                                             for f in csi_features])
+        csi = state.sparkSession.createDataFrame([], CSI)
+        per_feature = rows.select(*keys, *[F.lit(None).cast("double").alias(f)
+                                           for f in csi_features])
     else:
-        csi, _ = session.stage(
-            model_csi(months, features, csi_features, feature_offset_months), "csi")
+        csi, _ = session.stage(model_csi(
+            scored, features, csi_features, feature_offset_months, wanted), "csi")
         per_feature = csi.groupBy(*keys).pivot("feature", list(csi_features)).agg(F.first("psi"))
     per_feature = per_feature.select(
         *keys, *[F.round(c(f"`{f}`"), digits).alias(f"csi_{f}") for f in csi_features])
     worst = drift.worst_feature(csi, keys)
-    table = (months.join(psi, keys, "left").join(quality, keys, "left")
+    table = (rows.join(psi, keys, "left").join(quality, keys, "left")
              .join(worst, keys, "left").join(baselines, "model_name", "left"))
     table = table.withColumn("auc_drop_from_oot1", c("oot_auc") - c("auc")).drop("oot_auc")
     rounded = round_metrics(
@@ -87,8 +105,10 @@ def monitoring_table(predictions: DataFrame, labels: DataFrame, features: DataFr
 
 
 def model_csi(months: DataFrame, features: DataFrame, csi_features: Sequence[str],
-              feature_offset_months: int = OFFSET_MONTHS) -> DataFrame:
-    """model_name, snapshot_date, feature, position, psi for every scored month.
+              feature_offset_months: int = OFFSET_MONTHS,
+              wanted: DataFrame | None = None) -> DataFrame:
+    """model_name, snapshot_date, feature, position, psi for every scored month, or for the `wanted`
+    ones among them.
 
     Bin counts are taken once per (baseline month, feature month): models that share a first month
     share the work.
@@ -102,10 +122,13 @@ def model_csi(months: DataFrame, features: DataFrame, csi_features: Sequence[str
     with_features, _ = session.stage(scored.join(available, "feature_date"), "scored_months")
     reference = with_features.groupBy("model_name").agg(
         F.min("feature_date").alias("baseline_date"))
-    long = drift.feature_long(features, csi_features)
     baseline = drift.feature_long(
         drift.only_dates(features, reference.select("baseline_date")), csi_features).select(
         c("snapshot_date").alias("baseline_date"), "feature", "value")
+    if wanted is not None:
+        with_features = with_features.join(wanted, ["model_name", "snapshot_date"], "left_semi")
+        features = drift.only_dates(features, with_features.select("feature_date"))
+    long = drift.feature_long(features, csi_features)
     pairs = (with_features.join(reference, "model_name")
              .select("baseline_date", "feature_date").distinct())
     values = long.withColumnRenamed("snapshot_date", "feature_date").join(pairs, "feature_date")
@@ -119,25 +142,58 @@ def model_csi(months: DataFrame, features: DataFrame, csi_features: Sequence[str
 
 @session.job
 def monitor(spark: SparkSession, root: str, model_version: str,
-            feature_offset_months: int = OFFSET_MONTHS) -> DataFrame | None:
-    """Rebuilds the monitoring rows of one model from its predictions; None when there are none."""
-    predictions = tables.read_table(spark, tables.table_path(root, "gold", "model_predictions"))
+            feature_offset_months: int = OFFSET_MONTHS,
+            months: Sequence[str] | None = None) -> DataFrame | None:
+    """Monitoring rows of one model; None when there are no predictions.
+
+    The state of each month (see `monitor_state`) is stored. Without `months` it is made anew from all
+    predictions. With `months` (say, those that got late outcomes) predictions of these months, and of
+    months that have no state yet, are read; the other months' states and rows stay as they are.
+    """
+    source = tables.table_path(root, "gold", "model_predictions")
+    predictions = tables.read_table(spark, source)
     if predictions is None:
         return None
-    predictions = predictions.where(F.col("model_name") == model_version)
+    model = F.col("model_name") == model_version
+    predictions = predictions.where(model)
     labels = tables.read_or_empty(
         spark, tables.table_path(root, "gold", "label_store"),
         "Customer_ID string, snapshot_date date, label int")
+    state_path = tables.table_path(root, "gold", "monitor_state")
+    stored = tables.read_table(spark, state_path)
+    there = {str(r[0]) for r in predictions.select("snapshot_date").distinct().collect()}
+    if months is not None:
+        known = set() if stored is None else {str(r[0]) for r in stored.where(model).select("snapshot_date").distinct().collect()}
+        months = sorted((set(map(str, months)) | (there - known)) & there)
+        gone = known - there
+    else:
+        gone = set() if stored is None else {str(r[0]) for r in stored.where(model).select("snapshot_date").distinct().collect()} - there
+    for month in gone:
+        session.delete_path(spark, f"{state_path}/model_name={model_version}/snapshot_date={month}")
+    if months is not None:
+        # Outcomes are those of the month or of `OFFSET_MONTHS` later.
+        dates = [F.add_months(F.lit(m).cast("date"), k) for m in months for k in (0, OFFSET_MONTHS)]
+        predictions, labels = only_months(predictions, months), labels.where(F.col("snapshot_date").isin(*dates) if dates else F.lit(False))
+    if months is None or months:
+        tables.overwrite_partitions(monitor_state.score_state(predictions, labels), state_path, tuple(monitor_state.KEYS))
+
     features = tables.read_table(spark, tables.table_path(root, "gold", "feature_store"))
-    stored = models.registry(spark, root).where(F.col("model_version") == model_version)
-    baselines = stored.select(F.col("model_version").alias("model_name"),
-                              F.col("results")["auc_oot"].alias("oot_auc"))
+    registered = models.registry(spark, root).where(F.col("model_version") == model_version)
+    baselines = registered.select(F.col("model_version").alias("model_name"),
+                                  F.col("results")["auc_oot"].alias("oot_auc"))
     watched = [r["feature"] for r in watched_features(spark, root, model_version).collect()]
-    table = monitoring_table(predictions, labels, features, watched, baselines,
-                             feature_offset_months)
+    scored = spark.createDataFrame([(model_version, m) for m in sorted(there)], "model_name string, month string").select(
+        "model_name", F.col("month").cast("date").alias("snapshot_date"))
+    table = state_table(tables.read_table(spark, state_path).where(model), features, watched, baselines,
+                        feature_offset_months, months=months, scored=scored)
     path = tables.table_path(root, "gold", "model_monitoring")
+    before = tables.read_table(spark, path)
+    if months is not None and before is not None:
+        kept = before.where(model).where(~F.col("snapshot_date").isin([F.lit(m).cast("date") for m in [*months, *gone]]))
+        # One row per month: staged, because the table they come from is rewritten.
+        table = session.stage(kept.unionByName(table, allowMissingColumns=True), "rows")[0]
     tables.overwrite_partitions(table, path, ("model_name",))
-    return tables.read_table(spark, path).where(F.col("model_name") == model_version)
+    return tables.read_table(spark, path).where(model)
 
 
 def watched_features(spark: SparkSession, root: str, model_version: str,

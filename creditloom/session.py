@@ -93,7 +93,7 @@ def job(run):
         try:
             return run(*args, **kwargs)
         finally:
-            _jobs.remove(staged)
+            _jobs.pop()
             for spark, path in staged:
                 delete_path(spark, path)
     return wrapper

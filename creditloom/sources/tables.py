@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from creditloom import session
+
 
 def table_path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
@@ -53,6 +55,36 @@ def read_month(spark: SparkSession, path: str, snapshot_date: str) -> DataFrame
     return table.where(F.col("snapshot_date") == F.lit(snapshot_date).cast("date"))
 
 
+def _months_below(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Folders of each month of a table, also below another partition column."""
+    context = spark.sparkContext
+    jvm_path = context._jvm.org.apache.hadoop.fs.Path
+    fs = jvm_path(path).getFileSystem(context._jsc.hadoopConfiguration())
+    found: dict[str, list[str]] = {}
+    waiting = [path] if _exists(spark, path) else []
+    while waiting:
+        for status in fs.listStatus(jvm_path(waiting.pop())):
+            name = status.getPath().getName()
+            if status.isDirectory() and name.startswith("snapshot_date="):
+                found.setdefault(name.partition("=")[2], []).append(status.getPath().toString())
+            elif status.isDirectory() and "=" in name:
+                waiting.append(status.getPath().toString())
+    return found
+
+
+def months(spark: SparkSession, path: str) -> list[str]:
+    """The months a partitioned table has, from its folders."""
+    return sorted(_months_below(spark, path))
+
+
+def drop_months(spark: SparkSession, path: str, gone: Sequence[str]) -> None:
+    """Delete the partitions of the given months."""
+    there = _months_below(spark, path) if gone else {}
+    for month in map(str, gone):
+        for folder in there.get(month, ()):
+            session.delete_path(spark, folder)
+
+
 def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str] = ("snapshot_date",),
                          fmt: str = "parquet", **options) -> Observation:
     """Rewrite exactly the partitions present in `df`; the others stay. Running it again gives the

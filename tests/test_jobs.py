@@ -223,3 +223,26 @@ def test_monitoring_without_features(spark):
     baselines = spark.createDataFrame([("m", 1.0)], "model_name string, oot_auc double")
     row = operate.monitoring_table(predictions, labels, None, ["fe_1"], baselines).first()
     assert (row["n_scored"], row["auc"], row["csi_max"], row["csi_fe_1"]) == (10, 1.0, None, None)
+
+
+def test_late_outcomes_update_their_months(spark, mart):
+    """Last in this file: it changes the labels of the warehouse."""
+    mart.need("monitoring")
+    champion = train.current_champion(spark, mart.root)
+    path = tables.table_path(mart.root, "gold", "label_store")
+    monitored = lambda: tables.read_table(spark, tables.table_path(mart.root, "gold", "model_monitoring"))
+    labels = session.stage(tables.read_table(spark, path))[0]
+    late = F.col("snapshot_date") == F.lit("1998-11-01").cast("date")
+    tables.overwrite_partitions(labels.where(late).withColumn("label", 1 - F.col("label")), path)
+    before = {r.snapshot_date: r for r in monitored().collect()}
+    state = tables.table_path(mart.root, "gold", "monitor_state")
+    other = lambda: sorted(r[0] for r in tables.read_table(spark, state).where(~late).select(F.input_file_name()).distinct().collect())
+    untouched = other()
+    operate.monitor(spark, mart.root, champion, months=["1998-11-01"])
+    assert other() == untouched
+    after = {r.snapshot_date: r for r in monitored().collect()}
+    changed = {str(m) for m in after if after[m] != before[m]}
+    assert changed == {"1998-11-01"}
+    part = rows_of(monitored())
+    operate.monitor(spark, mart.root, champion)
+    assert rows_of(monitored()) == part
