@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from creditloom import schemas, session
 from creditloom.functions.loans import ENGINEERED
-from creditloom.operators import align, clean, drift, encode, impute, metrics, models, scoring
+from creditloom.operators import align, clean, customer_state, drift, encode, impute, metrics, models, scoring
 from creditloom.operators import point_in_time as pit
 from creditloom.plans import gold, train
 from workload.inputs import LOAN_COLUMNS, Inputs
@@ -141,6 +141,39 @@ def m3(spark, sf):
                              else F.col(f"`{c}`") for c in features.columns])
 
 
+CARRIED = ["1998-06-01", "1998-07-01", "1998-08-01"]
+
+
+@query("m3_carried_state", "select Customer_ID, snapshot_date, " + ", ".join(
+    f"{_q(c)}" if c in _INTS else f"round({_q(c)}, 6) as {_q(c)}" for c in _ALL)
+    + " from t_features where snapshot_date in ("
+    + ", ".join(f"date '{m}'" for m in CARRIED) + ")")
+def m3_carried(spark, sf):
+    """Features of three months from the carried state: all rows before them make the first state, then
+    every month reads its own rows and the state before."""
+    x = Inputs(spark, sf)
+    vocabulary = encode.fit_vocabulary(x.attributes, ["Occupation"]) | encode.fit_vocabulary(
+        x.financials, FINANCIAL_CATEGORIES) | {"Payment_of_Min_Amount": _JOINED_LABELS["Payment_of_Min_Amount"]}
+    vocabulary = {c: vocabulary[c] for c in schemas.CATEGORIES}
+    every = {"financials": x.financials, "attributes": x.attributes.select(*KEYS, "Age", "Occupation"),
+             "loan_type": x.loan_type}
+    every = {name: session.stage(df, name)[0] for name, df in every.items()}
+    clicks, date = session.stage(x.clickstream, "clicks")[0], F.col("snapshot_date")
+    old = date < F.lit(CARRIED[0]).cast("date")
+    state = tuple(session.stage(df, "state")[0] for df in (
+        customer_state.extend(None, {n: df.where(old) for n, df in every.items()}, clicks.where(old), FE),
+        customer_state.value_counts(None, clicks.where(old), FE)))
+    out = None
+    for month in CARRIED:
+        at = date == F.lit(month).cast("date")
+        state, features = gold.carried_month(
+            state, x.applications.where(at), {n: df.where(at) for n, df in every.items()}, clicks.where(at),
+            month, vocabulary, exact=True)
+        out = features if out is None else out.unionByName(features)
+    kinds = dict(out.dtypes)
+    return out.select(*[F.round(f"`{c}`", 6).alias(c) if kinds[c] == "double" else F.col(f"`{c}`") for c in out.columns])
+
+
 @query("m3_feature_store_default")
 def m3_default(spark, sf):
     """The same as it is run in production: sketched quantiles, two passes over the sources."""
