@@ -92,14 +92,17 @@ def stratified_split(df: DataFrame, test_share: float = 0.2, label: str = "label
     seeded hash of the key.
 
     Only the hash value where each label is cut is ranked; rows are then compared with it, so
-    nothing but hash values is shuffled. Rows with equal keys stay together.
+    nothing but hash values is shuffled. Rows with equal keys stay together. Rows without a label
+    are a group of their own.
     """
     ordered = df.withColumn("_order", _hash_order(F.col(key), F.lit(seed)))
     cuts, _ = session.stage(
         exact_quantiles(ordered.select(label, "_order"), [label], "_order", [test_share])
         .select(label, F.col("quantiles")[0].alias("_cut")), "cuts")
     split = F.when(F.col("_order") <= F.col("_cut"), "test").otherwise("train")
-    return ordered.join(cuts, label).withColumn("split", split).drop("_order", "_cut")
+    cuts = cuts.withColumnRenamed(label, "_label")
+    return (ordered.join(cuts, F.col(label).eqNullSafe(F.col("_label")), "left")
+            .withColumn("split", split).drop("_order", "_cut", "_label"))
 
 
 def split_stats(df: DataFrame) -> DataFrame:

@@ -16,7 +16,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from creditloom.operators.metrics import score_counts
+from creditloom.operators import leaves
+from creditloom.operators.metrics import count_metrics, score_counts
+from creditloom.sources import tables
 
 SEED = 88
 
@@ -29,6 +31,8 @@ SEARCH_SPACE = {
     "colsample_bytree": [0.6, 0.8, 1.0],
     "gamma": [0.0, 0.1, 0.3],
     "min_child_weight": [1, 3, 5],
+    "reg_alpha": [0, 0.1, 1],
+    "reg_lambda": [1, 2, 5],
 }
 
 
@@ -122,19 +126,70 @@ def draw_parameters(draws: int, seed: int = 42,
     return out
 
 
+LEDGER = "point string, fold int, auc double"
+
+
+class SearchLedger:
+    """Finished fits of a search, one small file each, so that a search that stops goes on where it was.
+
+    A fit that two drivers did has two equal rows; the mean does not change by that.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    @staticmethod
+    def key(point: Mapping) -> str:
+        return json.dumps(dict(point), sort_keys=True)
+
+    def rows(self) -> DataFrame:
+        found = tables.read_table(self.spark, self.path)
+        empty = self.spark.createDataFrame([], LEDGER)
+        return empty if found is None else found.select(empty.columns).distinct()
+
+    def add(self, point: Mapping, fold: int, auc: float) -> None:
+        self.spark.createDataFrame([(self.key(point), fold, float(auc))], LEDGER).coalesce(1).write.mode("append").parquet(self.path)
+
+    def best(self, folds: int) -> DataFrame:
+        """point, n_folds, mean_auc of the points with all folds, best first, ties by the point's text."""
+        return (self.rows().groupBy("point").agg(F.count(F.lit(1)).alias("n_folds"), F.avg("auc").alias("mean_auc"))
+                .where(F.col("n_folds") == folds).orderBy(F.desc("mean_auc"), "point"))
+
+
+def fold_auc(vectors: DataFrame, point: Mapping, fold: int, label: str = "label") -> float:
+    """AUC on one fold of a model fitted on the folds before it, leaf values by the point's regularisation."""
+    model = gbt(point, label).fit(vectors.where(F.col("block") < fold))
+    test = vectors.where(F.col("block") == fold)
+    if leaves.regularised(point):
+        values = leaves.newton(model, vectors.where(F.col("block") < fold), point, label)
+        scored = leaves.scored(model, values, test).select(F.col("raw_score").alias("model_predictions"), label)
+        return count_metrics(score_counts(scored, [], label=label), []).first()["auc"]
+    return BinaryClassificationEvaluator(labelCol=label, numBins=0).evaluate(model.transform(test))
+
+
 def temporal_search(vectors: DataFrame, points: Sequence[Mapping], folds: int = 3,
-                    label: str = "label", parallelism: int = 4) -> list[tuple[dict, float]]:
+                    label: str = "label", parallelism: int | None = None,
+                    ledger: SearchLedger | None = None) -> list[tuple[dict, float]]:
     """Mean AUC of every parameter point over expanding folds, best first.
 
     `vectors` has `features`, the label and `block` from `expanding_folds`, and should be a staged
-    table: every fit reads it again. Fits are independent Spark jobs started from a few threads.
+    table: every fit reads it again. Fits are independent Spark jobs started from a few threads, by
+    default one for four cores. With a `ledger`, fits it has are not done again.
     """
-    evaluator = BinaryClassificationEvaluator(labelCol=label, numBins=0)
+    spark = vectors.sparkSession
+    if parallelism is None:
+        parallelism = max(1, spark.sparkContext.defaultParallelism // 4)
+    done = {(r["point"], r["fold"]): r["auc"] for r in ledger.rows().collect()} if ledger else {}
 
     def one(task):
         point, fold = task
-        model = gbt(point, label).fit(vectors.where(F.col("block") < fold))
-        return evaluator.evaluate(model.transform(vectors.where(F.col("block") == fold)))
+        known = done.get((SearchLedger.key(point), fold))
+        if known is not None:
+            return known
+        auc = fold_auc(vectors, point, fold, label)
+        if ledger:
+            ledger.add(point, fold, auc)
+        return auc
 
     tasks = [(p, f) for p in points for f in range(1, folds + 1)]
     with ThreadPool(parallelism) as pool:
@@ -204,11 +259,15 @@ class Artefact:
     model: PipelineModel
     importances: list[float]
     calibration: tuple[float, float] | None = None
+    leaf_values: list[list[float]] | None = None  # by regularised Newton steps, instead of the trees' own
     results: dict[str, float] = field(default_factory=dict)
     params: dict = field(default_factory=dict)
     dates: dict[str, str] = field(default_factory=dict)
 
     def raw_scores(self, df: DataFrame) -> DataFrame:
+        if self.leaf_values is not None:
+            prepare, trees = PipelineModel(self.model.stages[:-1]), self.model.stages[-1]
+            return leaves.scored(trees, self.leaf_values, prepare.transform(df)).drop("features")
         out = self.model.transform(df)
         if "raw_score" in out.columns:
             return out
@@ -228,7 +287,7 @@ class Artefact:
         self.model.write().overwrite().save(f"{root}/model_bank/{self.model_version}")
         row = spark.createDataFrame([(
             self.model_version, self.model_type, self.feature_columns, self.importances,
-            list(self.calibration) if self.calibration else None,
+            list(self.calibration) if self.calibration else None, self.leaf_values,
             {k: float(v) for k, v in self.results.items()}, json.dumps(self.params), self.dates)],
             REGISTRY)
         (row.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -236,7 +295,8 @@ class Artefact:
 
 
 REGISTRY = ("model_version string, model_type string, feature_columns array<string>, "
-            "importances array<double>, calibration array<double>, results map<string,double>, params string, "
+            "importances array<double>, calibration array<double>, leaf_values array<array<double>>, "
+            "results map<string,double>, params string, "
             "dates map<string,string>")
 
 
@@ -253,6 +313,7 @@ def load(spark: SparkSession, root: str, model_version: str) -> Artefact:
         r["model_version"], r["model_type"], list(r["feature_columns"]),
         PipelineModel.load(f"{root}/model_bank/{model_version}"), list(r["importances"]),
         tuple(r["calibration"]) if r["calibration"] else None,
+        [list(v) for v in r["leaf_values"]] if r["leaf_values"] else None,
         dict(r["results"]), json.loads(r["params"]), dict(r["dates"]))
 
 
@@ -265,15 +326,16 @@ def version(kind: str, train_date: str, tt_months: int = 12) -> str:
 def champion(candidates: DataFrame) -> DataFrame:
     """The model with the largest out-of-time AUC, the runner-up and the margin.
 
-    `candidates` has (model_version, auc_oot, position); the lowest position wins a tie.
+    `candidates` has (model_version, auc_oot, position); the lowest position wins a tie. A single
+    candidate has no runner-up and no margin.
     """
     order = F.struct("auc_oot", -F.col("position"))
     two = candidates.orderBy(F.desc("auc_oot"), "position").limit(2)
     return two.agg(
         F.max_by("model_version", order).alias("champion"),
         F.max("auc_oot").alias("auc_oot"),
-        F.min_by("model_version", order).alias("runner_up"),
-        (F.max("auc_oot") - F.min("auc_oot")).alias("margin"))
+        F.when(F.count(F.lit(1)) > 1, F.min_by("model_version", order)).alias("runner_up"),
+        F.when(F.count(F.lit(1)) > 1, F.max("auc_oot") - F.min("auc_oot")).alias("margin"))
 
 
 # --- importance ----------------------------------------------------------------------------------

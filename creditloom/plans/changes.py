@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom import session
+from creditloom.functions.fingerprint import fingerprints
 from creditloom.plans import gold, ingest, operate
 from creditloom.sources import tables
 from creditloom.sources.calendar import OFFSET_MONTHS
@@ -53,26 +54,12 @@ BASELINES = [("gold/model_monitoring", "gold/model_predictions")]
 FINGERPRINT = "source string, snapshot_date date, fingerprint string"
 
 
-def fingerprints(df: DataFrame, by: str = "snapshot_date") -> DataFrame:
-    """One row per month with the number of rows and two sums of 64-bit row hashes.
-
-    Sums do not depend on the order of rows and count repeated ones; partial sums meet, so no month
-    is gathered. Nulls take part by their place, which a hash of the values alone would skip.
-    """
-    names = sorted(df.columns)
-    absent = F.concat(*[F.col(f"`{c}`").isNull().cast("string") for c in names])
-    row = F.xxhash64(absent, *[F.col(f"`{c}`") for c in names])
-    wide = lambda h: F.sum(h.cast("decimal(38,0)")).cast("string")
-    return df.groupBy(by).agg(F.concat_ws(
-        "/", F.count(F.lit(1)).cast("string"), wide(row), wide(F.xxhash64(row, F.lit(1)))).alias("fingerprint"))
-
-
 def raw_fingerprints(spark: SparkSession, raw_dir: str) -> DataFrame:
     """source, snapshot_date, fingerprint of everything delivered, one pass per raw file."""
     out = None
     for name, src in SOURCES.items():
         raw = read_raw_csv(spark, f"{raw_dir}/{src.file_name}", src.schema)
-        part = fingerprints(raw).select(
+        part = fingerprints(raw, "snapshot_date").select(
             F.lit(name).alias("source"), F.col("snapshot_date").try_cast("date").alias("snapshot_date"), "fingerprint")
         out = part if out is None else out.unionByName(part)
     return out

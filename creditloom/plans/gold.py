@@ -13,6 +13,7 @@ from creditloom.functions.loans import credit_ratios
 from creditloom.operators import customer_state, encode, impute
 from creditloom.operators.align import default_labels
 from creditloom.operators.point_in_time import applications, as_of, left_as_coded
+from creditloom.plans import ledger
 from creditloom.sources import tables
 
 
@@ -163,6 +164,18 @@ def stored_vocabulary(spark: SparkSession, root: str) -> dict[str, list[str]]:
     return vocabulary
 
 
+def audit(spark: SparkSession, root: str, run: str, months: Sequence[str] | None = None) -> DataFrame:
+    """Keeps, per month, what the feature store collapses or cannot name, and returns these counts."""
+    part = {n: only_months(_silver(spark, root, n), months) for n in ("lms", "financials", "attributes", "clickstream")}
+    labels = tables.read_or_empty(spark, tables.table_path(root, "gold", "label_store"), "snapshot_date date, label int")
+    counts, _ = session.stage(ledger.audit(
+        part["lms"], {n: part[n] for n in ("financials", "attributes", "clickstream")}, only_months(labels, months),
+        tables.read_table(spark, tables.table_path(root, "gold", "vocabulary")),
+        {"attributes": ["Occupation"], "financials": schemas.CATEGORIES[1:]}), "audit")
+    ledger.keep(counts, root, "feature_store", run)
+    return counts
+
+
 @session.job
 def feature_store(spark: SparkSession, root: str, **options) -> Observation:
     """Writes the feature store, all months or only the `months` asked for. The category vocabulary is fitted on the first run and reused

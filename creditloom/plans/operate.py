@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from creditloom import session
+from creditloom.functions.fingerprint import row_hash, wide_sum
 from creditloom.operators import drift, models, monitor_state
 from creditloom.operators.metrics import round_metrics
 from creditloom.operators.scoring import (
     OFFSET_MONTHS, align_to_model, missing_columns, prediction_rows)
+from creditloom.plans import ledger
 from creditloom.plans.gold import only_months
 from creditloom.plans.train import write_predictions
 from creditloom.sources import tables
@@ -34,11 +36,10 @@ def score_months(spark: SparkSession, root: str, model_version: str,
         wanted = [F.add_months(F.lit(m).cast("date"), -offset) for m in label_months]
         features = features.where(F.col("snapshot_date").isin(*wanted))
     absent = missing_columns(features, artefact.feature_columns)
-    if absent:
-        print(f"[score] {model_version}: {len(absent)} model columns are absent and set to 0")
     scored = artefact.scores(align_to_model(features, artefact.feature_columns))
     rows = prediction_rows(scored, model_version, F.col("score"), offset)
     written = write_predictions(rows, root)
+    ledger.note(spark, root, "score", model_version, {"rows": written.get["rows"], **{f"absent:{c}": 1 for c in absent}})
     return spark.createDataFrame([(model_version, written.get["rows"])],
                                  "model_name string, n_scored long")
 
@@ -248,13 +249,18 @@ def drift_report(predictions: DataFrame, features: DataFrame, csi_features: Sequ
 
 
 def data_summary(features: DataFrame, columns: Sequence[str], baseline: str,
-                 current: str) -> DataFrame:
-    """Profile of every feature on both sides: volume, nulls, distinct values, range, moments."""
+                 current: str, key: Sequence[str] = ("Customer_ID", "snapshot_date")) -> DataFrame:
+    """Profile of every feature on both sides: volume, nulls, distinct values, range, moments,
+    quartiles (sketched), and `duplicate_of`, the first feature that has the same value in every row.
+
+    Features are compared by the sum of hashes of (row, value), so no pair of columns meets.
+    """
     side = (F.when(F.col("snapshot_date") == F.lit(baseline).cast("date"), "baseline")
             .when(F.col("snapshot_date") == F.lit(current).cast("date"), "current"))
     long = (features.withColumn("side", side).where(F.col("side").isNotNull())
-            .select("side", *[F.col(c).cast("double").alias(c) for c in columns])
-            .unpivot(["side"], list(columns), "feature", "value"))
+            .select("side", row_hash([k for k in key if k in features.columns]).alias("_row"),
+                    *[F.col(c).cast("double").alias(c) for c in columns])
+            .unpivot(["side", "_row"], list(columns), "feature", "value"))
     per_value = long.groupBy("side", "feature", "value").agg(F.count(F.lit(1)).alias("n"))
     # Distinct values are combined first, so no group's value set is held by one task.
     distinct = per_value.groupBy("side", "feature").agg(
@@ -262,7 +268,23 @@ def data_summary(features: DataFrame, columns: Sequence[str], baseline: str,
     moments = long.groupBy("side", "feature").agg(
         F.count("value").alias("n_known"), F.min("value").alias("smallest"),
         F.max("value").alias("largest"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"))
+        F.stddev_samp("value").alias("std"),
+        F.percentile_approx("value", [0.25, 0.5, 0.75], 10_000).alias("quartiles"),
+        F.concat_ws("/", wide_sum(row_hash(["_row", "value"])),
+                    wide_sum(F.xxhash64(F.lit(1), "_row", row_hash(["value"])))).alias("_print"))
+    # One row per side and feature by now.
+    position = F.array_position(F.array(*map(F.lit, columns)), F.col("feature"))
+    equal = Window.partitionBy("side", "_print")
+    first = F.min_by("feature", position).over(equal)
     return distinct.join(moments, ["side", "feature"]).withColumn(
         "null_share", 1 - F.col("n_known") / F.col("n_rows")).withColumn(
-        "is_constant", F.col("n_distinct") <= 1)
+        "is_constant", F.col("n_distinct") <= 1).withColumn(
+        "duplicate_of", F.when(first != F.col("feature"), first)).drop("_print")
+
+
+def repeated_rows(features: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """snapshot_date, n_rows, n_repeated: rows of a month that equal an earlier one in all `columns`."""
+    per_row = features.groupBy("snapshot_date", *[F.col(f"`{c}`") for c in columns if c != "snapshot_date"]).agg(
+        F.count(F.lit(1)).alias("n"))
+    return per_row.groupBy("snapshot_date").agg(
+        F.sum("n").alias("n_rows"), F.sum(F.col("n") - 1).alias("n_repeated"))

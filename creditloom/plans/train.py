@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
@@ -9,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom import schemas, session
-from creditloom.operators import models
+from creditloom.functions.fingerprint import fingerprints
+from creditloom.operators import leaves, models
 from creditloom.operators.align import (
     Windows, align_offset, expanding_folds, split_stats, temporal_split)
 from creditloom.operators.metrics import classification_metrics
@@ -34,9 +36,12 @@ def split_metrics(scored: DataFrame, score: str = "score") -> dict[str, float]:
 
 def fit(frame: DataFrame, kind: str, train_date: str, tt_months: int = 12, draws: int = 40,
         folds: int = 3, space: Mapping[str, Sequence] = models.SEARCH_SPACE,
-        parallelism: int = 4, columns: Sequence[str] | None = None) -> models.Artefact:
+        parallelism: int | None = None, columns: Sequence[str] | None = None,
+        ledger: models.SearchLedger | None = None) -> models.Artefact:
     """Fits one model kind on the train split, calibrates trees on the test split, and measures
-    all splits. The out-of-time rows are never fitted on."""
+    all splits. The out-of-time rows are never fitted on. Finished fits of the search are kept in
+    the `ledger`."""
+    values = None
     columns = list(columns or schemas.feature_columns(
         c for c in frame.columns if c != "split"))
     train = frame.where(F.col("split") == "train")
@@ -52,13 +57,15 @@ def fit(frame: DataFrame, kind: str, train_date: str, tt_months: int = 12, draws
             expanding_folds(prepare.transform(train).select(
                 "Customer_ID", "snapshot_date", "label", "features"), folds), "vectors")
         points = models.draw_parameters(draws, space=space)
-        params = points[0] if len(points) == 1 else models.temporal_search(
-            vectors, points, folds, parallelism=parallelism)[0][0]
+        params = models.temporal_search(
+            vectors, points, folds, parallelism=parallelism, ledger=ledger)[0][0]
         model = models.gbt(params).fit(vectors)
+        if leaves.regularised(params):
+            values = leaves.newton(model, vectors, params)
         pipeline = PipelineModel([*prepare.stages, model])
     artefact = models.Artefact(
         models.version(kind, train_date, tt_months), kind, columns,
-        pipeline, models.importance_values(model), params=dict(params),
+        pipeline, models.importance_values(model), leaf_values=values, params=dict(params),
         dates={"train_date": train_date, "tt_months": str(tt_months)})
 
     raw, _ = session.stage(
@@ -111,9 +118,13 @@ def train(spark: SparkSession, root: str, train_date: str, tt_months: int = 12,
         tables.read_table(spark, tables.table_path(root, "gold", "feature_store")),
         tables.read_table(spark, tables.table_path(root, "gold", "label_store")), windows)
     stats = {r["split"]: r for r in split_stats(frame).collect()}
+    # Fits of a search count only for the rows they were made on.
+    data = zlib.crc32(fingerprints(frame).first()["fingerprint"].encode())
     artefacts = []
     for kind in kinds:
-        artefact = fit(frame, kind, train_date, tt_months, **options)
+        ledger = models.SearchLedger(spark, tables.table_path(
+            root, "ops", f"search_ledger/{models.version(kind, train_date, tt_months)}/data={data}"))
+        artefact = fit(frame, kind, train_date, tt_months, ledger=ledger, **options)
         artefact.dates.update({k: str(v) for k, v in vars(windows).items()})
         artefact.dates.update({f"rows_{k}": str(r["n"]) for k, r in stats.items()})
         artefact.save(spark, root)

@@ -27,7 +27,7 @@ def rows_of(df):
 def test_fingerprints_see_rows_not_their_order(spark):
     rows = [("2024-01-01", "a", None), ("2024-01-01", "b", "x"), ("2024-02-01", None, "a")]
     one = lambda r: {x.snapshot_date: x.fingerprint for x in changes.fingerprints(
-        spark.createDataFrame(r, "snapshot_date string, p string, q string")).collect()}
+        spark.createDataFrame(r, "snapshot_date string, p string, q string"), "snapshot_date").collect()}
     base = one(rows)
     assert one(rows[::-1]) == base
     assert one([*rows, rows[0]])["2024-01-01"] != base["2024-01-01"]  # repeated rows count

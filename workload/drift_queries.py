@@ -261,6 +261,32 @@ def r11(spark, sf):
         F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "is_constant")
 
 
+@query("r11_profile", " union all ".join(f"""
+    select '{side}' as side, feature,
+           case when feature = 'fe_copy' then 'fe_3' end as duplicate_of, count(value) as n_known,
+           0 as n_outside from (
+      select snapshot_date, feature, value from t_feature_long
+      union all select snapshot_date, 'fe_copy', value from t_feature_long where feature = 'fe_3') x
+    where snapshot_date = date '{d}' group by feature""" for side, d in _SUMMARY_SIDES.items()))
+def r11_profile(spark, sf):
+    """Equal columns are found (one is planted), and the sketched quartiles have exact ranks within one
+    in a thousand rows of theirs."""
+    clicks = Inputs(spark, sf).clickstream.withColumn("fe_copy", F.col("fe_3"))
+    columns = [*FE, "fe_copy"]
+    found = operate.data_summary(clicks, columns, *_SUMMARY_SIDES.values())
+    side = F.when(F.col("snapshot_date") == F.lit(_SUMMARY_SIDES["baseline"]).cast("date"), "baseline").when(
+        F.col("snapshot_date") == F.lit(_SUMMARY_SIDES["current"]).cast("date"), "current")
+    rows = drift.feature_long(clicks, columns).withColumn("side", side).where("side is not null and value is not null")
+    outside = F.lit(0)
+    for k, p in enumerate((0.25, 0.5, 0.75)):
+        q, n = F.col("quartiles")[k], F.count("value")
+        below, upto = F.sum(F.when(F.col("value") < q, 1).otherwise(0)), F.sum(F.when(F.col("value") <= q, 1).otherwise(0))
+        outside = outside + ((below > n * p + n * 1e-3 + 1) | (upto < n * p - n * 1e-3 - 1)).cast("int")
+    ranked = rows.join(found, ["side", "feature"]).groupBy("side", "feature").agg(outside.alias("n_outside"))
+    return found.join(ranked, ["side", "feature"], "left").select(
+        "side", "feature", "duplicate_of", "n_known", F.coalesce("n_outside", F.lit(0)).alias("n_outside"))
+
+
 # --- calendar rules ------------------------------------------------------------------------------
 
 ORDER_MONTHS = """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -53,6 +55,32 @@ def m1_frequencies(spark, sf):
     return encode.label_frequencies(Inputs(spark, sf).financial_values, FINANCIAL_CATEGORIES)
 
 
+_OPEN = ["Credit_Mix", "payment_behaviour_value"]
+
+
+@query("m1_open_vocabulary", " union all ".join(f"""
+    select '{c}' as "column", snapshot_date, count(*) as n,
+           cast(sum(case when v.label is null then 1 else 0 end) as bigint) as n_unseen,
+           cast(sum(case when v.label is null then 1 else 0 end) as bigint) as n_other
+    from (select snapshot_date, coalesce({c}, 'unknown') as label from t_financial_values) r
+    left join (select coalesce({c}, 'unknown') as label from t_financial_values
+               where snapshot_date <= date '1996-12-01' group by 1
+               order by count(*) desc, 1 limit 2) v on v.label = r.label
+    group by snapshot_date""" for c in _OPEN))
+def m1_open(spark, sf):
+    """The two most frequent labels of a training window name columns; all other rows, per month, are
+    counted as unseen and have a one in the `other` column."""
+    rows = Inputs(spark, sf).financial_values.select(*KEYS, *_OPEN)
+    counts, _ = session.stage(encode.label_counts(rows, _OPEN), "labels")
+    window = counts.where(F.col("snapshot_date") <= F.lit("1996-12-01").cast("date"))
+    vocabulary, _ = session.stage(encode.frequent_labels(window, _OPEN, 2), "vocabulary")
+    unseen = encode.unseen_labels(counts, vocabulary)
+    encoded = encode.one_hot(rows, encode.vocabulary_of(vocabulary), other=True)
+    others = encoded.groupBy("snapshot_date").agg(*[F.sum(f"{c}_other").alias(c) for c in _OPEN]).unpivot(
+        ["snapshot_date"], _OPEN, "column", "n_other")
+    return unseen.join(others, ["snapshot_date", "column"]).select("column", "snapshot_date", "n", "n_unseen", "n_other")
+
+
 @query("m1_one_hot_occupation", f"""
     select Customer_ID, snapshot_date, {one_hot_sql(["Occupation"])} from t_attributes""")
 def m1_occupation(spark, sf):
@@ -226,23 +254,27 @@ def m6(spark, sf):
 
 # --- fitted models -------------------------------------------------------------------------------
 
-SMALL_FEATURES = ["loan_amt", "tenure", "Outstanding_Debt", "Num_of_Loan", "Annual_Income", *FE[:5]]
+FEATURES = _ALL  # every column of the feature store
 SMALL_TREES = {"n_estimators": [10], "max_depth": [2, 3], "learning_rate": [0.1],
                "subsample": [0.8, 1.0], "colsample_bytree": [0.8, 1.0]}
 
 
+@cache
+def _training_rows(application_id: str, spark, sf: str):
+    x = Inputs(spark, sf)
+    features = gold.build_feature_store(
+        x.lms, clean.clean_financials(x.raw("financials")), x.attributes, x.loan_type, x.clickstream)
+    return train.training_frame(features, x.labels, align.Windows.before(TRAIN_DATE, tt_months=24))
+
+
 def training_rows(x: Inputs):
-    """A training frame over all customers: application, history and finances known by then."""
-    known = pit.as_of(x.applications, {"financials": x.financial_values.select(
-        *KEYS, "Outstanding_Debt", "Num_of_Loan", "Annual_Income")}, x.clickstream, FE[:5])
-    filled = impute.median_impute(known, SMALL_FEATURES)
-    return train.training_frame(filled, x.labels, align.Windows.before(TRAIN_DATE, tt_months=24))
+    """The training frame over the whole feature store, made once a session."""
+    return _training_rows(x.spark.sparkContext.applicationId, x.spark, x.sf_dir)
 
 
 def fitted(x: Inputs, kind: str, draws: int = 1):
     rows = training_rows(x)
-    return rows, train.fit(rows, kind, TRAIN_DATE, 24, draws=draws, space=SMALL_TREES,
-                           columns=SMALL_FEATURES)
+    return rows, train.fit(rows, kind, TRAIN_DATE, 24, draws=draws, space=SMALL_TREES, columns=FEATURES)
 
 
 def result_rows(spark, artefact):
@@ -254,18 +286,18 @@ def result_rows(spark, artefact):
 @query("m7_logreg_balanced")
 def m7(spark, sf):
     rows = training_rows(Inputs(spark, sf)).where(F.col("split") == "train")
-    model = models.fit_logreg(models.inputs(rows, models.fit_scaler(rows, SMALL_FEATURES)))
-    values = [*zip(SMALL_FEATURES, map(float, model.coefficients)), ("intercept", model.intercept)]
+    model = models.fit_logreg(models.inputs(rows, models.fit_scaler(rows, FEATURES)))
+    values = [*zip(FEATURES, map(float, model.coefficients)), ("intercept", model.intercept)]
     return spark.createDataFrame(values, "term string, coefficient double")
 
 
 @query("m7_gradient", "select unnest([" + ", ".join(
-    f"'{c}'" for c in [*SMALL_FEATURES, "intercept"]) + "]) as term, true as at_minimum")
+    f"'{c}'" for c in [*FEATURES, "intercept"]) + "]) as term, true as at_minimum")
 def m7_gradient(spark, sf):
     """Every partial derivative of the penalised loss at the fitted coefficients is zero, up to a
     thousandth of the rows it sums over."""
     rows = training_rows(Inputs(spark, sf)).where(F.col("split") == "train")
-    vectors = models.inputs(rows, models.fit_scaler(rows, SMALL_FEATURES))
+    vectors = models.inputs(rows, models.fit_scaler(rows, FEATURES))
     model = models.fit_logreg(vectors)
     weighted, n = models.balanced_weights(vectors)
     x = vector_to_array("features")
@@ -273,9 +305,9 @@ def m7_gradient(spark, sf):
     for i, w in enumerate(model.coefficients):
         z = z + F.lit(float(w)) * x[i]
     error = F.col("class_weight") * (models.sigmoid(z) - F.col("label"))
-    sums = weighted.agg(*[F.sum(error * x[i]).alias(c) for i, c in enumerate(SMALL_FEATURES)],
+    sums = weighted.agg(*[F.sum(error * x[i]).alias(c) for i, c in enumerate(FEATURES)],
                         F.sum(error).alias("intercept"))
-    penalty = dict(zip(SMALL_FEATURES, map(float, model.coefficients)), intercept=0.0)
+    penalty = dict(zip(FEATURES, map(float, model.coefficients)), intercept=0.0)
     flat = F.array(*[F.struct(F.lit(c).alias("term"),
                               (F.abs(F.col(c) + w) < 1e-3 * n).alias("at_minimum"))
                      for c, w in penalty.items()])
@@ -285,7 +317,7 @@ def m7_gradient(spark, sf):
 @query("m8_boosted_trees")
 def m8(spark, sf):
     rows = training_rows(Inputs(spark, sf)).where(F.col("split") == "train")
-    vectors = models.inputs(rows, models.fit_scaler(rows, SMALL_FEATURES))
+    vectors = models.inputs(rows, models.fit_scaler(rows, FEATURES))
     model = models.gbt({"n_estimators": 10, "max_depth": 3, "subsample": 0.8}).fit(vectors)
     scored = model.transform(vectors).select(
         *KEYS, vector_to_array("probability")[1].alias("model_predictions"))
@@ -295,7 +327,7 @@ def m8(spark, sf):
 @query("m9_random_search_temporal_cv")
 def m9(spark, sf):
     rows = training_rows(Inputs(spark, sf)).where(F.col("split") == "train")
-    vectors = models.inputs(rows, models.fit_scaler(rows, SMALL_FEATURES)).select(
+    vectors = models.inputs(rows, models.fit_scaler(rows, FEATURES)).select(
         *KEYS, "label", "features")
     folded, _ = session.stage(align.expanding_folds(vectors), "vectors")
     ranked = models.temporal_search(folded, models.draw_parameters(2, space=SMALL_TREES))
