@@ -59,6 +59,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def kept_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared root that is deleted when the Python process ends."""
+    path = scratch_path(spark, name)
+    atexit.register(_forget, spark, path)
+    return path
+
+
 def stage(df: DataFrame, name: str = "stage") -> tuple[DataFrame, int]:
     """Write `df` to the shared folder and read it back; also return its row count.
 
