@@ -8,28 +8,34 @@ is aligned exactly inside its band.
 
 Texts are compared in lower case with every run of characters other than letters and digits as one
 blank; positions returned are those of the original text, in characters. The edit budget is a tenth
-of the item, less for short items so that the lemma still asks for `LEAST` common q-grams.
+of the item, less for short items so that the lemma still asks for `LEAST` common q-grams, and none
+for items under 19 characters. An item that is shorter than a q-gram is found where it stands as whole
+words.
 
-Defined results: null and empty texts match nothing; items of fewer than `MIN_ITEM` characters are not
-searched, because any text holds them; of equally good places of one item in one row the first is
+The benchmark is cut into parts by hash, which tasks write to the shared folder. A task reads its
+documents once and holds one part of the benchmark at a time; the driver holds none of it.
+
+Defined results: null and empty texts match nothing; of equally good places of one item in one row the first is
 returned; repeated rows match each on its own; with an empty table on either side nothing is found.
 """
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import kept_folder
 from . import common
 from .registry import query
 
 Q = 8
 LEAST = 4
-MIN_ITEM = 24
 BUDGET = 10  # one edit in so many characters
-BLOCK_CHARS = 8 << 20  # benchmark text that one pass carries; a larger benchmark takes several
+BLOCK_CHARS = 8 << 20  # benchmark text that a task holds at a time
 PROBE_BITS = 22
 _STEP = np.int64(1) << np.int64(32)
 
@@ -88,10 +94,13 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]]):
         self.ids, self.chars = [], []
+        self.words: dict[bytes, list[int]] = {}  # items shorter than a q-gram
         hashes, item, place = [], [], []
         for key, text in items:
             chars, _ = normal(text or "")
-            if len(chars) < MIN_ITEM:
+            if len(chars) < Q:
+                if len(chars):
+                    self.words.setdefault(chars.tobytes(), []).append(key)
                 continue
             g = grams(chars)
             hashes.append(g)
@@ -116,6 +125,19 @@ class Index:
     def _slot(hashes: np.ndarray) -> np.ndarray:
         return (hashes >> np.uint64(64 - PROBE_BITS)).astype(np.int64)
 
+    def whole_words(self, chars: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(item id, first start, end, places) of the shortest items that stand as whole words in one text."""
+        if not self.words or not len(chars):
+            return []
+        blank = np.concatenate([[-1], np.flatnonzero(chars == 32), [len(chars)]])
+        first, ends = blank[:-1] + 1, set(blank.tolist())
+        found: dict[bytes, list[int]] = {}
+        for size in {len(w) // 4 for w in self.words}:
+            for at in first[first + size <= len(chars)].tolist():
+                if at + size in ends and (piece := chars[at: at + size].tobytes()) in self.words:
+                    found.setdefault(piece, []).append(at)
+        return [(key, min(at), min(at) + len(w) // 4, len(at)) for w, at in found.items() for key in self.words[w]]
+
     def regions(self, chars: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(row, item, band, common q-grams) of every band that meets the bound; `bounds` are the
         borders of the rows in `chars`."""
@@ -205,16 +227,46 @@ def matches(index: Index, texts: list[str]) -> list[tuple[int, int, int, int, in
     for (row, item), (edits, start, end, ends) in sorted(best.items()):
         at = folded[row][1]
         out.append((row, index.ids[item], int(at[start]), int(at[end - 1]) + 1, edits, len(ends)))
+    for row, (chars_, at) in enumerate(folded):
+        out += [(row, key, int(at[start]), int(at[end - 1]) + 1, 0, n) for key, start, end, n in index.whole_words(chars_)]
     return out
 
 
-def _blocks(benchmark: DataFrame):
-    """Parts of the benchmark that fit one pass."""
+def write_parts(benchmark: DataFrame) -> tuple[str, list[int]]:
+    """(folder, parts): the benchmark in files of about `BLOCK_CHARS` characters, written by tasks. The
+    folder goes when the Python process ends."""
+    spark = benchmark.sparkSession
     total = int(benchmark.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0)
     n = total // BLOCK_CHARS + 1
-    for k in range(n):
-        part = benchmark if n == 1 else benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield [(r[0], r[1]) for r in part.select("item_id", "text").collect()]
+    folder = kept_folder(spark, "benchmark")
+
+    def write(batches):
+        held: dict[int, list] = {}
+        for batch in batches:
+            for part, key, text in zip(*(c.to_pylist() for c in batch.columns)):
+                held.setdefault(part, []).append((key, text))
+        for part, items in held.items():
+            items.sort(key=lambda x: (x[0] is not None, x[0] or 0, x[1] or ""))
+            common.write_file(f"{folder}/{part}", json.dumps(items).encode())
+            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32())})
+
+    dealt = benchmark.select(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)).cast("int").alias("part"),
+                             F.col("item_id").cast("long").alias("item_id"), "text")
+    parts = dealt.repartition(n, "part").mapInArrow(write, "part int")
+    return folder, sorted(r[0] for r in parts.collect())
+
+
+class Parts:
+    """The parts of a benchmark in a task, of which the last one used is kept."""
+
+    def __init__(self, folder: str, parts: list[int]):
+        self.folder, self.parts, self.held = folder, parts, (None, None)
+
+    def __iter__(self):
+        for part in self.parts:
+            if self.held[0] != part:
+                self.held = part, Index(json.loads(common.read_file(f"{self.folder}/{part}")))
+            yield self.held[1]
 
 
 def _groups(batch: pa.RecordBatch, column: int):
@@ -227,40 +279,38 @@ def _groups(batch: pa.RecordBatch, column: int):
 
 def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, start, end, edits, regions for every item found in a row of `docs`."""
-    schema = "doc_id long, item_id long, start long, end long, edits long, regions long"
-    result = None
-    for items in _blocks(benchmark):
-        def run(batches, items=items):
-            index = Index(items)
-            for batch in batches:
-                keys = batch.column(0)
+    folder, parts = write_parts(benchmark)
+    names = ["doc_id", "item_id", "start", "end", "edits", "regions"]
+
+    def run(batches):
+        indexes = Parts(folder, parts)
+        for batch in batches:
+            keys = batch.column(0)
+            for index in indexes:
                 rows = [(keys[i + row].as_py(), *rest) for i, texts in _groups(batch, 1)
                         for row, *rest in matches(index, texts)]
                 columns = list(zip(*rows)) or [[]] * 6
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in columns],
-                    names=["doc_id", "item_id", "start", "end", "edits", "regions"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
-        part = docs.select("doc_id", "text").mapInArrow(run, schema)
-        result = part if result is None else result.unionByName(part)
-    return result
+    return docs.select("doc_id", "text").mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `docs` in which no item is found, all columns unchanged: no shuffle."""
     text = docs.columns.index("text")
-    for items in _blocks(benchmark):
-        def run(batches, items=items):
-            index = Index(items)
-            for batch in batches:
-                keep = np.ones(batch.num_rows, bool)
+    folder, parts = write_parts(benchmark)
+
+    def run(batches):
+        indexes = Parts(folder, parts)
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            for index in indexes:
                 for i, texts in _groups(batch, text):
                     for row, *_ in matches(index, texts):
                         keep[i + row] = False
-                yield batch.filter(pa.array(keep))
+            yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    return docs.mapInArrow(run, docs.schema)
 
 
 @query("op7_decontamination")

@@ -41,13 +41,13 @@ class Band:
 # word list, number dump or encoded blob falls out at the low end of characters per token, a text
 # of few repeated words at the low end of entropy.
 LANGUAGE_BANDS = {
-    "en": Band(1.5, 7.0, 0.05, 0.45),
+    "en": Band(1.6, 7.0, 0.05, 0.45),
     "de": Band(1.4, 7.0, 0.05, 0.45),
     "fr": Band(1.3, 7.0, 0.05, 0.45),
     "es": Band(1.3, 7.0, 0.05, 0.45),
 }
 SCRIPT_BANDS = {
-    "latin": Band(1.2, 8.0, 0.10, 0.40),
+    "latin": Band(1.3, 8.0, 0.10, 0.40),
     "other": Band(0.25, 4.0, 0.80, 0.35),
 }
 

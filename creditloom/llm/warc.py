@@ -191,7 +191,7 @@ def entries(scope: Scope, folder: str, block_bytes: int = BLOCK_BYTES) -> DataFr
                 ("file", pa.string()), ("size", pa.int64()), ("at", pa.int64()), ("exit", pa.int64())]))
 
     listed = scope.table(blocks(spark, folder, block_bytes), "blocks")
-    n = max(1, listed.count())
+    n = max(1, min(MOST_TASKS, listed.count()))  # several blocks a task in a large archive
     claims = scope.table(listed.repartition(n).mapInArrow(
         scan, "file string, size long, at long, exit long"), "claims")
     reached = scope.table(claims.where("at = 0").select("file", "at"), "reached")
@@ -211,12 +211,13 @@ def entries(scope: Scope, folder: str, block_bytes: int = BLOCK_BYTES) -> DataFr
         "file", "size", (F.col("at") - F.col("at") % block_bytes).alias("start"), F.col("at").alias("entry"))
 
 
+MOST_TASKS = 20_000
 RECORD = ("file string, offset long, page_id long, url string, record_type string, payload_digest string, "
           "payload_bytes long, refers_to long, payload binary")
 
 
 def read(scope: Scope, folder: str, block_bytes: int = BLOCK_BYTES, payload: bool = True) -> DataFrame:
-    """Every true record of the archives, one task a block; the digest of a response is computed
+    """Every true record of the archives, blocks dealt over tasks; the digest of a response is computed
     from the payload read. Without `payload` that column is null."""
     names = [c.split()[0] for c in RECORD.split(", ")]
     schema = pa.schema(list(zip(names, [
@@ -257,7 +258,7 @@ def read(scope: Scope, folder: str, block_bytes: int = BLOCK_BYTES, payload: boo
                     [pa.array(c, t.type) for c, t in zip(zip(*rows), schema)], schema=schema)
 
     starts = scope.table(entries(scope, folder, block_bytes), "entries")
-    return starts.repartition(max(1, starts.count())).mapInArrow(parse, RECORD)
+    return starts.repartition(max(1, min(MOST_TASKS, starts.count()))).mapInArrow(parse, RECORD)
 
 
 def check_counts(written: DataFrame, records: DataFrame) -> None:
