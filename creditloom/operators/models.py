@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import random
 from collections.abc import Mapping, Sequence
@@ -130,10 +131,8 @@ LEDGER = "point string, fold int, auc double"
 
 
 class SearchLedger:
-    """Finished fits of a search, one small file each, so that a search that stops goes on where it was.
-
-    A fit that two drivers did has two equal rows; the mean does not change by that.
-    """
+    """Finished fits of a search, so that a search that stops goes on where it was. Each has a folder of
+    its own, because fits end in several threads, and a write into a shared one would end the others'."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
@@ -148,7 +147,9 @@ class SearchLedger:
         return empty if found is None else found.select(empty.columns).distinct()
 
     def add(self, point: Mapping, fold: int, auc: float) -> None:
-        self.spark.createDataFrame([(self.key(point), fold, float(auc))], LEDGER).coalesce(1).write.mode("append").parquet(self.path)
+        fit = f"{hashlib.sha256(self.key(point).encode()).hexdigest()[:24]}_{fold}"
+        self.spark.createDataFrame([(self.key(point), fold, float(auc))], LEDGER).coalesce(1).write.mode(
+            "overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.path}/fit={fit}")
 
     def best(self, folds: int) -> DataFrame:
         """point, n_folds, mean_auc of the points with all folds, best first, ties by the point's text."""

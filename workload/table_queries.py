@@ -6,9 +6,10 @@ from functools import cache
 
 from pyspark.sql import functions as F
 
-from creditloom import session
-from creditloom.operators import metrics, models
-from creditloom.plans import gold, ingest, operate, train
+from creditloom import schemas, session
+from creditloom.functions.fingerprint import fingerprints
+from creditloom.operators import encode, metrics, models, sketches
+from creditloom.plans import changes, gold, ingest, ledger, operate, train
 from creditloom.sources import calendar, tables
 from creditloom.sources.registry import SOURCES, read_raw_csv, source
 from workload.inputs import Inputs
@@ -362,3 +363,104 @@ def b6_counts(spark, sf):
         "model_name", "snapshot_date").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(score.between(0, 1)).alias("n_in_range"),
         F.count_if((score >= 0.5) == (label == 1)).alias("n_verdicts"))
+
+
+_CHANGED = {"attributes": "1995-06-01", "lms": "1998-03-01"}
+
+
+@query("b8_change_plan", f"""
+    select 'bronze/attributes' as "table", date '{_CHANGED["attributes"]}' as snapshot_date
+    union all select 'silver/attributes', date '{_CHANGED["attributes"]}'
+    union all select 'bronze/lms', date '{_CHANGED["lms"]}'
+    union all select 'silver/lms', date '{_CHANGED["lms"]}'
+    union all select distinct 'gold/label_store', snapshot_date from t_labels
+              where snapshot_date = date '{_CHANGED["lms"]}'
+    union all select distinct 'gold/feature_store', snapshot_date from t_applications
+              where snapshot_date >= date '{_CHANGED["attributes"]}'
+    union all select distinct 'gold/model_predictions', cast(snapshot_date + to_months(6) as date)
+              from t_applications where snapshot_date >= date '{_CHANGED["attributes"]}'
+    union all
+    select distinct 'gold/model_monitoring', cast(snapshot_date + to_months(6) as date) from t_applications
+    where snapshot_date >= date '{_CHANGED["attributes"]}'
+       or cast(snapshot_date + to_months(6) as date) in (
+          date '{_CHANGED["lms"]}', cast(date '{_CHANGED["lms"]}' - to_months(6) as date))""")
+def b8_plan(spark, sf):
+    """One month of two raw tables is altered: found by fingerprints of all raw rows, and followed to all
+    months that read them."""
+    x = Inputs(spark, sf)
+    altered = {"attributes": ("Age", "55"), "lms": ("balance", "0")}
+
+    def prints(change: bool):
+        out = None
+        for name in SOURCES:
+            rows = x.raw(name).select(*source(name).schema.names)
+            if change and name in altered:
+                column, value = altered[name]
+                rows = rows.withColumn(column, F.when(
+                    F.col("snapshot_date").cast("date") == F.lit(_CHANGED[name]).cast("date"), value).otherwise(F.col(column)))
+            part = fingerprints(rows, "snapshot_date").select(
+                F.lit(name).alias("source"), F.col("snapshot_date").cast("date").alias("snapshot_date"), "fingerprint")
+            out = part if out is None else out.unionByName(part)
+        return session.stage(out, "fingerprints")[0]
+    before = prints(False)
+    found = changes.changed(prints(True), before)
+    return changes.plan(found, changes.month_calendars(before.select("source", "snapshot_date"), x.lms))
+
+
+@query("b7_monitor_counts", """
+    select cast(snapshot_date + to_months(6) as date) as snapshot_date, count(*) as n_scored, true as sound
+    from t_applications group by 1""")
+def b7_counts(spark, sf):
+    """Every scored month of the champion has its row: volume as scored, mean recomputed from the stored
+    predictions, no drift in the first month, and metrics within their ranges."""
+    w = warehouse(spark, sf, "all_monitoring")
+    predicted = w.table("gold", "model_predictions").groupBy("model_name", "snapshot_date").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("model_predictions").alias("mean"))
+    rows = w.table("gold", "model_monitoring").join(predicted, ["model_name", "snapshot_date"])
+    first = rows.agg(F.min("snapshot_date").alias("first"))
+    inside = [F.coalesce(F.col(c).between(0, 1), F.lit(True)) for c in ("auc", "brier", "precision", "recall", "f1")]
+    sound = (F.col("n") == F.col("n_scored")) & (F.abs(F.col("mean") - F.col("mean_score")) < 1e-4)
+    for check in inside:
+        sound = sound & check
+    start = F.col("snapshot_date") == F.lit(first.first()["first"])
+    return rows.select("snapshot_date", "n_scored", (sound & (~start | (F.col("psi") == 0)) & (F.col("psi") >= 0)).alias("sound"))
+
+
+@query("s14_run_ledger", """
+    select snapshot_date, 'collapsed:applications' as metric, count(*) - count(distinct Customer_ID) as n
+    from t_lms where mob = 0 group by 1
+    union all select snapshot_date, 'collapsed:attributes', count(*) - count(distinct Customer_ID) from t_attributes group by 1
+    union all select snapshot_date, 'unlabelled', cast(0 as bigint) from t_labels group by 1
+    union all select snapshot_date, 'unseen:Occupation',
+              cast(sum(case when coalesce(Occupation, 'unknown') not in ('BUILDING', 'unknown') then 1 else 0 end) as bigint)
+    from t_attributes group by 1""")
+def s14_ledger(spark, sf):
+    """Counts that a run keeps by month, written and read back."""
+    x, root = Inputs(spark, sf), session.scratch_path(spark, "mart")
+    vocabulary = encode.vocabulary_table(spark, {"Occupation": ["BUILDING", "unknown"]})
+    ledger.keep(ledger.audit(x.lms, {"attributes": x.attributes}, x.labels, vocabulary, {"attributes": ["Occupation"]}),
+                root, "feature_store", "run")
+    return ledger.read(spark, root).select("snapshot_date", "metric", "n")
+
+
+@query("p17_stored_sketches", " union all ".join(
+    f"select '{c}' as \"column\", snapshot_date, count({c}) as n, 0 as n_outside from t_clickstream group by 2"
+    for c in schemas.FE_COLUMNS))
+def p17_sketches(spark, sf):
+    """Median and tail of every month from its stored sketch: their exact ranks are within the bound."""
+    clicks = Inputs(spark, sf).clickstream
+    path = session.scratch_path(spark, "sketches")
+    tables.overwrite_partitions(sketches.month_sketches(clicks, schemas.FE_COLUMNS), path)
+    points = [0.5, 0.97]
+    found = sketches.quantiles(tables.read_table(spark, path), points, ["snapshot_date", "column"])
+    counts = clicks.select("snapshot_date", *[F.col(c).cast("double").alias(c) for c in schemas.FE_COLUMNS]).unpivot(
+        ["snapshot_date"], schemas.FE_COLUMNS, "column", "value").where("value is not null")
+    outside = F.lit(0)
+    for k, p in enumerate(points):
+        q, slack = F.col("quantiles")[k], F.col("n") * sketches.rank_error() + 1
+        below, upto = F.count_if(F.col("value") < q), F.count_if(F.col("value") <= q)
+        n = F.first("n")
+        outside = outside + ((below > n * p + F.first(slack)) | (upto < n * p - F.first(slack))).cast("int")
+    checked = counts.join(found, ["snapshot_date", "column"]).groupBy("snapshot_date", "column").agg(outside.alias("n_outside"))
+    return found.join(checked, ["snapshot_date", "column"], "left").select(
+        "column", "snapshot_date", "n", F.coalesce("n_outside", F.lit(0)).alias("n_outside"))
