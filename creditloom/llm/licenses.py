@@ -64,7 +64,7 @@ TEMPLATES = [
     ("agpl-notice", ["gnu affero general public license"],
      "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
      "Affero General Public License as published by the Free Software Foundation"),
-    ("mit", ["permission is hereby granted free of charge", "substantial portions of the software",
+    ("mit-full", ["permission is hereby granted free of charge", "substantial portions of the software",
              "the software is provided as is"],
      "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
      "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
