@@ -207,20 +207,25 @@ def previous_month(monitoring: DataFrame, months: DataFrame) -> DataFrame:
 
 def previous_month_breach(monitoring: DataFrame, months: DataFrame,
                           threshold: float = DRIFT_THRESHOLD) -> DataFrame:
-    """Per (model_name, ds): whether the month before drifted, PSI checked first, and why."""
+    """Per (model_name, ds): whether the month before drifted, PSI checked first, and why. A model
+    without any monitoring row has no history yet, which is no breach."""
     c = F.col
+    seen = monitoring.select("model_name", F.lit(True).alias("_seen")).distinct()
     before = F.date_format(F.add_months("ds", -1), "yyyy-MM-dd")
     where = F.concat(F.lit(" for "), c("model_name"), F.lit(" at "), before)
     by_psi, by_csi = c("psi") > threshold, c("csi_max") > threshold
+    # Fixed output contract: the texts that alerts are read by.
     message = (
-        F.when(c("snapshot_date").isNull(),
+        F.when(c("_seen").isNull(), F.concat(F.lit("no monitoring history yet for "), c("model_name"),
+                                             F.lit(" (first eligible month)")))
+        .when(c("snapshot_date").isNull(),
                F.concat(F.lit("no monitoring row found"), where))
         .when(by_psi, F.concat(F.format_string(f"PSI=%.4f > {threshold}", "psi"), where))
         .when(by_csi, F.concat(F.format_string(f"CSI=%.4f > {threshold} on '%s'", "csi_max",
                                                F.coalesce("csi_max_feature", F.lit("unknown"))),
                                where))
         .otherwise(F.concat(F.lit("no drift breach"), where)))
-    return previous_month(monitoring, months).select(
+    return previous_month(monitoring, months).join(seen, "model_name", "left").select(
         "model_name", "ds",
         (F.coalesce(by_psi, F.lit(False)) | F.coalesce(by_csi, F.lit(False))).alias("breached"),
         message.alias("message"))

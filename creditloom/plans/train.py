@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from creditloom import schemas, session
 from creditloom.functions.fingerprint import fingerprints
-from creditloom.operators import leaves, models
+from creditloom.operators import impute, leaves, models
 from creditloom.operators.align import (
-    Windows, align_offset, expanding_folds, split_stats, temporal_split)
-from creditloom.operators.metrics import classification_metrics
-from creditloom.operators.scoring import prediction_rows
+    Windows, align_offset, align_same_month, expanding_folds, split_stats, stratified_split,
+    temporal_split)
+from creditloom.operators.metrics import classification_metrics, reliability
+from creditloom.operators.scoring import align_to_model, prediction_rows
 from creditloom.sources import tables
 
 MODEL_KINDS = ("gbt", "logreg")
@@ -93,6 +94,62 @@ def oot_predictions(artefact: models.Artefact, frame: DataFrame) -> DataFrame:
     return prediction_rows(oot, artefact.model_version, F.col("score"))
 
 
+def reliability_table(artefact: models.Artefact, frame: DataFrame, bins: int = 10) -> DataFrame:
+    """model_name, kind (raw, calibrated), bin, n, mean_predicted, observed_rate of the out-of-time
+    rows with an outcome: the two curves of a calibration plot. A model without calibration has the
+    raw one only."""
+    known = frame.where((F.col("split") == "oot") & F.col("label").isNotNull())
+    scores = [F.struct(F.lit("raw").alias("kind"), F.col("raw_score").alias("score"))]
+    if artefact.calibration is not None:
+        slope, intercept = artefact.calibration
+        scores.append(F.struct(F.lit("calibrated").alias("kind"), models.sigmoid(
+            F.col("raw_score") * slope + intercept).alias("score")))
+    rows = artefact.raw_scores(known).select("label", F.inline(F.array(*scores)))
+    return reliability(rows, ["kind"], "score", bins=bins).select(
+        F.lit(artefact.model_version).alias("model_name"), "kind", "bin", "n", "mean_predicted",
+        "observed_rate")
+
+
+def write_reliability(root: str, table: DataFrame):
+    return tables.overwrite_partitions(
+        table, tables.table_path(root, "gold", "model_reliability"), ("model_name",))
+
+
+def same_month_frame(clickstream: DataFrame, labels: DataFrame, windows: Windows,
+                     test_share: float = 0.2) -> DataFrame:
+    """Rows of the early variant, staged: outcomes with the clickstream of their own month, 0 where a
+    customer has none. Months before the out-of-time window are split at random, each label alike;
+    rows without an outcome are left out."""
+    joined = align_same_month(labels.where(F.col("label").isNotNull()), clickstream)
+    filled = impute.fill_constant(joined, 0, [c for c in clickstream.columns if c.startswith("fe_")])
+    date = F.col("snapshot_date")
+    early = filled.where(date.between(F.lit(windows.train_start), F.lit(windows.test_end)))
+    late = filled.where(date.between(F.lit(windows.oot_start), F.lit(windows.oot_end)))
+    return session.stage(stratified_split(early, test_share).unionByName(
+        late.withColumn("split", F.lit("oot"))), "same_month")[0]
+
+
+def fit_same_month(frame: DataFrame, train_date: str, params: Mapping | None = None) -> models.Artefact:
+    """Trees on the clickstream columns of `same_month_frame`, with the metrics of all three splits."""
+    columns = [c for c in frame.columns if c.startswith("fe_")]
+    learn = frame.where(F.col("split") == "train")
+    prepare = models.Pipeline(stages=models.input_stages(models.fit_scaler(learn, columns))).fit(learn)
+    model = models.gbt(params or {}).fit(prepare.transform(learn))
+    artefact = models.Artefact(
+        models.version("clicks", train_date), "gbt", columns, PipelineModel([*prepare.stages, model]),
+        models.importance_values(model), params=dict(params or {}), dates={"train_date": train_date})
+    artefact.results = split_metrics(artefact.raw_scores(frame), "raw_score")
+    return artefact
+
+
+def score_same_month(artefact: models.Artefact, clickstream: DataFrame, month: str) -> DataFrame:
+    """Prediction rows of one month of clickstream, dated by that month."""
+    rows = clickstream.where(F.col("snapshot_date") == F.lit(month).cast("date"))
+    columns = artefact.feature_columns
+    filled = impute.fill_constant(align_to_model(rows, columns), 0, columns)
+    return prediction_rows(artefact.scores(filled), artefact.model_version, F.col("score"))
+
+
 def write_predictions(predictions: DataFrame, root: str):
     return tables.overwrite_partitions(
         predictions, tables.table_path(root, "gold", "model_predictions"),
@@ -130,6 +187,7 @@ def train(spark: SparkSession, root: str, train_date: str, tt_months: int = 12,
         artefact.save(spark, root)
         write_predictions(oot_predictions(artefact, frame), root)
         write_importance(spark, root, artefact)
+        write_reliability(root, reliability_table(artefact, frame))
         artefacts.append(artefact)
     return artefacts
 

@@ -100,6 +100,9 @@ def test_train_score_monitor_alert(spark, mart):
                       "1998-12-01"]
     first = monitored.orderBy("snapshot_date").first()
     assert first["psi"] == 0 and first["csi_max"] == 0 and first["model_name"] == champion
+    curves = {(r["model_name"], r["kind"]): r["n"] for r in mart.table("gold", "model_reliability").groupBy(
+        "model_name", "kind").agg(F.sum("n").alias("n")).collect()}
+    assert len(curves) == 3 and len(set(curves.values())) == 1  # the linear model has no calibration
     assert operate.alert(spark, mart.root).count() == 1
     assert operate.alert(spark, mart.root, "first_row").count() == 1
     watched = operate.watched_features(spark, mart.root, champion).count()

@@ -151,9 +151,11 @@ def test_previous_month_breach(spark):
     rows = spark.createDataFrame([
         ("m", d(1), 0.30, 0.50, "a", None, None, None), ("m", d(2), 0.1, 0.8234, "fe_4", None, None, None),
         ("m", d(4), 0.1, None, None, None, None, None)], MON)
-    months = spark.createDataFrame([("m", d(m)) for m in (2, 3, 4, 5)], "model_name string, ds date")
+    months = spark.createDataFrame([("m", d(m)) for m in (2, 3, 4, 5)] + [("new", d(12))],
+                                   "model_name string, ds date")
     got = {r["ds"].month: (r["breached"], r["message"])
            for r in drift.previous_month_breach(rows, months).collect()}
+    assert got.pop(12) == (False, "no monitoring history yet for new (first eligible month)")
     assert got == {
         2: (True, "PSI=0.3000 > 0.25 for m at 2024-01-01"),
         3: (True, "CSI=0.8234 > 0.25 on 'fe_4' for m at 2024-02-01"),

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from creditloom.operators import drift
+from creditloom import session
+from creditloom.operators import align, drift, metrics, scoring
 from creditloom.plans import operate
 from creditloom.sources import calendar
 from workload.inputs import Inputs
@@ -210,6 +211,32 @@ def r8(spark, sf):
     return drift.breach(table, drift.first_row_brier(table))
 
 
+@query("r8_breach_stored_baseline", """
+    select model_name, snapshot_date,
+           coalesce(psi > 0.25, false) or coalesce(csi_max > 0.25, false)
+             or coalesce(auc_drop > 0.05, false) or coalesce(rise > 0.05, false) as breached,
+           concat_ws('; ', case when psi > 0.25 then printf('PSI=%.4f > 0.25', psi) end,
+                     case when csi_max > 0.25 then printf('CSI_max=%.4f > 0.25', csi_max) end,
+                     case when auc_drop > 0.05 then printf('AUC drop=%.4f > 0.05', auc_drop) end,
+                     case when rise > 0.05 then printf('Brier increase=%.4f > 0.05', rise) end)
+             as reasons
+    from (select l.*, l.brier - b.baseline as rise
+          from (select *, row_number() over (partition by model_name order by snapshot_date desc)
+                       as rn from t_monitoring_rounded) l
+          left join (select model_name, round(avg((score - label) * (score - label)), 4) as baseline
+                     from t_scored_split where split = 'oot' group by 1
+                     having min(label) < max(label)) b on b.model_name = l.model_name
+          where l.rn = 1) x""")
+def r8_stored(spark, sf):
+    """The default rule: the Brier score of the out-of-time rows, as kept at training, is the baseline."""
+    x = Inputs(spark, sf)
+    oot = align.temporal_split(scoring.with_outcomes(x.predictions, x.labels), align.Windows.before(
+        "1998-09-01")).where(F.col("split") == "oot")
+    baseline = metrics.classification_metrics(oot, ["model_name"]).select(
+        "model_name", F.round("brier", 4).alias("baseline_brier"))
+    return drift.breach(monitoring(x, 4), baseline)
+
+
 @query("r9_previous_month_breach", """
     select m.model_name, m.snapshot_date as ds,
            coalesce(p.psi > 0.25, false) or coalesce(p.csi_max > 0.25, false) as breached,
@@ -227,6 +254,34 @@ def r9(spark, sf):
     return drift.previous_month_breach(table, months)
 
 
+_KNOWN = "1995-06-01"
+
+
+@query("r9_no_history_yet", f"""
+    select m.model_name, m.snapshot_date as ds,
+           coalesce(p.psi > 0.25, false) or coalesce(p.csi_max > 0.25, false) as breached,
+           case when h.model_name is null
+                then 'no monitoring history yet for ' || m.model_name || ' (first eligible month)'
+                else case when p.model_name is null then 'no monitoring row found'
+                          when p.psi > 0.25 then printf('PSI=%.4f > 0.25', p.psi)
+                          when p.csi_max > 0.25 then
+                            printf('CSI=%.4f > 0.25 on ''%s''', p.csi_max, p.csi_max_feature)
+                          else 'no drift breach' end || ' for ' || m.model_name || ' at '
+                  || strftime(cast(m.snapshot_date - to_months(1) as date), '%Y-%m-%d') end as message
+    from t_monitoring_rounded m
+    left join (select * from t_monitoring_rounded where snapshot_date <= date '{_KNOWN}') p
+      on p.model_name = m.model_name
+     and cast(p.snapshot_date + to_months(1) as date) = m.snapshot_date
+    left join (select distinct model_name from t_monitoring_rounded
+               where snapshot_date <= date '{_KNOWN}') h on h.model_name = m.model_name""")
+def r9_no_history(spark, sf):
+    """The rule as it answers when monitoring has reached a month in which one model has no scores."""
+    table = session.stage(monitoring(Inputs(spark, sf), 4), "monitoring")[0]
+    months = table.select("model_name", F.col("snapshot_date").alias("ds"))
+    return drift.previous_month_breach(
+        table.where(F.col("snapshot_date") <= F.lit(_KNOWN).cast("date")), months)
+
+
 @query("r10_drift_report_tables", """
     select 'score' as section, model_name as name, snapshot_date, round(psi, 6) as psi,
            case when psi > 0.25 then 'significant' when psi > 0.10 then 'moderate'

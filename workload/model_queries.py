@@ -7,6 +7,7 @@ from functools import cache
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from creditloom import schemas, session
 from creditloom.functions.loans import ENGINEERED
@@ -272,9 +273,15 @@ def training_rows(x: Inputs):
     return _training_rows(x.spark.sparkContext.applicationId, x.spark, x.sf_dir)
 
 
-def fitted(x: Inputs, kind: str, draws: int = 1):
-    rows = training_rows(x)
-    return rows, train.fit(rows, kind, TRAIN_DATE, 24, draws=draws, space=SMALL_TREES, columns=FEATURES)
+@cache
+def _fitted(application_id: str, spark, sf: str, kind: str):
+    rows = training_rows(Inputs(spark, sf))
+    return rows, train.fit(rows, kind, TRAIN_DATE, 24, draws=1, space=SMALL_TREES, columns=FEATURES)
+
+
+def fitted(x: Inputs, kind: str):
+    """The training frame and a model on it, fitted once a session."""
+    return _fitted(x.spark.sparkContext.applicationId, x.spark, x.sf_dir, kind)
 
 
 def result_rows(spark, artefact):
@@ -324,6 +331,42 @@ def m8(spark, sf):
     return scored
 
 
+_TRAIN = "t_aligned where snapshot_date between date '1996-07-01' and date '1998-04-30'"
+
+
+@query("m8_score_counts", f"""
+    select snapshot_date, count(*) as n, count(*) as n_in_range, cast(sum(label) as bigint) as n_pos
+    from {_TRAIN} group by 1""")
+def m8_counts(spark, sf):
+    """The trees score every training row once, with a probability, under its own outcome."""
+    rows = training_rows(Inputs(spark, sf)).where(F.col("split") == "train")
+    return m8(spark, sf).groupBy("snapshot_date").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("model_predictions").between(0, 1)).alias("n_in_range")).join(
+        rows.groupBy("snapshot_date").agg(F.sum("label").alias("n_pos")), "snapshot_date")
+
+
+@query("m9_search_ledger", f"""
+    select fold, count(*) as n_fits, max(n) as n_rows, true as best_first, true as fitted_once from (
+      select unnest([1, 2, 3]) as fold, n from (select count(*) as n from {_TRAIN}) c,
+             (select unnest([1, 2]) as draw) d) x group by fold""")
+def m9_ledger(spark, sf):
+    """A search leaves one row per draw and fold, the best draw is the one with the largest mean in the
+    ledger, and a search that is run again fits nothing."""
+    rows = training_rows(Inputs(spark, sf)).where(F.col("split") == "train")
+    vectors = models.inputs(rows, models.fit_scaler(rows, FEATURES)).select(*KEYS, "label", "features")
+    folded, n = session.stage(align.expanding_folds(vectors), "vectors")
+    book = models.SearchLedger(spark, session.scratch_path(spark, "ledger"))
+    points = models.draw_parameters(2, space=SMALL_TREES)
+    ranked = models.temporal_search(folded, points, ledger=book)
+    files = sorted(book.rows().inputFiles())
+    again = models.temporal_search(folded, points, ledger=book)
+    best = book.best(3).first()
+    return book.rows().groupBy("fold").agg(F.count(F.lit(1)).alias("n_fits")).select(
+        "fold", "n_fits", F.lit(n).cast("long").alias("n_rows"),
+        F.lit(abs(best["mean_auc"] - ranked[0][1]) < 1e-12).alias("best_first"),
+        F.lit(again == ranked and sorted(book.rows().inputFiles()) == files).alias("fitted_once"))
+
+
 @query("m9_random_search_temporal_cv")
 def m9(spark, sf):
     rows = training_rows(Inputs(spark, sf)).where(F.col("split") == "train")
@@ -467,6 +510,63 @@ def m15(spark, sf):
     return models.top_features(table, drift.TOP_FEATURES)
 
 
+@query("m15_importance_ranks", "select unnest([" + ", ".join(f"'{c}'" for c in FEATURES)
+       + f"]) as feature, cast({len(FEATURES)} as bigint) as n_features, true as in_order, true as shares_sum_to_one")
+def m15_ranks(spark, sf):
+    """Every model input has its place: ranks go from 1 to n, none is above a more important one, and the
+    shares sum to one."""
+    _, artefact = fitted(Inputs(spark, sf), "gbt")
+    ranked = models.ranks(models.importance_table(
+        spark, artefact.feature_columns, artefact.importances).withColumn(
+        "model_name", F.lit(artefact.model_version)))
+    # One row per model input.
+    one, by_rank = Window.partitionBy("model_name"), Window.partitionBy("model_name").orderBy("rank")
+    n = F.count(F.lit(1)).over(one)
+    above = F.coalesce(F.lag("importance").over(by_rank), "importance")
+    return ranked.select(
+        "feature", n.alias("n_features"),
+        ((F.max("rank").over(one) == n) & (F.row_number().over(by_rank) == F.col("rank"))
+         & (above >= F.col("importance"))).alias("in_order"),
+        (F.abs(F.sum("importance").over(one) - 1) < 1e-9).alias("shares_sum_to_one"))
+
+
+def same_month(x: Inputs):
+    """The early variant around the training date, with its frame."""
+    windows = align.Windows.before(TRAIN_DATE, tt_months=24)
+    rows = train.same_month_frame(x.clickstream, x.labels, windows)
+    return rows, train.fit_same_month(rows, TRAIN_DATE, {"n_estimators": 10, "max_depth": 2})
+
+
+@query("m16_out_of_time", """
+    select s.split, cast(sum(s.n) as bigint) as n, cast(sum(s.n * label) as bigint) as n_pos, true as in_range
+    from (select label, unnest(['train', 'test']) as split,
+                 unnest([count(*) - ceil(count(*) * 0.2e0), ceil(count(*) * 0.2e0)]) as n
+          from t_labels where snapshot_date between date '1996-07-01' and date '1998-06-30' group by label
+          union all
+          select label, 'oot', count(*) from t_labels
+          where snapshot_date between date '1998-07-01' and date '1998-08-31' group by label) s
+    group by 1""")
+def m16_oot(spark, sf):
+    """Random train and test rows before the out-of-time window, and what is measured on all three."""
+    rows, artefact = same_month(Inputs(spark, sf))
+    names = ("auc", "precision", "recall", "f1", "brier")
+    sound = F.create_map(*[F.lit(v) for s in ("train", "test", "oot") for v in (s, all(
+        0 <= artefact.results[f"{m}_{s}"] <= 1 for m in names if f"{m}_{s}" in artefact.results))])
+    return rows.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("n_pos")).withColumn(
+        "in_range", sound[F.col("split")])
+
+
+@query("m16_raw_month", """
+    select Customer_ID, snapshot_date, 'credit_clicks_1998_09_01' as model_name, true as in_range
+    from t_clickstream where snapshot_date = date '1998-09-01'""")
+def m16_raw(spark, sf):
+    """One month of raw clickstream is cleaned and scored by the early variant."""
+    x = Inputs(spark, sf)
+    clicks = clean.clean_clickstream(x.raw("clickstream"))
+    return train.score_same_month(same_month(x)[1], clicks, "1998-09-01").select(
+        *KEYS, "model_name", F.col("model_predictions").between(0, 1).alias("in_range"))
+
+
 @query("m16_clickstream_only_model")
 def m16(spark, sf):
     """The early variant: same-month clickstream only, random split, trees on fe_ columns."""

@@ -310,6 +310,35 @@ def b5(spark, sf):
         F.explode("results").alias("metric", "value"))
 
 
+@query("b5_split_rows", """
+    select model_name, split, count(*) as n, true as auc_kept from t_split, (
+      select unnest(['credit_gbt_1998_09_01', 'credit_logreg_1998_09_01']) as model_name) m
+    where split is not null group by 1, 2""")
+def b5_rows(spark, sf):
+    """The rows of each split that the registry keeps for a model, and metrics of all three."""
+    kept = models.registry(spark, warehouse(spark, sf, "models").root)
+    rows = kept.select(F.col("model_version").alias("model_name"), "results", F.explode("dates").alias("key", "n")).where(
+        F.col("key").startswith("rows_"))
+    split = F.substring_index("key", "_", -1)
+    return rows.select("model_name", split.alias("split"), F.col("n").cast("long").alias("n"), F.col("results")[
+        F.concat(F.lit("auc_"), split)].between(0, 1).alias("auc_kept"))
+
+
+@query("b5_reliability", """
+    select m.model_name, m.kind, count(*) as n, cast(sum(label) as bigint) as n_pos, true as rising from t_split, (
+      select unnest(['credit_gbt_1998_09_01', 'credit_gbt_1998_09_01', 'credit_logreg_1998_09_01']) as model_name,
+             unnest(['raw', 'calibrated', 'raw']) as kind) m
+    where split = 'oot' group by 1, 2""")
+def b5_reliability(spark, sf):
+    """The calibration table of training holds every out-of-time row once per kind of score, and mean
+    scores rise with the bin."""
+    table = warehouse(spark, sf, "models").table("gold", "model_reliability")
+    bins = F.array_sort(F.collect_list(F.struct("bin", "mean_predicted")))  # at most ten
+    return table.groupBy("model_name", "kind").agg(
+        F.sum("n").alias("n"), F.round(F.sum(F.col("n") * F.col("observed_rate"))).cast("long").alias("n_pos"),
+        (F.array_sort(bins["mean_predicted"]) == bins["mean_predicted"]).alias("rising"))
+
+
 @query("b6_score")
 def b6(spark, sf):
     return warehouse(spark, sf, "all_scores").table("gold", "model_predictions")
