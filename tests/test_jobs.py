@@ -249,3 +249,24 @@ def test_late_outcomes_update_their_months(spark, mart):
     part = rows_of(monitored())
     operate.monitor(spark, mart.root, champion)
     assert rows_of(monitored()) == part
+
+
+def test_landed_tables_are_compressed_and_no_shuffle_file_is_left(spark, mart):
+    def files(folder):
+        return [os.path.join(at, f) for at, _, names in os.walk(folder.removeprefix("file:")) for f in names
+                if f.startswith("part-")]
+
+    landed = files(mart.raw) + files(f"{mart.root}/bronze")
+    assert landed and all(f.endswith(".csv.gz") for f in landed)
+    text = sum(len(",".join(v or "" for v in r)) for r in ingest.read_bronze(spark, mart.root, "lms").collect())
+    assert sum(map(os.path.getsize, files(f"{mart.root}/bronze/lms"))) < text / 2
+    # A month that one bronze file holds is one silver file, written as it was read.
+    for name in registry.SOURCES:
+        assert len(files(f"{mart.root}/silver/{name}")) <= len(files(f"{mart.root}/bronze/{name}"))
+
+    kept = spark.conf.get(session.CLEANUP, "false")
+    with session.freed_shuffles(spark):
+        with session.freed_shuffles(spark):
+            pass
+        assert spark.conf.get(session.CLEANUP) == "true"
+    assert spark.conf.get(session.CLEANUP, "false") == kept
