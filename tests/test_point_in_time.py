@@ -108,3 +108,22 @@ def test_expanding_folds(spark, path, request):
     for b in range(3):
         assert (max(r["snapshot_date"] for r in got if r["block"] == b)
                 <= min(r["snapshot_date"] for r in got if r["block"] == b + 1))
+
+
+def test_only_rows_whose_key_repeats_are_compared(spark, monkeypatch):
+    from creditloom import session
+    rows = [("a", dt.date(2024, 1, 1), 2, "x"), ("a", dt.date(2024, 1, 1), 1, "z"), (None, None, 5, "n"),
+            (None, None, 4, None), ("b", dt.date(2024, 1, 1), 7, "y"), ("a", None, 3, "q")]
+    schema = "Customer_ID string, snapshot_date date, v int, t string"
+    want = {("a", dt.date(2024, 1, 1), 1, "z"), (None, None, 4, None), ("b", dt.date(2024, 1, 1), 7, "y"),
+            ("a", None, 3, "q")}
+    for most in (1_000_000, 0):
+        monkeypatch.setattr(session, "SINGLE_TASK_ROWS", most)
+        got = pit.one_row_per(spark.createDataFrame(rows, schema)).collect()
+        assert len(got) == 4 and {tuple(r) for r in got} == want
+    # Without repeated keys nothing is aggregated, and as_of has no shuffle of whole rows but its own.
+    once = spark.createDataFrame(rows[4:], schema)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan(pit.one_row_per(once))
+    both = pit.as_of(once.select("Customer_ID", "snapshot_date"), {"s": once})
+    assert plan(both).count("Exchange") == 1
