@@ -234,3 +234,30 @@ def test_pipeline_stages_on_odd_and_empty_tables(spark, odd, tmp_path):
                 assert docs.columns == odd.columns
             out = corpus_pipeline.STAGES[-1][1](spark, docs, folder).collect()
         assert (len(out) > 0) == (name == "all")
+
+
+def test_components_count_their_rounds_while_writing(spark, monkeypatch):
+    """Random graphs, a chain, a hub and no edges at all; no round reads its edges again to compare them."""
+    rng = random.Random(4)
+    chain = [(i, i + 1) for i in range(100, 140)]
+    hub = [(200, i) for i in range(201, 230)]
+    loose = [(rng.randrange(300, 360), rng.randrange(300, 360)) for _ in range(45)]
+    edges = chain + hub + loose + [(7, 7)]
+    rng.shuffle(edges)
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    frame = spark.createDataFrame(edges, "a long, b long")
+    monkeypatch.setattr(type(frame), "first", lambda self: pytest.fail("the edges are read again"))
+    with Scope(spark, "components") as scope:
+        got = {r["node"]: r["component"] for r in common.connected_components(scope, frame).collect()}
+        assert got == {x: root(x) for x in parent if root(x) != x}
+        assert common.connected_components(scope, frame.limit(0)).count() == 0
+        assert common.connected_components(scope, frame.where("a = b")).count() == 0
