@@ -261,3 +261,32 @@ def test_components_count_their_rounds_while_writing(spark, monkeypatch):
         assert got == {x: root(x) for x in parent if root(x) != x}
         assert common.connected_components(scope, frame.limit(0)).count() == 0
         assert common.connected_components(scope, frame.where("a = b")).count() == 0
+
+
+def test_components_of_stars_take_one_round(spark, monkeypatch):
+    """Edges that are stars already, in either direction and repeated, are written as they come and once more."""
+    edges = [(i, 1) for i in range(2, 9)] + [(20, i) for i in range(21, 25)] + [(2, 1), (1, 2)]
+    with Scope(spark, "components") as scope:
+        tables, table = [], scope.table
+        monkeypatch.setattr(scope, "table", lambda df, name="stage": tables.append(name) or table(df, name))
+        got = {r["node"]: r["component"] for r in common.connected_components(
+            scope, spark.createDataFrame(edges, "a long, b long")).collect()}
+        assert got == {**{i: 1 for i in range(2, 9)}, **{i: 20 for i in range(21, 25)}}
+        assert len(tables) == 2
+
+
+def test_anchors_hold_little_at_once():
+    """The arrays made for one slice of texts stay small, and slices give the anchors of the whole."""
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    buf, offsets = rng.integers(97, 123, 4 << 20).astype(np.uint8), np.arange(0, (4 << 20) + 1, 1 << 15)
+    common.powers(1)
+    suffix_dedup.anchors(buf[:1000], np.array([0, 1000]))
+    tracemalloc.start()
+    made = 0
+    for i, j in common.row_slices(offsets, suffix_dedup.SLICE):
+        made += len(suffix_dedup.anchors(buf[offsets[i]: offsets[j]], offsets[i: j + 1] - offsets[i])[0])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20
+    assert made == len(suffix_dedup.anchors(buf, offsets)[0])
