@@ -133,3 +133,32 @@ def test_importance(spark):
 def test_model_versions():
     assert models.version("gbt", "2024-09-01") == "credit_gbt_2024_09_01"
     assert models.version("gbt", "2024-09-01", 18) == "credit_gbt_2024_09_01_tt18m"
+
+
+def test_scaler_statistics_group_by_column(spark):
+    """Means and deviations of many columns are two aggregates, not two per column; columns with nulls only,
+    and all columns of an empty table, keep their row."""
+    names = [f"c{i}" for i in range(60)] + ["with space"]
+    values = np.random.default_rng(5).normal(2, 3, (80, len(names)))
+    values[::7, 3] = np.nan
+    rows = [[None if np.isnan(v) else float(v) for v in row] + [None] for row in values]
+    frame = spark.createDataFrame(rows, ", ".join(f"`{c}` double" for c in [*names, "none"]))
+    stats = models.scaler_statistics(frame, [*names, "none"])
+    assert stats._jdf.queryExecution().optimizedPlan().toString().count("avg(") == 1
+    found = {r["feature"]: (r["mean"], r["std"]) for r in stats.collect()}
+    for i, c in enumerate(names):
+        assert found[c] == pytest.approx((np.nanmean(values[:, i]), np.nanstd(values[:, i])))
+    assert found["none"] == (None, None)
+    assert models.scaler_statistics(frame.limit(0), names).count() == len(names)
+
+
+def test_spread_rows_keep_their_own_exchange(spark):
+    """Rows that widen are dealt anew also where the number of parts is that of a shuffle."""
+    from workload import tables
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(4 * spark.sparkContext.defaultParallelism))
+    try:
+        plan = tables.raw(spark, "/root/testdata/sf0.001", "financials")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert "REPARTITION_BY_NUM" in plan.split("HashAggregate")[0]
