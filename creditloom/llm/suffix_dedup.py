@@ -48,6 +48,7 @@ RUN_LINES = 60_000
 SAMPLE_DOCS = 1500  # documents whose grams place the splitters; they only balance the parts
 LINE = SPAN + WIDE + 2
 PIECE = 8 << 20
+SLICE = 256 << 10  # text handled at once: the arrays of `anchors` take about a hundred bytes for each of its bytes
 NULL_ID = -1 << 63
 
 
@@ -433,7 +434,7 @@ def _anchor_rows(texts: DataFrame) -> DataFrame:
         for batch in batches:
             buf, offsets = common.text_buffer(batch.column(1))
             keys = batch.column(0).to_numpy()
-            for i, j in common.row_slices(offsets):
+            for i, j in common.row_slices(offsets, SLICE):
                 row, at, _, _, gram = anchors(buf[offsets[i]: offsets[j]], offsets[i: j + 1] - offsets[i])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(gram.view(np.int64)), pa.array(keys[i + row]), pa.array(at.astype(np.int32))],
@@ -452,7 +453,7 @@ def _splitters(texts: DataFrame, ranges: int, rows: int) -> list[bytes]:
         for batch in batches:
             buf, offsets = common.text_buffer(batch.column(0))
             out = []
-            for i, j in common.row_slices(offsets):
+            for i, j in common.row_slices(offsets, SLICE):
                 part, borders = buf[offsets[i]: offsets[j]], offsets[i: j + 1] - offsets[i]
                 row, at, *_ = anchors(part, borders)
                 out += [part[p: p + GRAM].tobytes() for p in (borders[row] + at)[::16].tolist()]
@@ -486,7 +487,7 @@ def repeated(docs: DataFrame, scope: Scope, hot: int = HOT) -> DataFrame:
             buf, offsets = common.text_buffer(batch.column(2))
             keys, hashes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             wanted, burning = _flat(batch.column(3)), _flat(batch.column(4))
-            for i, j in common.row_slices(offsets):
+            for i, j in common.row_slices(offsets, SLICE):
                 runs.add(buf[offsets[i]: offsets[j]], offsets[i: j + 1] - offsets[i], keys[i:j], hashes[i:j],
                          _between(wanted, i, j), _between(burning, i, j))
                 if runs.n > RUN_LINES:
