@@ -127,3 +127,30 @@ def test_only_rows_whose_key_repeats_are_compared(spark, monkeypatch):
     assert "Aggregate" not in plan(pit.one_row_per(once))
     both = pit.as_of(once.select("Customer_ID", "snapshot_date"), {"s": once})
     assert plan(both).count("Exchange") == 1
+
+
+def test_sources_meet_the_applications_in_one_exchange(spark, monkeypatch):
+    """No exchange, aggregate or sort of keys or behaviour rows before that of the join itself; a customer
+    with more rows than a task should sort is reduced first, with the same result."""
+    from creditloom import session
+    day = lambda m: dt.date(2024, m, 1)
+    a = spark.createDataFrame([("a", day(2)), ("a", day(4)), ("b", day(3))], "Customer_ID string, snapshot_date date")
+    s = spark.createDataFrame(
+        [("a", day(1), 5, None), ("a", day(1), 5, "x"), ("a", day(3), 9, "y"), ("a", day(3), 2, "z"), ("a", day(3), None, "w"),
+         ("b", day(3), 1, "q"), ("b", day(3), 1, "p"), ("b", day(5), 0, "late"), (None, None, 0, "none")],
+        "Customer_ID string, snapshot_date date, v int, t string")
+    h = spark.createDataFrame(
+        [("a", day(1), 1, 10), ("a", day(1), 2, None), ("a", day(4), 6, None), ("b", day(4), 1, 1)],
+        "Customer_ID string, snapshot_date date, fe_1 int, fe_2 int")
+    want = {("a", day(2), 5, None, 1.5, 10.0), ("a", day(4), None, "w", 3.0, 10.0), ("b", day(3), 1, "p", None, None)}
+    for most in (1_000_000, 0):
+        monkeypatch.setattr(session, "SINGLE_TASK_ROWS", most)
+        joined = pit.as_of(a, {"s": s}, h, ["fe_1", "fe_2"])
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert {tuple(r) for r in joined.collect()} == want
+        if most:
+            assert plan.count("Exchange") == 1 and "Aggregate" not in plan
+    # The sort's partitions grow with the rows, whatever number the session has.
+    monkeypatch.setattr(pit, "SORT_ROWS", 1)
+    plan = pit.as_of(a, {"s": s}, h, ["fe_1", "fe_2"])._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(Customer_ID" in plan and ", 13)" in plan
