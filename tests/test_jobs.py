@@ -270,3 +270,24 @@ def test_landed_tables_are_compressed_and_no_shuffle_file_is_left(spark, mart):
             pass
         assert spark.conf.get(session.CLEANUP) == "true"
     assert spark.conf.get(session.CLEANUP, "false") == kept
+
+
+def test_a_process_leaves_no_folder_behind_also_when_its_session_was_stopped(tmp_path):
+    """Landed files, bronze, silver and gold of a query go with its process: the next one has the disk."""
+    import subprocess
+    import sys
+    run = """
+import os, sys
+from creditloom import session
+from workload.table_queries import Warehouse
+spark = session.get_spark("leave", "local[2]", **{"spark.checkpoint.dir": sys.argv[1], "spark.sql.shuffle.partitions": "2"})
+w = Warehouse(spark, sys.argv[2])
+session.stage(spark.range(3))
+assert os.listdir(w.root.removeprefix("file:")) and len(os.listdir(sys.argv[1])) >= 3
+spark.stop()
+"""
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", run, str(tmp_path), SF], check=True, timeout=300,
+                   env=os.environ | {"PYTHONPATH": repo}, cwd=repo)
+    left = [os.path.join(at, f) for at, _, names in os.walk(tmp_path) for f in names]
+    assert not left  # the empty folder of Spark's own checkpoints stays
