@@ -291,3 +291,22 @@ spark.stop()
                    env=os.environ | {"PYTHONPATH": repo}, cwd=repo)
     left = [os.path.join(at, f) for at, _, names in os.walk(tmp_path) for f in names]
     assert not left  # the empty folder of Spark's own checkpoints stays
+
+
+def test_wide_tables_are_written_by_code_that_can_be_compiled(spark, tmp_path, monkeypatch):
+    """While a table is staged or written the limit of a method is the JVM's; afterwards it is what it was."""
+    seen = []
+    held = spark.conf.get(session.METHOD_LIMIT, None)
+    with session.writing(spark):
+        seen.append(spark.conf.get(session.METHOD_LIMIT))
+        with session.writing(spark):
+            pass
+        seen.append(spark.conf.get(session.METHOD_LIMIT))
+    assert seen == ["8000", "8000"]
+    assert spark.conf.get(session.METHOD_LIMIT, None) == (held or "65535")
+    entered = []
+    whole = session.writing
+    monkeypatch.setattr(session, "writing", lambda s: entered.append(s) or whole(s))
+    session.stage(spark.range(2))
+    tables.overwrite_partitions(spark.range(2).withColumn("snapshot_date", F.lit("2024-01-01").cast("date")), str(tmp_path / "t"))
+    assert len(entered) == 2
