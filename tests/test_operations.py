@@ -176,3 +176,10 @@ def test_rows_without_label_and_lonely_champions(spark):
     one = models.champion(spark.createDataFrame([("m", 0.7, 1)], "model_version string, auc_oot double, position int")).first()
     assert (one["champion"], one["runner_up"], one["margin"]) == ("m", None, None)
     assert train.MODEL_KINDS
+
+
+def test_months_from_the_carried_state_do_not_derive_raw_rows_again(spark):
+    """Applications are stored once: no month's features read the given orders."""
+    import __spark_entry__
+    files = __spark_entry__.queries()["m3_carried_state"](spark, "/root/testdata/sf0.001").inputFiles()
+    assert files and not [f for f in files if "/testdata/" in f]
