@@ -310,3 +310,30 @@ def test_wide_tables_are_written_by_code_that_can_be_compiled(spark, tmp_path, m
     session.stage(spark.range(2))
     tables.overwrite_partitions(spark.range(2).withColumn("snapshot_date", F.lit("2024-01-01").cast("date")), str(tmp_path / "t"))
     assert len(entered) == 2
+
+
+def test_a_large_raw_table_is_not_shuffled_to_bronze_and_goes_when_it_is_there(spark, mart, monkeypatch):
+    """Rows over `DEALT_BYTES` are written where they are read, so that no shuffle of a whole raw table lies
+    beside it; a delivered file goes before the next one comes."""
+    from workload.table_queries import Warehouse
+    monkeypatch.setattr(ingest, "DEALT_BYTES", 0)
+    dealt, open_files = [], spark.conf.get(session.OPEN_FILES, "0")
+    whole = tables.overwrite_partitions
+
+    def written(df, path, *args, **options):
+        if "/bronze/" in path:
+            dealt.append((options["rebalance"], "RebalancePartitions" in df._jdf.queryExecution().optimizedPlan().toString()))
+        return whole(df, path, *args, **options)
+    monkeypatch.setattr(tables, "overwrite_partitions", written)
+    large = Warehouse(spark, SF, keep_raw=False)
+    assert dealt == [(False, False)] * len(registry.SOURCES) and spark.conf.get(session.OPEN_FILES, "0") == open_files
+    assert not os.listdir(large.raw.removeprefix("file:")) and os.listdir(mart.raw.removeprefix("file:"))
+    assert rows_of(large.audit) == rows_of(mart.audit)
+    for name in registry.SOURCES:
+        assert rows_of(ingest.read_bronze(spark, large.root, name)) == rows_of(ingest.read_bronze(spark, mart.root, name))
+        assert rows_of(large.table("silver", name)) == rows_of(mart.table("silver", name))
+    month = f"{large.root}/bronze/lms/snapshot_date=1996-06-01".removeprefix("file:")
+    assert len([f for f in os.listdir(month) if f.startswith("part-")]) > 1
+    ingest.bronze(spark, mart.raw, large.root, "lms", ["1996-06-01"])  # few rows: dealt by month again
+    assert dealt[-1][0] and len([f for f in os.listdir(month) if f.startswith("part-")]) == 1
+    assert rows_of(ingest.read_bronze(spark, large.root, "lms")) == rows_of(ingest.read_bronze(spark, mart.root, "lms"))
