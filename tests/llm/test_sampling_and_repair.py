@@ -307,6 +307,48 @@ def test_gibbs_reaches_the_distribution():
         assert abs((t == k).mean() - weight[k] / sum(weight.values())) < 0.015
 
 
+def test_a_sweep_moves_every_customer(monkeypatch):
+    """As many customers sit down anew before each sample as there are, and not a few of each pair."""
+    moved, rng = collections.Counter(), np.random.default_rng(8)
+    one, together = language_model.Group._sit, language_model.Group._sit_together
+    monkeypatch.setattr(language_model.Group, "_sit", lambda self, rows, *a: (
+        [moved.update({int(i): 1}) for i in self.at[:rows]], one(self, rows, *a)))
+    monkeypatch.setattr(language_model.Group, "_sit_together", lambda self, group, *a: (
+        moved.update(dict(zip(self.at.tolist(), np.asarray(group).tolist()))), together(self, group, *a)))
+    n = np.concatenate([rng.integers(1, 60, 50), [63, 64, 70, 500, 20_000]])
+    context = rng.integers(0, 5, len(n))
+    start = np.bincount(context, minlength=5).astype(np.int64)
+    seated = None
+    for _ in language_model.seatings(n, context, rng.random(len(n)) / 9, 0.6, 1.0, start, np.zeros(5, bool), rng, 1, 3):
+        if seated:
+            assert all(moved[i] - seated[i] >= k for i, k in enumerate(n) if k > 1)
+        seated = collections.Counter(moved)
+
+
+def test_customers_that_move_together_reach_the_same_tables():
+    """Long runs of single moves and of sweeps have the same mean number of tables."""
+    rows, n, p, d = 600, 200, 0.2, 0.6
+    start, at = np.ones(rows, np.int64), np.arange(rows)
+    args = np.full(rows, n), at, np.full(rows, p), d, 1.0
+    group, tables, all_ = language_model.Group(at, args[0], at, args[2], d, 1.0, np.random.default_rng(2)), start.copy(), np.ones(rows, bool)
+    group.fill(tables, all_)
+    single = []
+    for k in range(16 * n):
+        group.step(rows, tables, all_)
+        if k >= 8 * n:
+            single.append(group.tables.mean())
+    sweeps = [t.mean() for t, _ in language_model.seatings(*args, start.copy(), ~all_, np.random.default_rng(3), 0, 16)]
+    assert abs(np.mean(sweeps[8:]) / np.mean(single) - 1) < 0.1
+
+
+def test_blocks_tell_the_tables_of_spread_contexts():
+    contexts, words = np.array([5, 5, 5, 9, 9], np.uint64), np.array([1, 2, 3, 1, 2], np.uint64)
+    block = language_model.Block.of(contexts, words, np.array([4, 1, 7, 2, 2]))
+    t = np.where(block.words[:] == 3, 5, 1)
+    told = [r["spread"] for r in block.requests(0, 3, t, np.array([5], np.int64)).to_pylist() if r["spread"]]
+    assert told == [[{"context": 5, "customers": 12, "tables": 7}]]
+
+
 def test_language_model_odd(spark, odd):
     frame, rows = odd
     with Scope(spark, "test") as scope:
