@@ -337,3 +337,27 @@ def test_a_large_raw_table_is_not_shuffled_to_bronze_and_goes_when_it_is_there(s
     ingest.bronze(spark, mart.raw, large.root, "lms", ["1996-06-01"])  # few rows: dealt by month again
     assert dealt[-1][0] and len([f for f in os.listdir(month) if f.startswith("part-")]) == 1
     assert rows_of(ingest.read_bronze(spark, large.root, "lms")) == rows_of(ingest.read_bronze(spark, mart.root, "lms"))
+
+
+def test_text_is_compressed_at_the_fastest_level(spark, mart):
+    """Compression was the larger part of writing raw and bronze text."""
+    import gzip
+    import zlib
+    folders = [mart.raw, f"{mart.root}/bronze/lms"]
+    found = [os.path.join(at, f) for folder in folders for at, _, names in os.walk(folder.removeprefix("file:"))
+             for f in names if f.endswith(".csv.gz")]
+    assert found
+    for file in sorted(found, key=os.path.getsize)[-8:]:
+        with gzip.open(file) as f:
+            text = f.read()
+        fast, usual = (len(zlib.compress(text, level)) for level in (1, 6))
+        assert abs(os.path.getsize(file) - fast) < abs(os.path.getsize(file) - usual), file
+
+
+def test_long_csv_values_arrive_whole(spark, tmp_path):
+    """Also those longer than the parser's buffer."""
+    from pyspark.sql.types import StringType, StructField, StructType
+    schema = StructType([StructField(c, StringType()) for c in ("a", "b")])
+    rows = [("x" * 30_000, "q " * 9_000 + "z"), ("1", None), (",y" * 5_000, "2")]
+    spark.createDataFrame(rows, schema).coalesce(1).write.option("header", True).csv(str(tmp_path / "long"))
+    assert rows_of(registry.read_raw_csv(spark, str(tmp_path / "long"), schema)) == sorted(map(str, spark.createDataFrame(rows, schema).collect()))
